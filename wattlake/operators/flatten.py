@@ -39,7 +39,7 @@ def record_texts(raw_json: Column) -> Column:
 
 def record_count(raw_json: Column) -> Column:
     """Number of records of a document; zero when ``data`` is absent, null or unreadable."""
-    return F.coalesce(F.size(record_texts(raw_json)["data"]), F.lit(0)).cast("bigint")
+    return F.coalesce(F.array_size(record_texts(raw_json)["data"]), F.lit(0)).cast("bigint")
 
 
 def explode_records(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:

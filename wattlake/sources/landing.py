@@ -14,8 +14,7 @@ from wattlake.schemas import BRONZE
 
 def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Raw documents as ``raw_json``: a file each, or a line each."""
-    reader = spark.read if one_per_line else spark.read.option("wholetext", "true")
-    return reader.text(path).withColumnRenamed("value", "raw_json")
+    return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed("value", "raw_json")
 
 
 def source_url(base_url: str, endpoint: str, zone: Column, start: Column, end: Column) -> Column:
