@@ -8,7 +8,21 @@ from pyspark.sql import functions as F
 
 def json_object(text: Column) -> Column:
     """One JSON object as a map from key to the text of its value; null for anything else."""
-    return F.from_json(text, "map<string,string>")
+    return F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+
+
+def json_array(text: Column) -> Column:
+    """The elements of a JSON array, each as text; null for anything else."""
+    return F.from_json(text, "array<string>", {"allowSingleQuotes": "false"})
+
+
+def has_trailing_text(text: Column) -> Column:
+    """True when something follows the first JSON value, which ``from_json`` alone would not notice.
+
+    The length function knows no NaN or Infinity, so texts with those are not judged.
+    """
+    length = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return ~length.eqNullSafe(F.lit(1)) & ~text.rlike("NaN|Infinity")
 
 
 def number_or_null(text: Column) -> Column:

@@ -1,7 +1,7 @@
 """Raw JSON documents to typed rows, with quarantine per record.
 
-Each document is parsed once into the texts of its records (``array<string>`` keeps the original
-text), exploded, and every record is parsed on its own. A record either yields rows or one error
+Each document is parsed into the texts of its records (``array<string>`` keeps the original text),
+exploded, and every record is parsed on its own. A record either yields rows or one error
 code, never both. Everything is a narrow Spark expression: no shuffle, no Python.
 """
 
@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.functions.jsonfields import is_empty_json, json_object, number_or_null
+from wattlake.functions.jsonfields import (
+    has_trailing_text, is_empty_json, json_array, json_object, number_or_null,
+)
 from wattlake.functions.timecols import day_columns, iso_timestamp
 from wattlake.schemas import BAD_DATA, SILVER_FLOWS, SILVER_MIX, SOURCES, STORAGE_FIELDS
 
@@ -26,48 +28,32 @@ FLOWS_NOT_AN_OBJECT = "FLOWS_NOT_AN_OBJECT"
 BAD_POWER = "BAD_POWER"
 
 
-def record_texts(raw_json: Column) -> Column:
-    """The ``data`` records of a document, each as its original text.
-
-    Fields: ``data`` (the records), ``_broken`` (the text, if it is not a JSON object).
-    """
-    return F.from_json(
-        raw_json, "struct<data:array<string>,_broken:string>",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
-    )
-
-
 def record_count(raw_json: Column) -> Column:
     """Number of records of a document; zero when ``data`` is absent, null or unreadable."""
-    return F.coalesce(F.array_size(record_texts(raw_json)["data"]), F.lit(0)).cast("bigint")
+    return F.coalesce(F.array_size(json_array(json_object(raw_json)["data"])), F.lit(0)).cast("bigint")
 
 
 def explode_records(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:
     """One row per record, plus one row for each document that cannot be read.
 
-    Columns: ``process_ts, zone, record, field`` (map of the record's values as text) and
-    ``error_code`` (null while the record is fine).
+    Columns: ``process_ts, zone, record``, ``field`` (map of the record's values as text) and
+    ``document_error`` (null while the document is fine).
     """
     stamp = F.col("process_ts") if process_ts is None else process_ts
     parsed = bronze.select(
         stamp.cast("bigint").alias("process_ts"), "zone", "raw_json",
-        record_texts(F.col("raw_json")).alias("doc"),
         json_object(F.col("raw_json")).alias("top"),
-    )
-    has_data = F.map_contains_key("top", F.lit("data"))
+    ).withColumn("records", json_array(F.col("top")["data"]))
     document_error = (
-        F.when(F.col("top").isNull() | F.col("doc._broken").isNotNull() & ~has_data, MALFORMED_JSON)
-        .when(has_data & F.col("doc.data").isNull(), DATA_NOT_A_LIST)
+        F.when(F.col("top").isNull() | has_trailing_text(F.col("raw_json")), MALFORMED_JSON)
+        .when(F.map_contains_key("top", F.lit("data")) & F.col("records").isNull(), DATA_NOT_A_LIST)
     )
+    checked = parsed.withColumn("document_error", document_error)
     # A broken document becomes a one-element list of its own text; absent data gives no element.
-    elements = F.when(document_error.isNotNull(), F.array(F.col("raw_json"))).otherwise(F.col("doc.data"))
-    exploded = parsed.select(
-        "process_ts", "zone", document_error.alias("document_error"),
-        F.explode(elements).alias("record"),
-    )
-    return exploded.select(
-        "process_ts", "zone", "record", "document_error",
-        F.when(F.col("document_error").isNull(), json_object(F.col("record"))).alias("field"),
+    elements = F.when(F.col("document_error").isNotNull(), F.array("raw_json")).otherwise(F.col("records"))
+    exploded = checked.select("process_ts", "zone", "document_error", F.explode(elements).alias("record"))
+    return exploded.withColumn(
+        "field", F.when(F.col("document_error").isNull(), json_object(F.col("record")))
     )
 
 
