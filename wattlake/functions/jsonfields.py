@@ -11,9 +11,13 @@ def json_object(text: Column) -> Column:
     return F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
 
 
-def json_array(text: Column) -> Column:
-    """The elements of a JSON array, each as text; null for anything else."""
-    return F.from_json(text, "array<string>", {"allowSingleQuotes": "false"})
+def json_struct(text: Column, schema: str, broken: str | None = None) -> Column:
+    """One JSON object as a struct; ``broken`` names a string field set if any part did not fit."""
+    options = {"allowSingleQuotes": "false"}
+    if broken is not None:
+        options["columnNameOfCorruptRecord"] = broken
+        schema = f"{schema}, {broken} string"
+    return F.from_json(text, f"struct<{schema}>", options)
 
 
 def has_trailing_text(text: Column) -> Column:

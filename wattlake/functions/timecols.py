@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,23 +21,24 @@ def iso_timestamp(text: Column) -> Column:
     Accepts extended and basic forms, any one-character separator, and texts without an offset
     (taken as UTC). The guard is needed because a plain cast would also take ``'2026'``.
     """
-    def part(group: int, default: str) -> Column:
-        found = F.regexp_extract(text, _GENERAL, group)
-        return F.when(found == "", F.lit(default)).otherwise(found)
-
-    offset = part(9, "Z")
-    offset = F.when(offset == "Z", offset).otherwise(
-        F.concat(F.substring(offset, 1, 3), F.lit(":"),
-                 F.when(F.length(offset) == 3, F.lit("00")).otherwise(F.substring(offset, -2, 2)))
-    )
-    rebuilt = F.concat(
-        part(1, ""), F.lit("-"), part(3, ""), F.lit("-"), part(4, ""), F.lit("T"),
-        part(5, "00"), F.lit(":"), part(6, "00"), F.lit(":"), part(7, "00"), F.lit("."),
-        F.substring(part(8, "0"), 1, 6), offset,
-    )
+    groups = F.split(F.regexp_replace(text, _GENERAL, r"$1|$3|$4|$5|$6|$7|$8|$9"), r"\|", -1)
+
+    def rebuilt(g: Column) -> Column:
+        def part(i: int, default: str) -> Column:
+            return F.when(g[i] == "", F.lit(default)).otherwise(g[i])
+
+        offset = F.when(F.length(g[7]) > 1, F.concat(
+            F.substring(g[7], 1, 3), F.lit(":"),
+            F.when(F.length(g[7]) == 3, F.lit("00")).otherwise(F.substring(g[7], -2, 2)),
+        )).otherwise(F.lit("Z"))
+        return F.concat(
+            g[0], F.lit("-"), g[1], F.lit("-"), g[2], F.lit("T"), part(3, "00"), F.lit(":"), part(4, "00"),
+            F.lit(":"), part(5, "00"), F.lit("."), F.substring(part(6, "0"), 1, 6), offset,
+        ).try_cast("timestamp")
+
     return (
         F.when(text.rlike(_USUAL), text.try_cast("timestamp"))
-        .when(text.rlike(_GENERAL), rebuilt.try_cast("timestamp"))
+        .when(text.rlike(_GENERAL), F.transform(F.array(groups), rebuilt)[0])
     )
 
 
@@ -48,6 +51,11 @@ def process_ts_to_timestamp(process_ts: Column) -> Column:
     return F.timestamp_millis(process_ts)
 
 
+def utc(moment: datetime) -> Column:
+    """A timezone-aware moment as a timestamp literal."""
+    return F.timestamp_micros(F.lit(int(moment.timestamp() * 1_000_000)))
+
+
 def day_columns(ts: Column) -> dict[str, Column]:
     """The partition columns of a timestamp or date."""
     return {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)}

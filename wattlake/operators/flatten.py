@@ -1,8 +1,9 @@
 """Raw JSON documents to typed rows, with quarantine per record.
 
 Each document is parsed into the texts of its records (``array<string>`` keeps the original text),
-exploded, and every record is parsed on its own. A record either yields rows or one error
-code, never both. Everything is a narrow Spark expression: no shuffle, no Python.
+exploded, and every record is parsed once into the fields wanted. A record either yields rows or
+one error code, never both. Only where a field is missing is the record looked at again, to tell
+'absent' from 'null' from 'wrong type'. All of it is narrow Spark expressions: no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.jsonfields import (
-    has_trailing_text, is_empty_json, json_array, json_object, number_or_null,
+    has_trailing_text, is_empty_json, json_object, json_struct, number_or_null,
 )
 from wattlake.functions.timecols import day_columns, iso_timestamp
 from wattlake.schemas import BAD_DATA, SILVER_FLOWS, SILVER_MIX, SOURCES, STORAGE_FIELDS
@@ -28,98 +29,105 @@ FLOWS_NOT_AN_OBJECT = "FLOWS_NOT_AN_OBJECT"
 BAD_POWER = "BAD_POWER"
 
 
+def _document(raw_json: Column) -> Column:
+    return json_struct(raw_json, "data: array<string>", broken="_broken")
+
+
 def record_count(raw_json: Column) -> Column:
     """Number of records of a document; zero when ``data`` is absent, null or unreadable."""
-    return F.coalesce(F.array_size(json_array(json_object(raw_json)["data"])), F.lit(0)).cast("bigint")
+    document = _document(raw_json)
+    return F.when(document["_broken"].isNull(), F.coalesce(F.array_size(document["data"]), F.lit(0))).otherwise(
+        F.lit(0)).cast("bigint")
 
 
 def explode_records(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:
     """One row per record, plus one row for each document that cannot be read.
 
-    Columns: ``process_ts, zone, record``, ``field`` (map of the record's values as text) and
-    ``document_error`` (null while the document is fine).
+    Columns: ``process_ts, zone, record`` and ``document_error`` (null while the document is fine).
     """
     stamp = F.col("process_ts") if process_ts is None else process_ts
     parsed = bronze.select(
-        stamp.cast("bigint").alias("process_ts"), "zone", "raw_json",
-        json_object(F.col("raw_json")).alias("top"),
-    ).withColumn("records", json_array(F.col("top")["data"]))
+        stamp.cast("bigint").alias("process_ts"), "zone", "raw_json", _document(F.col("raw_json")).alias("doc"))
+    top = json_object(F.col("raw_json"))
     document_error = (
-        F.when(F.col("top").isNull() | has_trailing_text(F.col("raw_json")), MALFORMED_JSON)
-        .when(F.map_contains_key("top", F.lit("data")) & F.col("records").isNull(), DATA_NOT_A_LIST)
+        F.when(F.col("raw_json").isNull() | has_trailing_text(F.col("raw_json")), MALFORMED_JSON)
+        .when(F.col("doc._broken").isNotNull(), F.when(top.isNull(), MALFORMED_JSON).otherwise(DATA_NOT_A_LIST))
+        .when(F.col("doc.data").isNull() & F.map_contains_key(top, F.lit("data")), DATA_NOT_A_LIST)
     )
     checked = parsed.withColumn("document_error", document_error)
     # A broken document becomes a one-element list of its own text; absent data gives no element.
-    elements = F.when(F.col("document_error").isNotNull(), F.array("raw_json")).otherwise(F.col("records"))
-    exploded = checked.select("process_ts", "zone", "document_error", F.explode(elements).alias("record"))
-    return exploded.withColumn(
-        "field", F.when(F.col("document_error").isNull(), json_object(F.col("record")))
-    )
+    elements = F.when(F.col("document_error").isNotNull(), F.array("raw_json")).otherwise(F.col("doc.data"))
+    return checked.select("process_ts", "zone", "document_error", F.explode(elements).alias("record"))
+
+
+def _parse_records(records: DataFrame, fields: str) -> DataFrame:
+    """Adds the record's ``fields`` as ``rec`` and its two timestamps, with their texts."""
+    wanted = f"datetime: string, updatedAt: string, {fields}"
+    parsed = records.withColumn(
+        "rec", F.when(F.col("document_error").isNull(), json_struct(F.col("record"), wanted)))
+    return parsed.withColumns({
+        "datetime_text": F.col("rec.datetime"),
+        "datetime": iso_timestamp(F.col("rec.datetime")),
+        "updated_at": iso_timestamp(F.col("rec.updatedAt")),
+    })
 
 
-def _time_errors() -> Column:
-    """First problem of the two timestamps, in the order in which they are read."""
+def _time_error() -> Column:
+    """First problem of the document, the record or its timestamps, in the order in which they are read."""
     return (
         F.when(F.col("document_error").isNotNull(), F.col("document_error"))
-        .when(F.col("field").isNull(), RECORD_NOT_AN_OBJECT)
-        .when(F.col("datetime_text").isNull(), MISSING_DATETIME)
+        .when(F.col("datetime_text").isNull(),
+              F.when(json_object(F.col("record")).isNull(), RECORD_NOT_AN_OBJECT).otherwise(MISSING_DATETIME))
         .when(F.col("datetime").isNull(), BAD_DATETIME)
-        .when(F.col("updated_at_text").isNull(), MISSING_UPDATED_AT)
+        .when(F.col("rec.updatedAt").isNull(), MISSING_UPDATED_AT)
         .when(F.col("updated_at").isNull(), BAD_UPDATED_AT)
     )
 
 
-def _with_times(records: DataFrame) -> DataFrame:
-    texts = records.withColumns({
-        "datetime_text": F.col("field")["datetime"],
-        "updated_at_text": F.col("field")["updatedAt"],
-    })
-    return texts.withColumns({
-        "datetime": iso_timestamp(F.col("datetime_text")),
-        "updated_at": iso_timestamp(F.col("updated_at_text")),
-    })
+def _record_field(name: str) -> Column:
+    """Text of a field of the record, from a second look at it."""
+    return json_object(F.col("record"))[name]
+
+
+_MIX_FIELDS = (
+    "isEstimated: string, estimationMethod: string, mix: struct<"
+    + ", ".join(f"{s}: string" for s in SOURCES)
+    + "".join(f", `{g}`: struct<{', '.join(f'{x}: string' for x in sides)}>" for g, sides in STORAGE_FIELDS.items())
+    + ", flows: struct<exports: string, imports: string>>"
+)
 
 
 def flatten_mix(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:
     """Mix documents to rows of the mix table plus ``error_code``, ``record`` and ``datetime_text``."""
-    rows = _with_times(explode_records(bronze, process_ts))
-    rows = rows.withColumn("mix_text", F.col("field")["mix"])
-    rows = rows.withColumn("mix", json_object(F.col("mix_text")))
+    rows = _parse_records(explode_records(bronze, process_ts), _MIX_FIELDS)
+    mix = F.col("rec.mix")
     mix_error = F.when(
-        F.map_contains_key("field", F.lit("mix")) & F.col("mix").isNull(), F.lit(MIX_NOT_AN_OBJECT)
-    )
-    nested = {f"n{i}": json_object(F.col("mix")[group]) for i, group in enumerate(STORAGE_FIELDS)}
-    nested["nf"] = json_object(F.col("mix")["flows"])
-    rows = rows.withColumns({"error_code": F.coalesce(_time_errors(), mix_error), **nested})
+        mix.isNull() & F.map_contains_key(json_object(F.col("record")), F.lit("mix")), F.lit(MIX_NOT_AN_OBJECT))
 
-    values = {f"{s}_mw": number_or_null(F.col("mix")[s]) for s in SOURCES}
-    for i, (group, sides) in enumerate(STORAGE_FIELDS.items()):
+    computed = {f"{s}_mw": number_or_null(mix[s]) for s in SOURCES}
+    for group, sides in STORAGE_FIELDS.items():
         for side in sides:
-            values[f"{group.replace(' ', '_')}_{side}_mw"] = number_or_null(F.col(f"n{i}")[side])
-    values["flow_exports_mw"] = number_or_null(F.col("nf")["exports"])
-    values["flow_imports_mw"] = number_or_null(F.col("nf")["imports"])
-    computed = {
-        "is_estimated": F.col("field")["isEstimated"].try_cast("boolean"),
-        "estimation_method": F.col("field")["estimationMethod"],
-        **values,
+            computed[f"{group.replace(' ', '_')}_{side}_mw"] = number_or_null(mix[group][side])
+    computed |= {
+        "flow_exports_mw": number_or_null(mix["flows"]["exports"]),
+        "flow_imports_mw": number_or_null(mix["flows"]["imports"]),
+        "is_estimated": F.col("rec.isEstimated").try_cast("boolean"),
+        "estimation_method": F.col("rec.estimationMethod"),
         **day_columns(F.col("datetime")),
     }
-    names = SILVER_MIX.fieldNames()
     return rows.select(
-        *[computed[n].alias(n) if n in computed else F.col(n) for n in names],
-        "error_code", "record", "datetime_text",
+        *[computed.get(n, F.col(n)).alias(n) for n in SILVER_MIX.fieldNames()],
+        F.coalesce(_time_error(), mix_error).alias("error_code"), "record", "datetime_text",
     )
 
 
 def _exchange_error(side: str) -> Column:
     """Error of one direction: not an object, or a value that is neither a number nor null."""
-    entries = F.col(side)
-    bad_value = F.exists(
-        F.map_values(entries), lambda v: v.isNotNull() & v.try_cast("double").isNull()
-    )
+    entries = F.col(f"rec.{side}")
+    bad_value = F.exists(F.map_values(entries), lambda v: v.isNotNull() & v.try_cast("double").isNull())
     return (
-        F.when(entries.isNull() & ~is_empty_json(F.col(f"{side}_text")), FLOWS_NOT_AN_OBJECT)
-        .when(F.coalesce(bad_value, F.lit(False)), BAD_POWER)
+        F.when(entries.isNull(), F.when(~is_empty_json(_record_field(side)), FLOWS_NOT_AN_OBJECT))
+        .when(bad_value, BAD_POWER)
     )
 
 
@@ -128,36 +136,29 @@ def flatten_flows(bronze: DataFrame, process_ts: Column | None = None) -> DataFr
 
     A record with any bad entry is quarantined as a whole.
     """
-    rows = _with_times(explode_records(bronze, process_ts))
-    rows = rows.withColumns({f"{s}_text": F.col("field")[s] for s in ("import", "export")})
-    rows = rows.withColumns({s: json_object(F.col(f"{s}_text")) for s in ("import", "export")})
+    entry = "array<struct<neighbor_zone: string, direction: string, power_mw: double>>"
+    rows = _parse_records(
+        explode_records(bronze, process_ts), "import: map<string,string>, export: map<string,string>")
     rows = rows.withColumn(
-        "error_code", F.coalesce(_time_errors(), _exchange_error("import"), _exchange_error("export"))
-    )
+        "error_code", F.coalesce(_time_error(), _exchange_error("import"), _exchange_error("export")))
 
     def entries(side: str) -> Column:
-        return F.transform(
-            F.coalesce(F.map_entries(side), F.expr("CAST(array() AS array<struct<key:string,value:string>>)")),
-            lambda e: F.struct(
-                e["key"].alias("neighbor_zone"), F.lit(side).alias("direction"),
-                F.coalesce(e["value"].try_cast("double"), F.lit(0.0)).alias("power_mw"),
-            ),
-        )
-
-    nothing = F.array(F.struct(
-        F.lit(None).cast("string").alias("neighbor_zone"), F.lit(None).cast("string").alias("direction"),
-        F.lit(None).cast("double").alias("power_mw"),
-    ))
+        return F.coalesce(F.transform(
+            F.map_entries(F.col(f"rec.{side}")),
+            lambda e: F.struct(e["key"], F.lit(side), F.coalesce(e["value"].try_cast("double"), F.lit(0.0))),
+        ), F.array()).cast(entry)
+
+    one_empty_entry = F.array(F.lit(None)).cast(entry)
     unpivoted = rows.select(
         "process_ts", "zone", "datetime", "updated_at", "error_code", "record", "datetime_text",
         F.inline(
-            F.when(F.col("error_code").isNotNull(), nothing)
+            F.when(F.col("error_code").isNotNull(), one_empty_entry)
             .otherwise(F.concat(entries("import"), entries("export")))
         ),
     )
     computed = day_columns(F.col("datetime"))
     return unpivoted.select(
-        *[computed[n].alias(n) if n in computed else F.col(n) for n in SILVER_FLOWS.fieldNames()],
+        *[computed.get(n, F.col(n)).alias(n) for n in SILVER_FLOWS.fieldNames()],
         "error_code", "record", "datetime_text",
     )
 

@@ -12,23 +12,19 @@ class DuplicateKeyError(ValueError):
     """Rows share a key that must be unique."""
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  settle_ties: bool = False) -> DataFrame:
     """One row per key: the one with the greatest ``order`` columns.
 
+    ``settle_ties`` breaks equal ones by a hash of the row, so that every run keeps the same row.
     The rank filter plans as a group limit on both sides of the shuffle, so every map task sends at
     most one row per key and a key holding a third of all rows costs one row per task.
     """
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return (
-        df.withColumn("__rn", F.row_number().over(newest_first))
-        .where(F.col("__rn") == 1)
-        .drop("__rn")
-    )
-
-
-def tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
-    """Columns that settle equal ``updated_at`` values the same way in every run."""
-    return [c for c in df.columns if c not in skip]
+    newest_first = [F.col(c).desc_nulls_last() for c in order]
+    if settle_ties:
+        newest_first.append(F.xxhash64(*[c for c in df.columns if c not in keys]).desc())
+    ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first)))
+    return ranked.where(F.col("__rn") == 1).drop("__rn")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.functions.timecols import floor_to_hour, process_ts_to_timestamp
+from wattlake.functions.timecols import floor_to_hour, process_ts_to_timestamp, utc
 from wattlake.schemas import LEDGER_LOG, LEDGER_STATE
 from wattlake.sources.tables import read_table
 
@@ -75,14 +75,19 @@ class Ledger:
         return current_state(self.log()).select(*LEDGER_STATE.fieldNames())
 
     def _append(self, process: str, batches: Sequence[int], status: str, **values) -> None:
-        seq = time.time_ns()
-        rows = [
-            tuple({"process": process, "process_ts": ts, "seq": seq + i, "status": status, **values}.get(c)
-                  for c in LEDGER_LOG.fieldNames())
-            for i, ts in enumerate(batches)
-        ]
-        if rows:
-            self.spark.createDataFrame(rows, LEDGER_LOG).coalesce(1).write.mode("append").parquet(self.path)
+        if not batches:
+            return
+        stamps = F.array(*[F.lit(int(ts)).cast("bigint") for ts in batches])
+        rows = self.spark.range(1).select(F.posexplode(stamps).alias("i", "process_ts"))
+        fixed = {"process": F.lit(process), "status": F.lit(status), "seq": F.lit(time.time_ns()) + F.col("i"),
+                 "process_ts": F.col("process_ts")}
+        for name, value in values.items():
+            fixed[name] = utc(value) if isinstance(value, datetime) else F.lit(value)
+        (
+            rows.select(*[
+                fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER_LOG.fields
+            ]).coalesce(1).write.mode("append").parquet(self.path)
+        )
 
     def open(self, process: str, process_ts: int, start: datetime | None = None) -> None:
         self._append(process, [process_ts], "I", start_timestamp=start or datetime.now(timezone.utc))
@@ -114,8 +119,7 @@ class Ledger:
     def next_window(self, process: str, current_batch: int | None = None,
                     now: datetime | None = None) -> tuple[datetime, datetime]:
         """The catch-up window as UTC datetimes."""
-        now_column = F.current_timestamp() if now is None else F.timestamp_millis(
-            F.lit(int(now.timestamp() * 1000)))
+        now_column = F.current_timestamp() if now is None else utc(now)
         window = catch_up_window(self.log(), process, now_column, current_batch)
         row = window.select(F.unix_seconds("range_start").alias("a"), F.unix_seconds("range_end").alias("b")).first()
         return (datetime.fromtimestamp(row.a, timezone.utc), datetime.fromtimestamp(row.b, timezone.utc))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +25,6 @@ def source_url(base_url: str, endpoint: str, zone: Column, start: Column, end: C
     )
 
 
-def utc(moment: datetime) -> Column:
-    return F.timestamp_micros(F.lit(int(moment.timestamp() * 1_000_000)))
-
-
 def envelope(payloads: DataFrame, *, process_ts: int | Column, ingested_at: Column, base_url: str,
              endpoint: str, start: Column, end: Column, zone: Column | None = None) -> DataFrame:
     """Payloads with their ingestion metadata. The zone is the payload's own unless given."""

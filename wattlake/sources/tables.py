@@ -7,7 +7,7 @@ very large day is split over many tasks and small days share a file.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +94,12 @@ def affected_days(*frames: DataFrame) -> list[Day]:
     return sorted((r.year, r.month, r.day) for r in rows)
 
 
+def rows_per_day(df: DataFrame) -> dict[Day, int]:
+    """Number of rows of each day that occurs: the days to rewrite and the size of the batch in one job."""
+    counts = df.groupBy(*DAY_COLUMNS).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {(r.year, r.month, r.day): r.n for r in counts}
+
+
 # ---------------------------------------------------------------- combining frames
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -106,11 +112,11 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- writes
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df
-    if partition_by:
-        writer = df.hint("rebalance", *partition_by)
-    writer.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), spread: bool = True) -> None:
+    """Append to a table. ``spread=False`` is for rows that all fall into one partition: every task then
+    writes its own file there, and nothing is shuffled."""
+    rows = df.hint("rebalance", *partition_by) if partition_by and spread else df
+    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def append_if_any(df: DataFrame, path: str) -> None:
@@ -148,33 +154,44 @@ def merge_by_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema: T.StructType,
-                   keep: str = "incoming", check_table: bool = True) -> list[Day]:
+                   keep: str = "incoming", days: Sequence[Day] | None = None,
+                   known_unique: bool = False) -> list[Day]:
     """Upsert into a table partitioned by day; returns the days rewritten.
 
     A key decides its day, because the partition columns derive from the key's timestamp. Rows
     outside the incoming days can therefore not be replaced, and only those days are read back.
+    Pass ``days`` if they are known already, and ``known_unique`` if ``incoming`` comes out of an
+    operator that leaves one row per key.
     """
     spark = incoming.sparkSession
-    days = affected_days(incoming)
+    days = affected_days(incoming) if days is None else sorted(days)
     if not days:
         return []
-    assert_unique_keys(incoming, keys, "incoming rows")
-    existing = read_days(spark, path, schema, days)
-    merged = merge_by_keys(existing, incoming, keys, keep)
-    if check_table:
-        # Merging keeps the two sides apart, so only rows already in the table can repeat a key.
+    if not known_unique:
+        assert_unique_keys(incoming, keys, "incoming rows")
+    if table_exists(spark, path):
+        existing = read_days(spark, path, schema, days)
+        # Merging keeps the two sides apart, so only rows already in the table can still repeat a key.
         assert_unique_keys(existing, keys, "table rows")
+        merged = merge_by_keys(existing, incoming, keys, keep)
+    else:
+        merged = incoming
     overwrite_partitions(merged.select(*schema.fieldNames()), path)
     return days
 
 
-def replace_days(df: DataFrame, path: str, days: Sequence[Day], keys: Sequence[str]) -> None:
-    """Make ``df`` the whole content of the given days; days without rows become empty."""
+def replace_days(df: DataFrame, path: str, days: Sequence[Day], keys: Sequence[str],
+                 filled: Iterable[Day] | None = None, known_unique: bool = False) -> None:
+    """Make ``df`` the whole content of the given days; days without rows become empty.
+
+    ``filled`` are the days that occur in ``df``, if known already; ``known_unique`` as for the upsert.
+    """
     if not days:
         return
     spark = df.sparkSession
-    assert_unique_keys(df, keys, "incoming rows")
-    filled = set(affected_days(df))
+    if not known_unique:
+        assert_unique_keys(df, keys, "incoming rows")
+    filled = set(affected_days(df) if filled is None else filled)
     if not filled <= set(days):
         raise ValueError(f"rows outside the days to replace: {sorted(filled - set(days))[:3]}")
     if filled:

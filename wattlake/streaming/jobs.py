@@ -58,7 +58,7 @@ def stream_silver(bronze: DataFrame, name: str, path: str, bad_path: str, checkp
         flat = flatten(batch).persist()
         try:
             good, bad = clean_rows(flat, table)
-            days = tables.upsert_by_keys(good, path, table.keys, table.schema, keep)
+            days = tables.upsert_by_keys(good, path, table.keys, table.schema, keep, known_unique=True)
             bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
             if then is not None:
                 then(days)
