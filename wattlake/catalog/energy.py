@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from wattlake.catalog import fixtures as fx
 from wattlake.catalog.registry import query
 from wattlake.functions.energy import with_zone_names, zone_name
-from wattlake.operators import contracts, ledger, products
-from wattlake.operators.keys import duplicate_keys, latest_by_key
+from wattlake.operators import contracts, keys, ledger, products
+from wattlake.operators.keys import latest_by_key
 from wattlake.schemas import FLOW_KEYS, MIX_KEYS, SOURCES
 from wattlake.sources import tables
 
@@ -140,8 +140,8 @@ def dedup_latest_flows(spark, sf_dir):
 @query(f"""WITH {fx.READINGS_SQL}
 SELECT zone, {fx.time_sql('datetime')} AS datetime, count(*) AS n_rows
 FROM readings GROUP BY zone, readings.datetime HAVING count(*) > 1""")
-def duplicate_keys_mix(spark, sf_dir):
-    return duplicate_keys(fx.readings(spark, sf_dir), MIX_KEYS)
+def duplicate_keys(spark, sf_dir):
+    return keys.duplicate_keys(fx.readings(spark, sf_dir), MIX_KEYS)
 
 
 # ---------------------------------------------------------------- scans by batch and day
@@ -154,7 +154,7 @@ def batch_log(spark, sf_dir):
         F.col("event_id").alias("seq"), status.alias("status"),
         F.lit(None).cast("timestamp").alias("start_timestamp"), F.lit(None).cast("timestamp").alias("end_timestamp"),
         F.lit(None).cast("bigint").alias("record_count"), F.lit(None).cast("string").alias("error_message"),
-        F.lit(None).cast("timestamp").alias("range_end"),
+        F.lit(None).cast("timestamp").alias("range_end"), F.lit(None).cast("array<int>").alias("days"),
     )
 
 
@@ -220,10 +220,7 @@ _BROKEN_FLOW = """SELECT event_id, zone, CASE WHEN event_type = 'error' THEN 'si
 
 def flows_with_defects(spark, sf_dir):
     """Flows in which error events have no valid direction and the first users no power."""
-    events = fx.events(spark, sf_dir)
-    return fx.silver_flows(spark, sf_dir).join(
-        events.select("event_id", "event_type", "user_id"), "event_id"
-    ).withColumns({
+    return fx.silver_flows(spark, sf_dir, extra=["event_type", "user_id"]).withColumns({
         "direction": F.when(F.col("event_type") == "error", "sideways").otherwise(F.col("direction")),
         "power_mw": F.when(F.col("user_id") >= 10, F.col("power_mw")),
     })
@@ -285,6 +282,7 @@ def ledger_log(spark, sf_dir):
         F.when(F.col("event_type") == "view", F.col("event_id")).alias("record_count"),
         F.when(failed, F.concat(F.lit("failed at "), F.col("event_id"))).alias("error_message"),
         F.when(F.col("event_type") == "view", F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")).alias("range_end"),
+        F.lit(None).cast("array<int>").alias("days"),
     )
 
 
@@ -307,7 +305,7 @@ state AS (SELECT v.process, v.process_ts, a.status, b.start_timestamp, c.end_tim
 @query(f"""WITH {_LOG} SELECT process, process_ts, {fx.time_sql('start_timestamp')} AS start_timestamp,
   {fx.time_sql('end_timestamp')} AS end_timestamp, status, record_count, error_message FROM state""")
 def ledger_current_state(spark, sf_dir):
-    return ledger.current_state(ledger_log(spark, sf_dir)).drop("range_end")
+    return ledger.current_state(ledger_log(spark, sf_dir)).drop("range_end", "days")
 
 
 @query(f"WITH {_LOG} SELECT process_ts FROM state WHERE process = 'silver' AND status = 'R'")

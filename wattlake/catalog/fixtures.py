@@ -6,6 +6,8 @@ rows of ``events`` are used.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,10 +73,11 @@ def silver_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_flows(spark: SparkSession, sf_dir: str, hourly: bool = True) -> DataFrame:
+def silver_flows(spark: SparkSession, sf_dir: str, hourly: bool = True, extra: Sequence[str] = ()) -> DataFrame:
     """``event_id, process_ts, zone, datetime, updated_at, neighbor_zone, direction, power_mw`` and days.
 
-    With ``hourly=False`` the timestamps are cut to the day, so that keys repeat.
+    With ``hourly=False`` the timestamps are cut to the day, so that keys repeat. ``extra`` names columns
+    of ``events`` to keep.
     """
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("nation"), F.col("n_name").alias("neighbor_zone"))
@@ -90,6 +93,7 @@ def silver_flows(spark: SparkSession, sf_dir: str, hourly: bool = True) -> DataF
         F.when(F.col("event_type").isin(IMPORT_EVENTS), "import").otherwise("export").alias("direction"),
         F.col("value").alias("power_mw"),
         *[c.alias(n) for n, c in day_columns(when).items()],
+        *extra,
     )
 
 

@@ -62,9 +62,8 @@ def mix_documents(spark, sf_dir):
 
 
 def flow_documents(spark, sf_dir):
-    flows = fx.silver_flows(spark, sf_dir)
-    rows = fx.events(spark, sf_dir).select("event_id", "user_id", "ts", "value").join(
-        flows.select("event_id", "zone", "neighbor_zone", "direction", F.col("datetime").alias("hour")), "event_id")
+    flows = fx.silver_flows(spark, sf_dir, extra=["user_id", "ts", "value"])
+    rows = flows.withColumnRenamed("datetime", "hour")
     # JSON of a map keeps null values out, so the entry is written as text.
     entry = F.concat(F.lit('{"'), F.col("neighbor_zone"), F.lit('":'),
                      F.when(F.col("user_id").between(2, 3), "null").otherwise(F.col("value").cast("string")), F.lit("}"))

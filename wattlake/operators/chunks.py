@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -69,47 +70,52 @@ def chunk_tokens(docs: DataFrame, size: int = TOKENS, overlap: int = TOKEN_OVERL
 
 # ---------------------------------------------------------------- separator-aware
 
-def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[str]:
-    """Pieces no longer than ``size``, cut at the coarsest separator that occurs.
+def _pack(pieces: list[str], size: int, overlap: int) -> Iterator[str]:
+    """Join neighbouring pieces up to ``size``; each chunk repeats whole pieces worth up to ``overlap``."""
+    window: deque[str] = deque()
+    length = 0
+    for piece in pieces:
+        if window and length + len(piece) > size:
+            yield "".join(window)
+            while length > overlap or (length and length + len(piece) > size):
+                length -= len(window.popleft())
+        window.append(piece)
+        length += len(piece)
+    if window:
+        yield "".join(window)
+
 
-    A separator stays at the head of the piece that follows it.
+def _split(text: str, size: int, overlap: int, separators: Sequence[str]) -> Iterator[str]:
+    """Cut at the coarsest separator present, which stays at the head of the piece that follows.
+
+    Pieces still too long are cut on their own by the finer separators and not joined with others.
     """
-    if len(text) <= size:
-        yield text
-        return
-    level = next(i for i, sep in enumerate(separators) if sep == "" or sep in text)
+    level = next((i for i, s in enumerate(separators) if s in text), len(separators) - 1)
     separator, finer = separators[level], separators[level + 1:]
-    if separator == "":
-        yield from (text[i:i + size] for i in range(0, len(text), size))
-        return
-    head, *rest = text.split(separator)
-    for piece in [head, *(separator + r for r in rest)]:
-        if len(piece) <= size:
-            if piece:
-                yield piece
+    if separator:
+        head, *tail = text.split(separator)
+        pieces = [p for p in (head, *(separator + t for t in tail)) if p]
+    else:
+        pieces = list(text)
+    short: list[str] = []
+    for piece in pieces:
+        if len(piece) < size:
+            short.append(piece)
+            continue
+        yield from _pack(short, size, overlap)
+        short = []
+        if finer:
+            yield from _split(piece, size, overlap, finer)
         else:
-            yield from _pieces(piece, size, finer or ("",))
+            yield piece
+    yield from _pack(short, size, overlap)
 
 
 def split_recursive(text: str, size: int = SIZE, overlap: int = OVERLAP,
                     separators: Sequence[str] = SEPARATORS) -> list[str]:
-    """Chunks of whole pieces, at most ``size`` long, repeating up to ``overlap`` of the previous tail."""
-    chunks: list[str] = []
-    window: list[str] = []
-    length = 0
-    for piece in _pieces(text, size, separators):
-        if window and length + len(piece) > size:
-            chunks.append("".join(window))
-            drop = 0
-            while length > overlap or (length and length + len(piece) > size):
-                length -= len(window[drop])
-                drop += 1
-            window = window[drop:]
-        window.append(piece)
-        length += len(piece)
-    if window:
-        chunks.append("".join(window))
-    return [c.strip() for c in chunks if c.strip()]
+    """Chunks of at most ``size`` characters, cut at the coarsest boundary that allows it, and trimmed."""
+    chunks = [text] if len(text) < size else _split(text, size, overlap, separators)
+    return [c for c in (chunk.strip() for chunk in chunks) if c]
 
 
 def chunk_recursive(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP,

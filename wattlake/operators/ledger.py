@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.timecols import floor_to_hour, process_ts_to_timestamp, utc
 from wattlake.schemas import LEDGER_LOG, LEDGER_STATE
-from wattlake.sources.tables import read_table
+from wattlake.sources.tables import Day, only_batches, read_table
 
-_CARRIED = ["start_timestamp", "end_timestamp", "record_count", "error_message", "range_end"]
+_CARRIED = ["start_timestamp", "end_timestamp", "record_count", "error_message", "range_end", "days"]
 
 
 def current_state(log: DataFrame) -> DataFrame:
@@ -82,7 +82,12 @@ class Ledger:
         fixed = {"process": F.lit(process), "status": F.lit(status), "seq": F.lit(time.time_ns()) + F.col("i"),
                  "process_ts": F.col("process_ts")}
         for name, value in values.items():
-            fixed[name] = utc(value) if isinstance(value, datetime) else F.lit(value)
+            if isinstance(value, datetime):
+                fixed[name] = utc(value)
+            elif isinstance(value, list):
+                fixed[name] = F.array(*[F.lit(v) for v in value])
+            else:
+                fixed[name] = F.lit(value)
         (
             rows.select(*[
                 fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER_LOG.fields
@@ -93,9 +98,12 @@ class Ledger:
         self._append(process, [process_ts], "I", start_timestamp=start or datetime.now(timezone.utc))
 
     def mark_ready(self, process: str, process_ts: int, record_count: int,
-                   end: datetime | None = None, range_end: datetime | None = None) -> None:
+                   end: datetime | None = None, range_end: datetime | None = None,
+                   days: Sequence[Day] | None = None) -> None:
+        """``days`` are the partitions the batch wrote, so that its readers need not look for them."""
+        numbers = None if days is None else [y * 10000 + m * 100 + d for y, m, d in days]
         self._append(process, [process_ts], "R", record_count=record_count, range_end=range_end,
-                     end_timestamp=end or datetime.now(timezone.utc))
+                     end_timestamp=end or datetime.now(timezone.utc), days=numbers)
 
     def claim_ready(self, process: str) -> list[int]:
         """Ids of all ready batches, now marked as claimed. One id per pending batch, not per row."""
@@ -103,6 +111,17 @@ class Ledger:
         self._append(process, claimed, "P")
         return claimed
 
+    def days_of(self, process: str, batches: Sequence[int]) -> list[Day] | None:
+        """All days the batches wrote; None if any batch did not say."""
+        state = current_state(only_batches(self.log().where(F.col("process") == process), batches))
+        found = state.agg(
+            F.count_if(F.col("days").isNull()).alias("unknown"),
+            F.array_distinct(F.flatten(F.collect_set("days"))).alias("days"),
+        ).first()
+        if found.unknown:
+            return None
+        return sorted((n // 10000, n // 100 % 100, n % 100) for n in found.days)
+
     def release(self, process: str, batches: Sequence[int]) -> None:
         self._append(process, batches, "R")
 

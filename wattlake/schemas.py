@@ -34,7 +34,7 @@ def _doubles(names: list[str]) -> str:
 
 _TYPES = {
     "BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "DOUBLE": T.DoubleType(),
-    "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(), "DATE": T.DateType(),
+    "INTS": T.ArrayType(T.IntegerType()), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(), "DATE": T.DateType(),
 }
 
 
@@ -88,7 +88,7 @@ GOLD_EXPORTS = _gold_exchange("destination_zone", "export_mwh")
 
 LEDGER_LOG = _schema(
     "process STRING, process_ts BIGINT, seq BIGINT, status STRING, start_timestamp TIMESTAMP, "
-    "end_timestamp TIMESTAMP, record_count BIGINT, error_message STRING, range_end TIMESTAMP"
+    "end_timestamp TIMESTAMP, record_count BIGINT, error_message STRING, range_end TIMESTAMP, days INTS"
 )
 LEDGER_STATE = _schema(
     "process STRING, process_ts BIGINT, start_timestamp TIMESTAMP, end_timestamp TIMESTAMP, "

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Streaming state on disk with a cache, so that it may outgrow the executors' memory.
+_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app_name: str = "wattlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` keys use ``__`` for dots."""
     builder = (
@@ -17,6 +21,7 @@ def build_session(app_name: str = "wattlake", master: str | None = None, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
         .config("spark.ui.enabled", "false")
     )
     if master:
