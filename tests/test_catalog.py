@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as registered  # noqa: E402
 from compare import connect, difference  # noqa: E402
+from wattlake.operators import chunks, cleaning, retrieval  # noqa: E402
+from wattlake.sources import tables  # noqa: E402
 
 QUERIES, SQL = registered.queries(), registered.oracle_sql()
 
@@ -52,9 +54,24 @@ def test_no_python_in_the_hot_path(spark, sf_dir, name):
     assert "Python" not in text and "Pandas" not in text
 
 
-@pytest.mark.parametrize("name", ["chunk_fixed", "chunk_recursive", "embed_hashed", "clean_text"])
-def test_text_is_not_shuffled(spark, sf_dir, name):
-    assert "Exchange" not in plan(QUERIES[name](spark, sf_dir))
+def test_text_is_not_shuffled(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    lines = cleaning.boilerplate_lines(docs, 2)
+    for df in (chunks.chunk_fixed(docs), chunks.chunk_tokens(docs), chunks.chunk_recursive(docs),
+               retrieval.embed(docs), cleaning.clean_text(docs, lines)):
+        assert "Exchange" not in plan(df)
+
+
+def test_only_small_scans_are_spread(spark, sf_dir):
+    one = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert "RoundRobin" in plan(tables.spread(one))
+    many = spark.range(0, 1000, 1, 8)
+    assert tables.spread(many) is many
+
+
+def test_hits_are_broadcast_to_their_items(spark, sf_dir):
+    text = plan(QUERIES["rerank_top3"](spark, sf_dir))
+    assert "SortMergeJoin" not in text
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.timecols import day_columns
 from wattlake.schemas import SOURCES
+from wattlake.sources.tables import spread
 
 # Eight zones, the last one without a name.
 ZONES = ["FR", "DE", "ES", "IT-NO", "CH", "BE", "GB", "XX"]
@@ -98,7 +99,8 @@ def silver_flows(spark: SparkSession, sf_dir: str, hourly: bool = True, extra: S
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """Work on texts is heavy per row, so a small table is spread over all cores."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 # ---------------------------------------------------------------- the same in SQL

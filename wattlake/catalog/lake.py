@@ -215,17 +215,42 @@ def medallion_exchanges(spark, sf_dir):
 
 # ---------------------------------------------------------------- SQL over written tables
 
-@query(f"""WITH {_SILVER_MIX}, {fx.wide_sql('good')}, {fx.daily_mix_sql('wide')},
+def _gold_surface(spark, sf_dir) -> SqlSurface:
+    """The three daily products written to a lake and registered under their names."""
+    lake = Lake(spark, scratch_path(spark, "gold"))
+    net = products.daily_net_flows(fx.silver_flows(spark, sf_dir), 1)
+    frames = {
+        "daily_electricity_mix": products.daily_mix(fx.silver_mix(spark, sf_dir), 1),
+        "daily_imports": products.net_imports(net), "daily_exports": products.net_exports(net),
+    }
+    for name, df in frames.items():
+        tables.append(df, lake.path("gold", name), DAY_COLUMNS)
+    surface = SqlSurface(lake)
+    surface.register()
+    return surface
+
+
+@query(f"""WITH {fx.READINGS_SQL}, {fx.wide_sql('readings')}, {fx.daily_mix_sql('wide')},
 picked AS (SELECT zone, date, total_production_mwh FROM gold ORDER BY date DESC, zone LIMIT 10)
 SELECT zone, {fx.date_sql('date')} AS date, round(total_production_mwh, 6) AS total_production_mwh FROM picked""")
 def sql_latest_rows(spark, sf_dir):
     """Latest rows of a lake table by name, in an order without ties."""
-    surface = SqlSurface(run_jobs(spark, sf_dir))
-    surface.register()
-    return surface.sql("""SELECT zone, date, total_production_mwh FROM gold.daily_electricity_mix
+    return _gold_surface(spark, sf_dir).sql("""SELECT zone, date, total_production_mwh FROM gold.daily_electricity_mix
         ORDER BY process_ts DESC, date DESC, zone LIMIT 10""")
 
 
+@query(f"""WITH {fx.FLOWS_SQL}, {fx.net_flows_sql('flows')}
+SELECT zone, sum(CASE WHEN net_flow > 0 THEN 1 ELSE 0 END)::BIGINT AS n_imports,
+  sum(CASE WHEN net_flow < 0 THEN 1 ELSE 0 END)::BIGINT AS n_exports FROM net GROUP BY 1""")
+def sql_bounded(spark, sf_dir):
+    """A read-only query over the gold tables whose result is bounded."""
+    return _gold_surface(spark, sf_dir).bounded("""
+        WITH i AS (SELECT zone, count(*) AS n_imports FROM gold.daily_imports GROUP BY zone),
+             e AS (SELECT zone, count(*) AS n_exports FROM daily_exports GROUP BY zone)
+        SELECT zone, coalesce(n_imports, 0L) AS n_imports, coalesce(n_exports, 0L) AS n_exports
+        FROM i FULL JOIN e USING (zone)""", rows=100)
+
+
 @query(f"""WITH {_SILVER_MIX}, tables AS (
   SELECT 'silver_mix' AS name, least(count(*), 6) AS n_rows, '2' AS newest FROM good)
 SELECT * FROM tables

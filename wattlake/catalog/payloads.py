@@ -47,7 +47,7 @@ def _record(rows, fields):
 
 
 def mix_documents(spark, sf_dir):
-    rows = fx.events(spark, sf_dir).withColumns({
+    rows = tables.spread(fx.events(spark, sf_dir)).withColumns({
         "zone": fx.zone_of(F.col("user_id")), "hour": F.date_trunc("hour", "ts"),
         "source": fx.source_of(F.col("event_type"), F.col("user_id"))})
     power = F.when(~F.col("user_id").between(2, 3), F.col("value"))

@@ -38,7 +38,9 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 
 def _hits(spark, sf_dir, k=retrieval.K):
     items = _items(spark, sf_dir)
-    return retrieval.top_k(_centres(items), items, k).join(items.select("item_id", "label"), "item_id")
+    centres = _centres(items)
+    return retrieval.attach_items(
+        retrieval.top_k(centres, items, k), items.select("item_id", "label"), k * centres.count())
 
 
 _HITS_SQL = "SELECT query_id, item_id, round(score, 6) AS score, rank FROM ranked"
@@ -138,7 +140,8 @@ def _passage_hits(spark, sf_dir, docs=None):
     questions = _questions(spark, sf_dir)
     hits = retrieval.top_k(
         retrieval.embed(questions, "query_text"), retrieval.embed(passages.select("item_id", "text")))
-    return hits.join(passages.select("item_id", "text"), "item_id").join(questions, "query_id")
+    found = retrieval.attach_items(hits, passages.select("item_id", "text"), retrieval.K * questions.count())
+    return found.join(questions, "query_id")
 
 
 @query(f"WITH {_PASSAGES_SQL} SELECT query_id, item_id, round(score, 6) AS score, rank FROM hits")

@@ -130,7 +130,8 @@ def chunk_recursive(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP,
         return texts.map(lambda t: split_recursive(t, size, overlap, separators) if t else [])
 
     others = [c for c in docs.columns if c != "text"]
-    return docs.select(*others, split("text").alias("parts")).select(
+    # Marked so that the optimizer does not evaluate it a second time to look for empty results.
+    return docs.select(*others, split.asNondeterministic()("text").alias("parts")).select(
         *others, F.posexplode("parts").alias("pos", "text")
     )
 

@@ -40,14 +40,13 @@ def record_count(raw_json: Column) -> Column:
         F.lit(0)).cast("bigint")
 
 
-def explode_records(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:
+def explode_records(bronze: DataFrame) -> DataFrame:
     """One row per record, plus one row for each document that cannot be read.
 
     Columns: ``process_ts, zone, record`` and ``document_error`` (null while the document is fine).
     """
-    stamp = F.col("process_ts") if process_ts is None else process_ts
     parsed = bronze.select(
-        stamp.cast("bigint").alias("process_ts"), "zone", "raw_json", _document(F.col("raw_json")).alias("doc"))
+        F.col("process_ts").cast("bigint"), "zone", "raw_json", _document(F.col("raw_json")).alias("doc"))
     top = json_object(F.col("raw_json"))
     document_error = (
         F.when(F.col("raw_json").isNull() | has_trailing_text(F.col("raw_json")), MALFORMED_JSON)
@@ -97,9 +96,9 @@ _MIX_FIELDS = (
 )
 
 
-def flatten_mix(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:
+def flatten_mix(bronze: DataFrame) -> DataFrame:
     """Mix documents to rows of the mix table plus ``error_code``, ``record`` and ``datetime_text``."""
-    rows = _parse_records(explode_records(bronze, process_ts), _MIX_FIELDS)
+    rows = _parse_records(explode_records(bronze), _MIX_FIELDS)
     mix = F.col("rec.mix")
     mix_error = F.when(
         mix.isNull() & F.map_contains_key(json_object(F.col("record")), F.lit("mix")), F.lit(MIX_NOT_AN_OBJECT))
@@ -131,14 +130,14 @@ def _exchange_error(side: str) -> Column:
     )
 
 
-def flatten_flows(bronze: DataFrame, process_ts: Column | None = None) -> DataFrame:
+def flatten_flows(bronze: DataFrame) -> DataFrame:
     """Flow documents to one row per neighbour and direction, plus the quarantine columns.
 
     A record with any bad entry is quarantined as a whole.
     """
     entry = "array<struct<neighbor_zone: string, direction: string, power_mw: double>>"
     rows = _parse_records(
-        explode_records(bronze, process_ts), "import: map<string,string>, export: map<string,string>")
+        explode_records(bronze), "import: map<string,string>, export: map<string,string>")
     rows = rows.withColumn(
         "error_code", F.coalesce(_time_error(), _exchange_error("import"), _exchange_error("export")))
 

@@ -23,6 +23,8 @@ K, RERANKED = 5, 3
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_BLOCK = 4096
 QUERIES_PER_SLICE = 512
+# Hits up to this number are sent to the items instead of shuffling the items to the hits.
+MAX_BROADCAST_HITS = 1_000_000
 _SCORE_DIGITS = 9  # scores are rounded before ranking, so that equal vectors tie exactly
 
 _WORD = re.compile(r"[^\W_]+")
@@ -54,7 +56,8 @@ def embed(df: DataFrame, text: str = "text", output: str = "embedding",
     def vectors(texts: pd.Series) -> pd.Series:
         return pd.Series(model(texts), index=texts.index, dtype=object)
 
-    return df.withColumn(output, vectors(text))
+    # Marked so that the optimizer does not evaluate it a second time for a filter on its result.
+    return df.withColumn(output, vectors.asNondeterministic()(text))
 
 
 # ---------------------------------------------------------------- nearest neighbours
@@ -201,7 +204,7 @@ def assign_cells(items: DataFrame, centres: DataFrame) -> DataFrame:
         best = scores.argmax(axis=1)
         return pd.DataFrame({"cell": ids[best], "angle": np.arccos(np.clip(scores.max(axis=1), -1, 1))})
 
-    return items.withColumn("__near", nearest("embedding")).select(*items.columns, "__near.cell", "__near.angle")
+    return items.withColumn("__near", nearest.asNondeterministic()("embedding")).select(*items.columns, "__near.cell", "__near.angle")
 
 
 def top_k_in_cells(queries: DataFrame, items: DataFrame, centres: DataFrame, k: int = K,
@@ -250,6 +253,15 @@ def word_set(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), 1))
 
 
+def attach_items(hits: DataFrame, items: DataFrame, max_hits: int) -> DataFrame:
+    """``hits`` with the other columns of their items.
+
+    ``max_hits`` is ``k`` times the number of queries. While that is small the hits are broadcast and
+    the items, of whatever size, stay where they are.
+    """
+    return items.join(F.broadcast(hits) if max_hits <= MAX_BROADCAST_HITS else hits, "item_id")
+
+
 def rerank(hits: DataFrame, keep: int = RERANKED) -> DataFrame:
     """Best ``keep`` of the retrieved items by the share of query words they contain.
 

@@ -75,6 +75,16 @@ def only_batches(df: DataFrame, batches: DataFrame | Sequence[int]) -> DataFrame
     return df.where(F.col("process_ts").isin(list(batches)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has far fewer splits than there are cores.
+
+    For work that is heavy per row. Large inputs have splits enough and are left as they are, so
+    nothing is shuffled at scale. ``df`` must be a scan with narrow steps only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     return df.limit(rows)
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattlake import schemas as S
-from wattlake.operators.flatten import flatten_flows, flatten_mix
-from wattlake.plans.jobs import DEFAULT_URL, SILVER_TABLES, clean_rows
+from wattlake.plans.jobs import DEFAULT_URL, SILVER_TABLES, refine
 from wattlake.sources import tables
 from wattlake.sources.landing import envelope
 
@@ -52,18 +51,13 @@ def stream_silver(bronze: DataFrame, name: str, path: str, bad_path: str, checkp
     rows go to a folder per micro-batch, which a repeated batch overwrites.
     """
     table = SILVER_TABLES[name]
-    flatten = flatten_mix if name == "mix" else flatten_flows
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        flat = flatten(batch).persist()
-        try:
-            good, bad = clean_rows(flat, table)
-            days = tables.upsert_by_keys(good, path, table.keys, table.schema, keep, known_unique=True)
-            bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
-            if then is not None:
-                then(days)
-        finally:
-            flat.unpersist()
+        per_day, _ = refine(
+            batch, table, path, keep,
+            lambda bad: bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}"))
+        if then is not None:
+            then(sorted(per_day))
 
     return run_available(bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
