@@ -1,0 +1,168 @@
+"""Invariants on random and skewed data, against plain Python."""
+
+import json
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wattlake import schemas as S
+from wattlake.operators import products
+from wattlake.operators.flatten import bad_rows, flatten_flows, flatten_mix, good_rows
+from wattlake.operators.keys import duplicate_keys, latest_by_key
+from wattlake.plans.jobs import Lake, ingest_bronze, transform_gold, transform_silver
+from wattlake.sources import tables
+
+from test_flatten import documents
+from test_products import flows, readings
+
+START = datetime(2026, 4, 1)
+ZONES = ["FR"] * 6 + ["DE", "XX", "CH"]  # one zone holds most rows
+
+
+def random_hour(rng):
+    return START + timedelta(hours=rng.randrange(24 * 6))
+
+
+def test_shares_add_up_and_match_plain_sums(spark):
+    rng = random.Random(1)
+    rows = [
+        (rng.choice(ZONES), random_hour(rng), {s: round(rng.uniform(0, 50), 2) for s in rng.sample(S.SOURCES, 4)})
+        for _ in range(800)
+    ]
+    energy, hours = defaultdict(lambda: defaultdict(float)), defaultdict(set)
+    for zone, t, values in rows:
+        hours[zone, t.date()].add(t)
+        for s, v in values.items():
+            energy[zone, t.date()][s] += v
+    got = products.daily_mix(readings(spark, *rows), 1).collect()
+    assert len(got) == len(hours)
+    for r in got:
+        e = energy[r.zone, r.date]
+        total = sum(e.values())
+        assert r.hours_covered == len(hours[r.zone, r.date])
+        assert r.total_production_mwh == pytest.approx(total)
+        for s in S.SOURCES:
+            assert r[f"{s}_pct"] == pytest.approx(e[s] / total * 100)
+        assert sum(r[f"{s}_pct"] for s in S.SOURCES) == pytest.approx(100)
+        assert r.renewable_avg_pct <= r.fossil_free_avg_pct + 1e-9
+
+
+def test_net_flows_balance(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(ZONES), random_hour(rng), rng.choice(["DE", "BE"]), rng.choice(["import", "export"]),
+             float(rng.randrange(5))) for _ in range(600)]
+    net = products.daily_net_flows(flows(spark, *rows), 1)
+    imports = sum(r.import_mwh for r in products.net_imports(net).collect())
+    exports = sum(r.export_mwh for r in products.net_exports(net).collect())
+    signed = sum(r[4] if r[3] == "import" else -r[4] for r in rows)
+    assert imports - exports == pytest.approx(signed)
+    assert products.net_imports(net).where("import_mwh <= 0").count() == 0
+
+
+def test_every_record_is_either_good_or_bad(spark):
+    rng = random.Random(3)
+    times = ["2026-04-01T00:00:00Z", "soon", None, 5, ""]
+    records = [
+        rng.choice([
+            {"datetime": rng.choice(times), "updatedAt": rng.choice(times), "mix": rng.choice([{}, {"wind": 1}, None, 3]),
+             "import": rng.choice([{"BE": 1}, {"BE": "x"}, None, 4])},
+            7, "text", None, [], {},
+        ]) for _ in range(300)
+    ]
+    docs = documents(spark, *[{"data": records[i:i + 10]} for i in range(0, 300, 10)])
+    mix = flatten_mix(docs)
+    assert good_rows(mix).count() + bad_rows(mix).count() == 300
+    flow = flatten_flows(docs)
+    entries = good_rows(flow).count()  # at most one entry per good record here
+
+    def is_good(r):
+        return (isinstance(r, dict) and r.get("datetime") == times[0] and r.get("updatedAt") == times[0]
+                and r.get("import") not in ({"BE": "x"}, 4))
+
+    assert entries == sum(is_good(r) and r["import"] is not None for r in records)
+    assert bad_rows(flow).count() == sum(not is_good(r) for r in records)
+
+
+def test_latest_row_of_a_hot_key(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("key"),
+        F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("updated_at"), F.col("id"))
+    latest = latest_by_key(rows, ["key"], ["updated_at"], settle_ties=True)
+    want = rows.groupBy("key").agg(F.max("updated_at").alias("m"))
+    assert latest.count() == 500 == latest.join(want, "key").where("updated_at = m").count()
+    assert duplicate_keys(latest, ["key"]).count() == 0
+    # ties are settled the same way however the rows are spread
+    again = latest_by_key(rows.repartition(7), ["key"], ["updated_at"], settle_ties=True)
+    assert latest.exceptAll(again).count() == 0
+
+
+_row = st.tuples(st.integers(1, 3), st.sampled_from(["DE", "BE"]), st.integers(0, 9))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(_row, max_size=6, unique_by=lambda r: r[:2]), min_size=1, max_size=3))
+def test_upserts_behave_like_a_dictionary(spark, tmp_path_factory, batches):
+    path, model = str(tmp_path_factory.mktemp("upsert")) + "/t", {}
+    for batch in batches:
+        data = [(1, "FR", datetime(2026, 4, d), datetime(2026, 4, d), n, "import", float(v), 2026, 4, d)
+                for d, n, v in batch]
+        for _ in range(2):  # the second time changes nothing
+            tables.upsert_by_keys(spark.createDataFrame(data, S.SILVER_FLOWS), path, S.FLOW_KEYS, S.SILVER_FLOWS)
+        model.update({(d, n): float(v) for d, n, v in batch})
+        table = tables.read_table(spark, path, S.SILVER_FLOWS)
+        assert {(r.day, r.neighbor_zone): r.power_mw for r in table.collect()} == model
+        assert table.count() == len(model)
+
+
+def test_incremental_runs_equal_one_run(spark, tmp_path):
+    rng = random.Random(5)
+
+    def document(kind, n):
+        records = []
+        for _ in range(n):
+            hour = random_hour(rng)
+            rec = {"datetime": hour.strftime("%Y-%m-%dT%H:%M:%SZ"),
+                   "updatedAt": (hour + timedelta(seconds=rng.randrange(10**6))).strftime("%Y-%m-%dT%H:%M:%SZ")}
+            if kind == "mix":
+                rec["mix"] = {s: rng.randrange(100) for s in rng.sample(S.SOURCES, 3)}
+            else:
+                rec |= {"import": {"DE": rng.randrange(50)}, "export": {"BE": rng.randrange(50), "DE": rng.randrange(50)}}
+            records.append(rec)
+        return json.dumps({"zone": rng.choice(ZONES), "data": records})
+
+    batches = [([document("mix", 40) for _ in range(3)], [document("flows", 40) for _ in range(3)]) for _ in range(3)]
+
+    def frame(texts):
+        return spark.createDataFrame([(t,) for t in texts], "raw_json string")
+
+    def gold(lake):
+        return {
+            name: sorted(
+                tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                for r in tables.read_table(spark, lake.path("gold", name), schema).drop("process_ts").collect())
+            for name, schema in (("daily_electricity_mix", S.GOLD_MIX), ("daily_imports", S.GOLD_IMPORTS),
+                                 ("daily_exports", S.GOLD_EXPORTS))
+        }
+
+    step, once = Lake(spark, str(tmp_path / "step")), Lake(spark, str(tmp_path / "once"))
+    for i, (mix, flow) in enumerate(batches):
+        ingest_bronze(step, frame(mix), frame(flow), 10 + i)
+        transform_silver(step, 20 + i, keep="latest")
+        transform_gold(step, 30 + i)
+    ingest_bronze(once, frame(sum((m for m, _ in batches), [])), frame(sum((f for _, f in batches), [])), 10)
+    transform_silver(once, 20)
+    transform_gold(once, 30)
+    assert gold(step) == gold(once)
+
+
+def test_writes_are_rebalanced_by_day(spark, tmp_path):
+    rows = spark.range(100).select("id", F.lit(2026).alias("year"), F.lit(4).alias("month"), (F.col("id") % 3).cast("int").alias("day"))
+    text = rows.hint("rebalance", *S.DAY_COLUMNS)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
+    tables.overwrite_partitions(rows, str(tmp_path / "t"))
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in (tmp_path / "t").glob("year=*/month=*/day=*"))

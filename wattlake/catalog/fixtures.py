@@ -38,7 +38,7 @@ def zone_of(user: Column) -> Column:
 
 
 def source_of(event_type: Column, user: Column) -> Column:
-    odd = F.pmod(F.floor(user / 8), F.lit(2)) == 1
+    odd = F.pmod(whole_part(user, 8), F.lit(2)) == 1
     chain = None
     for kind, (even_source, odd_source) in SOURCE_OF_EVENT.items():
         value = F.when(odd, odd_source).otherwise(even_source)
@@ -46,9 +46,13 @@ def source_of(event_type: Column, user: Column) -> Column:
     return chain
 
 
+def whole_part(value: Column, divisor: int) -> Column:
+    return F.call_function("div", value, F.lit(divisor))
+
+
 def batch_of(event_id: Column) -> Column:
     """A batch holds a hundred consecutive events."""
-    return F.floor(event_id / 100)
+    return whole_part(event_id, 100)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ def _iso(column: str):
 
 def _pages(records):
     """Records (``event_id, zone, value, record``) as documents ``zone, page, raw_json``."""
-    grouped = records.groupBy("zone", F.floor(F.col("event_id") / PAGE).alias("page")).agg(
+    grouped = records.groupBy("zone", fx.whole_part(F.col("event_id"), PAGE).alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("event_id", "value", "record"))).alias("r"))
     text = F.concat(
         F.lit('{"zone":"'), F.col("zone"), F.lit('","temporalGranularity":"hourly","unit":"MW","data":['),

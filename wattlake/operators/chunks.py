@@ -59,12 +59,13 @@ def chunk_tokens(docs: DataFrame, size: int = TOKENS, overlap: int = TOKEN_OVERL
     """Windows of ``size`` words; columns as for ``chunk_fixed``."""
     others = [c for c in docs.columns if c != "text"]
     words = docs.select(*others, F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("words"))
-    return words.where(F.size("words") > 0).select(
-        *others,
-        F.posexplode(F.transform(
-            _starts(F.size("words"), size, overlap),
-            lambda start: F.array_join(F.slice("words", start, F.lit(size)), " "),
-        )).alias("pos", "text"),
+    windows = F.transform(
+        _starts(F.size("words"), size, overlap),
+        lambda start: F.array_join(F.slice("words", start, F.lit(size)), " "),
+    )
+    # an empty list instead of a filter, which would split the text a second time
+    return words.select(
+        *others, F.posexplode(F.when(F.size("words") > 0, windows).otherwise(F.array())).alias("pos", "text")
     )
 
 

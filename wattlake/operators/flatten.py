@@ -114,10 +114,20 @@ def flatten_mix(bronze: DataFrame) -> DataFrame:
         "estimation_method": F.col("rec.estimationMethod"),
         **day_columns(F.col("datetime")),
     }
-    return rows.select(
-        *[computed.get(n, F.col(n)).alias(n) for n in SILVER_MIX.fieldNames()],
-        F.coalesce(_time_error(), mix_error).alias("error_code"), "record", "datetime_text",
-    )
+    rows = rows.withColumn("error_code", F.coalesce(_time_error(), mix_error))
+    row = F.struct(
+        *[computed.get(n, F.col(n)).alias(n) for n in SILVER_MIX.fieldNames()], *_quarantine_columns())
+    return rows.select(F.inline(F.array(row)))
+
+
+def _quarantine_columns() -> list[Column]:
+    """``error_code``, and what the quarantine keeps of a bad record; good rows carry no texts.
+
+    Both functions generate their rows, although a mix record is one row: a filter on ``error_code``
+    stays above a generator, while pushed further down it would parse every record again.
+    """
+    bad = F.col("error_code").isNotNull()
+    return [F.col("error_code"), *[F.when(bad, F.col(c)).alias(c) for c in ("record", "datetime_text")]]
 
 
 def _exchange_error(side: str) -> Column:
@@ -135,11 +145,10 @@ def flatten_flows(bronze: DataFrame) -> DataFrame:
 
     A record with any bad entry is quarantined as a whole.
     """
+    rows = _parse_records(explode_records(bronze), "import: map<string,string>, export: map<string,string>")
+    error = F.coalesce(_time_error(), _exchange_error("import"), _exchange_error("export"))
+    rows = rows.withColumn("error_code", error)
     entry = "array<struct<neighbor_zone: string, direction: string, power_mw: double>>"
-    rows = _parse_records(
-        explode_records(bronze), "import: map<string,string>, export: map<string,string>")
-    rows = rows.withColumn(
-        "error_code", F.coalesce(_time_error(), _exchange_error("import"), _exchange_error("export")))
 
     def entries(side: str) -> Column:
         return F.coalesce(F.transform(
@@ -147,19 +156,17 @@ def flatten_flows(bronze: DataFrame) -> DataFrame:
             lambda e: F.struct(e["key"], F.lit(side), F.coalesce(e["value"].try_cast("double"), F.lit(0.0))),
         ), F.array()).cast(entry)
 
-    one_empty_entry = F.array(F.lit(None)).cast(entry)
-    unpivoted = rows.select(
-        "process_ts", "zone", "datetime", "updated_at", "error_code", "record", "datetime_text",
-        F.inline(
-            F.when(F.col("error_code").isNotNull(), one_empty_entry)
-            .otherwise(F.concat(entries("import"), entries("export")))
-        ),
-    )
-    computed = day_columns(F.col("datetime"))
-    return unpivoted.select(
-        *[computed.get(n, F.col(n)).alias(n) for n in SILVER_FLOWS.fieldNames()],
-        "error_code", "record", "datetime_text",
-    )
+    nothing = F.array(F.struct(F.lit(None), F.lit(None), F.lit(None))).cast(entry)
+    all_entries = F.when(F.col("error_code").isNotNull(), nothing).otherwise(
+        F.concat(entries("import"), entries("export")))
+    days = day_columns(F.col("datetime"))
+
+    def row(e: Column) -> Column:
+        columns = {n: e[n] for n in ("neighbor_zone", "direction", "power_mw")} | days
+        return F.struct(
+            *[columns.get(n, F.col(n)).alias(n) for n in SILVER_FLOWS.fieldNames()], *_quarantine_columns())
+
+    return rows.select(F.inline(F.transform(all_entries, row)))
 
 
 def good_rows(flat: DataFrame) -> DataFrame:

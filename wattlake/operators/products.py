@@ -112,11 +112,10 @@ def coverage(gold: DataFrame, as_of: Column | None = None) -> DataFrame:
 def missing_hours(readings: DataFrame, first: Column, last: Column) -> DataFrame:
     """Hours in ``[first, last]`` for which a zone has no reading.
 
-    The expected hours come from each zone's own aggregate, so nothing is crossed: one row per zone
-    is exploded into its hours and the hours present are taken away.
+    One pass: the hours present are gathered per zone, at most one entry per hour of the window, and
+    taken away from the expected ones.
     """
-    expected = readings.select("zone").distinct().select(
-        "zone", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("datetime")
-    )
-    present = readings.select("zone", F.date_trunc("hour", "datetime").alias("datetime")).distinct()
-    return expected.join(present, ["zone", "datetime"], "left_anti")
+    hour = F.date_trunc("hour", "datetime")
+    per_zone = readings.groupBy("zone").agg(F.collect_set(F.when(hour.between(first, last), hour)).alias("present"))
+    expected = F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))
+    return per_zone.select("zone", F.explode(F.array_except(expected, F.col("present"))).alias("datetime"))

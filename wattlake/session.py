@@ -38,6 +38,9 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -49,9 +52,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="wattlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="wattlake-")
+    return _local_folders[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
