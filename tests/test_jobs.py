@@ -158,6 +158,26 @@ def test_ledger_transitions(lake):
     assert ledger.last_process_ts("bronze") == datetime(1970, 1, 1, 0, 0, 2, tzinfo=timezone.utc)
 
 
+def test_compacted_ledger_says_the_same(lake, monkeypatch):
+    ledger = lake.ledger
+    for ts in (1, 2, 3):
+        ledger.open("bronze", ts)
+        ledger.mark_ready("bronze", ts, ts * 10, days=[(2026, 4, ts)])
+    ledger.mark_error("silver", 9, "lost")
+    before = sorted(map(str, ledger.state().collect()))
+    ledger.compact()
+    assert len(ledger.log().inputFiles()) == 1
+    assert sorted(map(str, ledger.state().collect())) == before
+    assert ledger.days_of("bronze", [1, 3]) == [(2026, 4, 1), (2026, 4, 3)]
+    assert ledger.days_of("silver", [9]) is None
+    monkeypatch.setattr("wattlake.operators.ledger.MAX_LOG_FILES", 1)
+    ledger.open("bronze", 4)
+    assert ledger.claim_ready("bronze") == [1, 2, 3]
+    ledger.mark_complete("bronze", [1])
+    assert status(lake) == {("bronze", 1): "C", ("bronze", 2): "P", ("bronze", 3): "P", ("bronze", 4): "I",
+                            ("silver", 9): "I"}
+
+
 def test_catch_up_window(lake):
     now = datetime(2026, 4, 23, 12, 34, tzinfo=timezone.utc)
     hour = timedelta(hours=1)

@@ -305,7 +305,7 @@ state AS (SELECT v.process, v.process_ts, a.status, b.start_timestamp, c.end_tim
 @query(f"""WITH {_LOG} SELECT process, process_ts, {fx.time_sql('start_timestamp')} AS start_timestamp,
   {fx.time_sql('end_timestamp')} AS end_timestamp, status, record_count, error_message FROM state""")
 def ledger_current_state(spark, sf_dir):
-    return ledger.current_state(ledger_log(spark, sf_dir)).drop("range_end", "days")
+    return ledger.current_state(ledger_log(spark, sf_dir)).drop("seq", "range_end", "days")
 
 
 @query(f"WITH {_LOG} SELECT process_ts FROM state WHERE process = 'silver' AND status = 'R'")

@@ -265,7 +265,7 @@ def sql_inspections(spark, sf_dir):
     surface.register()
     shown = [
         surface.latest_rows(table, rows).agg(
-            F.lit(name).alias("name"), F.count(F.lit(1)).cast("int").alias("n_rows"),
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"),
             F.max("process_ts").cast("string").alias("newest"))
         for name, (table, rows) in INSPECTIONS.items()
     ]

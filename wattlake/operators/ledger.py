@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.timecols import floor_to_hour, process_ts_to_timestamp, utc
 from wattlake.schemas import LEDGER_LOG, LEDGER_STATE
-from wattlake.sources.tables import Day, only_batches, read_table
+from wattlake.sources.tables import Day, only_batches, read_table, remove_files
+
+MAX_LOG_FILES = 100  # every status change adds a file; beyond this many they are put together
 
 _CARRIED = ["start_timestamp", "end_timestamp", "record_count", "error_message", "range_end", "days"]
 
@@ -26,7 +28,8 @@ def current_state(log: DataFrame) -> DataFrame:
     def last(column: str):
         return F.max_by(column, F.when(F.col(column).isNotNull(), F.col("seq"))).alias(column)
 
-    return log.groupBy("process", "process_ts").agg(last("status"), *[last(c) for c in _CARRIED])
+    return log.groupBy("process", "process_ts").agg(
+        F.max("seq").alias("seq"), last("status"), *[last(c) for c in _CARRIED])
 
 
 def ready_batches(log: DataFrame, process: str) -> DataFrame:
@@ -105,8 +108,23 @@ class Ledger:
         self._append(process, [process_ts], "R", record_count=record_count, range_end=range_end,
                      end_timestamp=end or datetime.now(timezone.utc), days=numbers)
 
+    def compact(self) -> None:
+        """Replace the small files of the log by one that holds the current state.
+
+        The state is appended before the files it was read from are deleted, and says the same as they
+        do, so stopping in between does no harm.
+        """
+        log = self.log()
+        old = log.inputFiles()
+        if len(old) > 1:
+            state = current_state(log).select(*LEDGER_LOG.fieldNames())
+            state.coalesce(1).write.mode("append").parquet(self.path)
+            remove_files(self.spark, old)
+
     def claim_ready(self, process: str) -> list[int]:
         """Ids of all ready batches, now marked as claimed. One id per pending batch, not per row."""
+        if len(self.log().inputFiles()) > MAX_LOG_FILES:
+            self.compact()
         claimed = sorted(r.process_ts for r in ready_batches(self.log(), process).collect())
         self._append(process, claimed, "P")
         return claimed

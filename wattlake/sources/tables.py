@@ -32,12 +32,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def remove_files(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete files or folders; those already gone are skipped."""
+    for path in paths:
+        hadoop_path, fs = _file_system(spark, path)
+        fs.delete(hadoop_path, True)
+
+
 def remove_days(spark: SparkSession, path: str, days: Sequence[Day]) -> None:
     """Remove whole day partitions, which an overwrite without rows would leave behind."""
-    for year, month, day in days:
-        hadoop_path, fs = _file_system(spark, f"{path}/year={year}/month={month}/day={day}")
-        if fs.exists(hadoop_path):
-            fs.delete(hadoop_path, True)
+    remove_files(spark, [f"{path}/year={y}/month={m}/day={d}" for y, m, d in days])
 
 
 # ---------------------------------------------------------------- scans
