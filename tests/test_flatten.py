@@ -1,7 +1,7 @@
 """Flattening and quarantine of raw documents."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +143,24 @@ def test_iso_timestamp(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")
     got = df.select(F.to_timestamp_ntz(F.date_format(iso_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss.SSSSSS"))).first()[0]
     assert got == expected
+
+
+def test_iso_timestamp_agrees_with_python(spark):
+    dates = ["2026-04-23", "20260423", "2026-4-23", "2026-04", "2024-02-29", "2023-02-29", "2026-13-01", "2026-0423"]
+    separators = ["T", " ", "_", "", "TT"]
+    times = ["09", "09:30", "0930", "09:30:15", "093015", "09:30:15.5", "09:30:15.1234567", "09:30:15,25", "24:00",
+             "09:60", "9:30", "", "0930:15", "09:3015"]
+    offsets = ["", "Z", "z", "+02:00", "-0130", "+02", "+02:00:30", "+24:00", "+23:59", "-18:30", "+2", "+0200:30"]
+    texts = sorted({d + s + t + o for d in dates for s in separators for t in times for o in offsets})
+
+    def python(text):
+        try:
+            parsed = datetime.fromisoformat(text)
+        except ValueError:
+            return None
+        parsed = parsed if parsed.tzinfo else parsed.replace(tzinfo=timezone.utc)
+        return parsed.astimezone(timezone.utc).replace(tzinfo=None)
+
+    stamp = F.to_timestamp_ntz(F.date_format(iso_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", stamp.alias("ts")).collect()
+    assert [(r.t, r.ts, python(r.t)) for r in rows if r.ts != python(r.t)] == []
