@@ -5,7 +5,6 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from wattlake import schemas as S
 from wattlake.operators.contracts import ContractViolation
@@ -91,6 +90,31 @@ def test_quarantine(lake, mix_payload):
     assert not tables.table_exists(lake.spark, lake.path("silver", "silver_flows_bad_data"))
 
 
+def test_batch_without_good_rows(lake):
+    land(lake, ["{ malformed }"], [{"data": []}], 10)
+    assert transform_silver(lake, 20)["bad_mix_records"] == 1
+    gold = transform_gold(lake, 30)
+    assert (gold["mix_records"], gold["imports_records"], gold["exports_records"]) == (0, 0, 0)
+    assert status(lake)[("silver", 20)] == "C"
+
+
+def test_failed_silver_hands_its_batches_back(lake, mix_payload, monkeypatch):
+    land(lake, [mix_payload], [{}], 10)
+    monkeypatch.setattr("wattlake.plans.jobs.tables.upsert_by_keys", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        transform_silver(lake, 20)
+    assert status(lake) == {("bronze", 10): "R", ("silver", 20): "I"}
+    monkeypatch.undo()
+    assert transform_silver(lake, 21)["mix_records"] == 1
+
+
+def test_silver_without_known_days_is_scanned_for_them(lake, mix_payload, flows_payload, monkeypatch):
+    land(lake, [mix_payload], [flows_payload], 10)
+    monkeypatch.setattr(Ledger, "days_of", lambda *a: None)
+    assert transform_silver(lake, 20)["flows_records"] == 4
+    assert transform_gold(lake, 30)["imports_records"] == 2
+
+
 def test_gold_failure_leaves_silver_ready(lake, mix_payload, flows_payload):
     mix_payload["data"][0]["mix"]["nuclear"] = -100.0
     land(lake, [mix_payload], [flows_payload], 10)

@@ -95,5 +95,7 @@ def test_rerank_context_evaluation_and_trace(spark):
     assert context[1].context == "wind only\n\nsolar POWER!" and context[1].citations == "a,b"
     queries = spark.createDataFrame([(1,), (2,), (3,)], "query_id long")
     row = retrieval.evaluate(hits, F.col("item_id") == "b", queries).first()
-    assert (row.n_queries, round(row.hit_rate, 6), round(row.mrr, 6)) == (3, 0.333333, 0.166667)
+    assert (row.k, row.n_queries, round(row.hit_rate, 6), round(row.mrr, 6)) == (5, 3, 0.333333, 0.166667)
+    by_k = {r.k: r.mrr for r in retrieval.evaluate(hits, F.col("item_id") == "c", queries, [1, 3]).collect()}
+    assert by_k[1] == 0 and round(by_k[3], 6) == 0.111111
     assert retrieval.trace(hits, "r1").where("run_id = 'r1' AND retrieved_at IS NOT NULL").count() == 5

@@ -75,20 +75,37 @@ def stream_dedup(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.sum("mw").alias("total_mw"), F.max("event_id").alias("last_event"))
 
 
-@query(f"""WITH {fx.READINGS_SQL}
+_DAILY = f"""WITH {fx.READINGS_SQL}
 SELECT zone, {fx.date_sql('datetime')} AS date, round(sum(mw), 6) AS total_mwh, count(*) AS n_rows,
   count(DISTINCT datetime)::INTEGER AS hours_covered
-FROM readings GROUP BY zone, {fx.date_sql('datetime')}, datetime::DATE
-HAVING datetime::DATE + INTERVAL 1 DAY <= (SELECT max(updated_at) FROM readings) - INTERVAL 6 HOUR""")
-def stream_daily_closed(spark, sf_dir):
-    """Daily totals of the days that are closed six hours after their end."""
+FROM readings GROUP BY zone, {fx.date_sql('datetime')}, datetime::DATE"""
+
+
+def _daily_stream(spark, sf_dir, delay: str, files_per_batch: int):
+    """Readings written as files, streamed into daily totals per zone."""
     source = scratch_path(spark, "readings")
     rows = fx.readings(spark, sf_dir)
-    rows.repartitionByRange(4, "updated_at").write.parquet(source)
-    out = scratch_path(spark, "daily")
-    # one micro-batch takes all files: their order is not that of their times
-    stream = jobs.daily_windows(
-        jobs.stream_files(spark, source, rows.schema), ["zone"], "updated_at", "6 hours",
+    rows.repartition(4, "event_id").write.parquet(source)
+    return jobs.daily_windows(
+        jobs.stream_files(spark, source, rows.schema, files_per_batch=files_per_batch), ["zone"], "updated_at", delay,
         {"total_mwh": F.sum("mw"), "n_rows": F.count(F.lit(1))})
+
+
+@query(f"""{_DAILY}
+HAVING datetime::DATE + INTERVAL 1 DAY <= (SELECT max(updated_at) FROM readings) - INTERVAL 6 HOUR""")
+def stream_daily_closed(spark, sf_dir):
+    """Daily totals of the days that are closed six hours after their end, taken in one micro-batch."""
+    stream = _daily_stream(spark, sf_dir, "6 hours", 1000)
+    out = scratch_path(spark, "daily")
     jobs.append_parquet(stream, out, scratch_path(spark, "checkpoint"))
     return spark.read.schema(stream.schema).parquet(out)
+
+
+@query(_DAILY)
+def stream_daily_current(spark, sf_dir):
+    """Daily totals of all days, open ones included, brought up to date by every micro-batch."""
+    # files are not in the order of time, so nothing may count as late
+    stream = _daily_stream(spark, sf_dir, "60 days", 2)
+    out = scratch_path(spark, "daily")
+    jobs.keep_daily_current(stream, out, scratch_path(spark, "checkpoint"), ["zone"])
+    return spark.read.parquet(out).select(*stream.columns)

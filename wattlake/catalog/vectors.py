@@ -76,14 +76,15 @@ def topk_filtered(spark, sf_dir):
     return retrieval.top_k(_centres(items), items.where(F.col("label").isin(1, 3, 5, 7, 9)))
 
 
-@query(f"""WITH {_CENTRES_SQL}, {_ranked_sql()}, first_hit AS (
+@query(f"""WITH {_CENTRES_SQL}, {_ranked_sql(k=20)}, first_hit AS (
   SELECT query_id, min(rank) AS r FROM ranked WHERE label = query_id GROUP BY 1)
-SELECT count(*) AS n_queries, round(avg(CASE WHEN r IS NULL THEN 0.0 ELSE 1.0 END), 6) AS hit_rate,
-  round(avg(coalesce(1.0 / r, 0.0)), 6) AS mrr FROM centres LEFT JOIN first_hit USING (query_id)""")
+SELECT k, count(*) AS n_queries, round(avg(CASE WHEN r <= k THEN 1.0 ELSE 0.0 END), 6) AS hit_rate,
+  round(avg(CASE WHEN r <= k THEN 1.0 / r ELSE 0.0 END), 6) AS mrr
+FROM centres LEFT JOIN first_hit USING (query_id), (VALUES (1), (3), (5), (20)) AS c(k) GROUP BY 1""")
 def retrieval_hit_rate(spark, sf_dir):
-    """Hit rate and mean reciprocal rank, a hit being a vector of the query's own label."""
+    """Hit rate and mean reciprocal rank at several cut-offs, a hit being a vector of the query's own label."""
     return retrieval.evaluate(
-        _hits(spark, sf_dir), F.col("label") == F.col("query_id"), _centres(_items(spark, sf_dir)))
+        _hits(spark, sf_dir, 20), F.col("label") == F.col("query_id"), _centres(_items(spark, sf_dir)), [1, 3, 5, 20])
 
 
 @query(f"WITH {_CENTRES_SQL}, {_ranked_sql()} SELECT 'run-1' AS run_id, query_id, rank, item_id, round(score, 6) AS score FROM ranked")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -82,19 +82,24 @@ def _best(query_ids: np.ndarray, query_matrix: np.ndarray, item_ids: np.ndarray,
           k: int) -> pd.DataFrame:
     """The ``k`` best items of each query within one block, ties by the lower id.
 
-    A partial sort would cut ties at the k-th score, so everything at or above that score is kept
-    for the final sort. Queries go in slices to bound the score matrix.
+    Exactly ``k`` are picked even if the block is full of copies of one item: those above the k-th
+    score, then as many of those with that score as are missing, in the order of their ids. Queries
+    go in slices to bound the score matrix.
     """
+    by_id = np.argsort(item_ids, kind="stable")
+    item_ids, item_matrix = item_ids[by_id], item_matrix[by_id]
     found = []
     for i in range(0, len(query_ids), QUERIES_PER_SLICE):
         ids = query_ids[i:i + QUERIES_PER_SLICE]
         scores = np.round(query_matrix[i:i + QUERIES_PER_SLICE] @ item_matrix.T, _SCORE_DIGITS)
-        kth = np.full((len(ids), 1), -np.inf)
+        picked = np.ones(scores.shape, dtype=bool)
         if scores.shape[1] > k:
             kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
-        rows, cols = np.nonzero(scores >= kth)
-        block = pd.DataFrame({"query_id": ids[rows], "item_id": item_ids[cols], "score": scores[rows, cols]})
-        found.append(_first_k(block, k))
+            above, level = scores > kth, scores == kth
+            missing = k - above.sum(axis=1, keepdims=True)
+            picked = above | (level & (np.cumsum(level, axis=1) <= missing))
+        rows, cols = np.nonzero(picked)
+        found.append(pd.DataFrame({"query_id": ids[rows], "item_id": item_ids[cols], "score": scores[rows, cols]}))
     return pd.concat(found)
 
 
@@ -117,7 +122,7 @@ def _search_batches(query_ids: np.ndarray, query_matrix: np.ndarray, k: int,
         kept = None
         for batch in batches:
             for found in scored(batch) if len(batch) else ():
-                kept = found if kept is None else _first_k(pd.concat([kept, found]), k)
+                kept = _first_k(found if kept is None else pd.concat([kept, found]), k)
         if kept is not None:
             yield kept
     return search
@@ -204,7 +209,8 @@ def assign_cells(items: DataFrame, centres: DataFrame) -> DataFrame:
         best = scores.argmax(axis=1)
         return pd.DataFrame({"cell": ids[best], "angle": np.arccos(np.clip(scores.max(axis=1), -1, 1))})
 
-    return items.withColumn("__near", nearest.asNondeterministic()("embedding")).select(*items.columns, "__near.cell", "__near.angle")
+    near = items.withColumn("__near", nearest.asNondeterministic()("embedding"))
+    return near.select(*items.columns, "__near.cell", "__near.angle")
 
 
 def top_k_in_cells(queries: DataFrame, items: DataFrame, centres: DataFrame, k: int = K,
@@ -283,13 +289,21 @@ def assemble_context(hits: DataFrame, separator: str = "\n\n") -> DataFrame:
     )
 
 
-def evaluate(hits: DataFrame, is_hit: Column, queries: DataFrame) -> DataFrame:
-    """Hit rate and mean reciprocal rank over all queries, those without any hit included."""
+def evaluate(hits: DataFrame, is_hit: Column, queries: DataFrame, ks: Sequence[int] = (K,)) -> DataFrame:
+    """Hit rate and mean reciprocal rank for each cut-off ``k``, over all queries, those without any hit included.
+
+    ``hits`` must reach down to the largest cut-off.
+    """
     first_hit = hits.where(is_hit).groupBy("query_id").agg(F.min("rank").alias("first_rank"))
-    return queries.select("query_id").join(first_hit, "query_id", "left").agg(
-        F.count(F.lit(1)).alias("n_queries"),
-        F.avg(F.when(F.col("first_rank").isNotNull(), 1.0).otherwise(0.0)).alias("hit_rate"),
-        F.avg(F.coalesce(1.0 / F.col("first_rank"), F.lit(0.0))).alias("mrr"),
+    cut_offs = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
+    found = F.coalesce(F.col("first_rank") <= F.col("k"), F.lit(False))
+    return (
+        queries.select("query_id").join(first_hit, "query_id", "left").select("first_rank", cut_offs)
+        .groupBy("k").agg(
+            F.count(F.lit(1)).alias("n_queries"),
+            F.avg(F.when(found, 1.0).otherwise(0.0)).alias("hit_rate"),
+            F.avg(F.when(found, 1.0 / F.col("first_rank")).otherwise(0.0)).alias("mrr"),
+        )
     )
 
 

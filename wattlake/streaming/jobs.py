@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattlake import schemas as S
+from wattlake.functions.timecols import day_columns
 from wattlake.plans.jobs import DEFAULT_URL, SILVER_TABLES, refine
 from wattlake.sources import tables
 from wattlake.sources.landing import envelope
@@ -87,3 +88,19 @@ def append_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
         stream.writeStream.outputMode("append").format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint)
     )
+
+
+def keep_daily_current(daily: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """Days as they stand, open ones included: every micro-batch upserts the rows it changed.
+
+    ``daily`` is a ``daily_windows`` stream; the table is partitioned by day and keyed by ``keys`` and date.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns(day_columns(F.col("date"))).persist()
+        try:
+            tables.upsert_by_keys(rows, path, [*keys, "date"], rows.schema, known_unique=True)
+        finally:
+            rows.unpersist()
+
+    return run_available(
+        daily.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
