@@ -167,12 +167,12 @@ _SILVER_MIX = f"""{fx.READINGS_SQL}, {_EVENTS_SQL},
 good AS (SELECT zone, datetime, source, CASE WHEN user_id BETWEEN 2 AND 5 THEN NULL ELSE value END AS mw
   FROM rec WHERE NOT cut_off AND user_id >= 2
   QUALIFY row_number() OVER (PARTITION BY zone, rec.datetime ORDER BY rec.updated_at DESC) = 1)"""
-_SILVER_FLOWS = f"""{fx.READINGS_SQL}, {_EVENTS_SQL}, {fx.FLOWS_SQL},
-good AS (SELECT rec.zone, rec.datetime, neighbor_zone, direction,
+_GOOD_FLOWS = """(SELECT rec.zone, rec.datetime, neighbor_zone, direction,
     CASE WHEN user_id BETWEEN 2 AND 3 THEN 0 ELSE value END AS power_mw
   FROM rec JOIN flows USING (event_id) WHERE NOT cut_off AND user_id >= 2 AND user_id NOT BETWEEN 4 AND 5
   QUALIFY row_number() OVER (PARTITION BY rec.zone, rec.datetime, neighbor_zone, direction
                              ORDER BY rec.updated_at DESC) = 1)"""
+_SILVER_FLOWS = f"{fx.READINGS_SQL}, {_EVENTS_SQL}, {fx.FLOWS_SQL}, good AS {_GOOD_FLOWS}"
 
 
 def run_jobs(spark, sf_dir) -> Lake:
@@ -213,6 +213,17 @@ def medallion_exchanges(spark, sf_dir):
     return tables.union_all(frames)
 
 
+@query(f"""WITH {_SILVER_MIX}, {fx.wide_sql('good')}, {fx.daily_mix_sql('wide')},
+{fx.FLOWS_SQL}, good_flows AS {_GOOD_FLOWS}, {fx.net_flows_sql('good_flows')}
+SELECT 'bronze' AS process, 1::BIGINT AS process_ts, 'C' AS status,
+  (2 * sum(CASE WHEN cut_off THEN 0 ELSE n END))::BIGINT AS record_count FROM page
+UNION ALL SELECT 'silver', 2, 'C', (SELECT count(*) FROM good) + (SELECT count(*) FROM good_flows)
+UNION ALL SELECT 'gold', 3, 'R', (SELECT count(*) FROM gold) + (SELECT count(*) FROM net WHERE net_flow <> 0)""")
+def ledger_after_jobs(spark, sf_dir):
+    """What the ledger says after all three jobs: every batch consumed but the last, with its size."""
+    return run_jobs(spark, sf_dir).ledger.state().select("process", "process_ts", "status", "record_count")
+
+
 # ---------------------------------------------------------------- SQL over written tables
 
 def _gold_surface(spark, sf_dir) -> SqlSurface:

@@ -22,6 +22,7 @@ def build_session(app_name: str = "wattlake", master: str | None = None, **conf:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
         .config("spark.ui.enabled", "false")
     )

@@ -169,13 +169,14 @@ def merge_by_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema: T.StructType,
                    keep: str = "incoming", days: Sequence[Day] | None = None,
-                   known_unique: bool = False) -> list[Day]:
+                   known_unique: bool = False, check_table: bool = True) -> list[Day]:
     """Upsert into a table partitioned by day; returns the days rewritten.
 
     A key decides its day, because the partition columns derive from the key's timestamp. Rows
     outside the incoming days can therefore not be replaced, and only those days are read back.
     Pass ``days`` if they are known already, and ``known_unique`` if ``incoming`` comes out of an
-    operator that leaves one row per key.
+    operator that leaves one row per key. ``check_table=False`` trusts the table's keys to be unique,
+    which they are while nothing else writes to it, and saves a scan of the keys of those days.
     """
     spark = incoming.sparkSession
     days = affected_days(incoming) if days is None else sorted(days)
@@ -185,8 +186,9 @@ def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema:
         assert_unique_keys(incoming, keys, "incoming rows")
     if table_exists(spark, path):
         existing = read_days(spark, path, schema, days)
-        # Merging keeps the two sides apart, so only rows already in the table can still repeat a key.
-        assert_unique_keys(existing, keys, "table rows")
+        if check_table:
+            # Merging keeps the two sides apart, so only rows already in the table can still repeat a key.
+            assert_unique_keys(existing, keys, "table rows")
         merged = merge_by_keys(existing, incoming, keys, keep)
     else:
         merged = incoming
