@@ -7,8 +7,10 @@ very large day is split over many tasks and small days share a file.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,6 +128,19 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- writes
 
+@contextmanager
+def persisted(*frames: DataFrame) -> Iterator[list[DataFrame]]:
+    """Keep frames that several jobs read; those kept by the caller already are left alone."""
+    mine = [f for f in frames if not f.is_cached]
+    for f in mine:
+        f.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield list(frames)
+    finally:
+        for f in mine:
+            f.unpersist()
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), spread: bool = True) -> None:
     """Append to a table. ``spread=False`` is for rows that all fall into one partition: every task then
     writes its own file there, and nothing is shuffled."""
@@ -179,20 +194,20 @@ def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema:
     which they are while nothing else writes to it, and saves a scan of the keys of those days.
     """
     spark = incoming.sparkSession
-    days = affected_days(incoming) if days is None else sorted(days)
-    if not days:
-        return []
-    if not known_unique:
-        assert_unique_keys(incoming, keys, "incoming rows")
-    if table_exists(spark, path):
-        existing = read_days(spark, path, schema, days)
-        if check_table:
-            # Merging keeps the two sides apart, so only rows already in the table can still repeat a key.
-            assert_unique_keys(existing, keys, "table rows")
-        merged = merge_by_keys(existing, incoming, keys, keep)
-    else:
+    with persisted(incoming):
+        days = affected_days(incoming) if days is None else sorted(days)
+        if not days:
+            return []
+        if not known_unique:
+            assert_unique_keys(incoming, keys, "incoming rows")
         merged = incoming
-    overwrite_partitions(merged.select(*schema.fieldNames()), path)
+        if table_exists(spark, path):
+            existing = read_days(spark, path, schema, days)
+            if check_table:
+                # Merging keeps the two sides apart, so only rows already in the table can still repeat a key.
+                assert_unique_keys(existing, keys, "table rows")
+            merged = merge_by_keys(existing, incoming, keys, keep)
+        overwrite_partitions(merged.select(*schema.fieldNames()), path)
     return days
 
 
@@ -205,13 +220,15 @@ def replace_days(df: DataFrame, path: str, days: Sequence[Day], keys: Sequence[s
     if not days:
         return
     spark = df.sparkSession
-    if not known_unique:
-        assert_unique_keys(df, keys, "incoming rows")
-    filled = set(affected_days(df) if filled is None else filled)
-    if not filled <= set(days):
-        raise ValueError(f"rows outside the days to replace: {sorted(filled - set(days))[:3]}")
-    if filled:
-        overwrite_partitions(df, path)
+    read_once = known_unique and filled is not None
+    with nullcontext() if read_once else persisted(df):
+        if not known_unique:
+            assert_unique_keys(df, keys, "incoming rows")
+        filled = set(affected_days(df) if filled is None else filled)
+        if not filled <= set(days):
+            raise ValueError(f"rows outside the days to replace: {sorted(filled - set(days))[:3]}")
+        if filled:
+            overwrite_partitions(df, path)
     remove_days(spark, path, [d for d in days if d not in filled])
     if table_exists(spark, path):
         spark.catalog.refreshByPath(path)
