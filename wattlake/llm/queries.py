@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import langid, simhash
+from wattlake.llm import langid, pii, simhash, sql
 from wattlake.llm.common import read
 
 
@@ -18,11 +18,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts of the base kinds, a digest of their spans, and all spans."""
+    found = pii.find_spans(read(spark, sf_dir, "documents"))
+    counts = [pii.counted(F.col("spans"), k).alias(f"n_{k}") for k in pii.BASE]
+    base = pii.listed(pii.base_only(F.col("spans")))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_distance=3)
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = [op1_language_id, op6_simhash_near_dedup]
-SQL: dict[str, str] = {}
+QUERIES = [op1_language_id, op2_personal_data, op6_simhash_near_dedup]
+SQL: dict[str, str] = {
+    "op2_personal_data": sql.personal_data(),
+}
