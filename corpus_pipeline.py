@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import langid, simhash
+from wattlake.llm import langid, pii, queries, simhash
 from wattlake.llm.common import read, stored
 
 ORACLE_SQL = None
@@ -28,7 +28,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs, words=3, max_distance=3)
 
 
-STAGES = [("language_id", language_id), ("near_dedup", near_dedup)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced in their texts, and ``n_chars`` that fit the new texts."""
+    clean = pii.redact(F.col("text"))
+    return docs.withColumn("text", clean).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents, packed into sequences of 2048 tokens."""
+    return queries.packed(docs)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("personal_data", personal_data),
+          ("best_fit_packing", best_fit_packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import langid, pii, simhash, sql
+from wattlake.llm import langid, packing, pii, simhash, sql
 from wattlake.llm.common import read
 
 
@@ -27,13 +28,25 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.listed(F.col("spans")).alias("spans"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenized and packed into sequences of 2048 tokens."""
+    return packed(read(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame, capacity: int = 2048) -> DataFrame:
+    """Pieces with a checksum of their ids, and their places."""
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity)
+    sums = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(sums, capacity)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_distance=3)
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = [op1_language_id, op2_personal_data, op6_simhash_near_dedup]
+QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op6_simhash_near_dedup]
 SQL: dict[str, str] = {
     "op2_personal_data": sql.personal_data(),
 }
