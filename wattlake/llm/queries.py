@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import langid, packing, pii, simhash, sql
+from wattlake.llm import langid, merkle, packing, pii, simhash, sql, topk
 from wattlake.llm.common import read
 
 
@@ -40,13 +40,34 @@ def packed(docs: DataFrame, capacity: int = 2048) -> DataFrame:
     return packing.pack(sums, capacity)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows with the highest inner products for every fiftieth id."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, factor=256)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_distance=3)
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op6_simhash_near_dedup]
-SQL: dict[str, str] = {
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text with the last third taken from the next document."""
+    rows = merkle.with_next(read(spark, sf_dir, "documents"))
+    edited = rows.withColumn("edited", merkle.spliced(F.col("text"), F.col("next_text")))
+    trees = edited.withColumn("edited_tree", merkle.tree(F.col("edited")))
+    return trees.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.col("tree.fingerprint").alias("fingerprint"), F.col("edited_tree.fingerprint").alias("edited_fingerprint"),
+        merkle.likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
+        merkle.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"))
+
+
+QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op5_exact_top_k, op6_simhash_near_dedup,
+           op7_document_fingerprints]
+SQL = {
     "op2_personal_data": sql.personal_data(),
+    "op5_exact_top_k": sql.TOP_K,
+    "op7_document_fingerprints": sql.fingerprints(),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattlake.llm import pii
+from wattlake.llm import merkle, pii
 
 
 def _luhn(number: str) -> str:
@@ -56,3 +56,52 @@ spans AS (SELECT * FROM proposed p WHERE kind <> 'lone_card' OR NOT EXISTS (
 SELECT d.doc_id, {counts}, sha256(coalesce({listed} FILTER (r < {len(pii.BASE)}), '')) AS base_sha256,
        coalesce({listed}, '') AS spans
 FROM documents d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
+
+
+TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5"""
+
+
+def _tree(text: str) -> str:
+    """The Merkle tree of a text as struct(root, fingerprint, keys)."""
+    section, paragraph = r"\n+|(?:[^\n]+\n?)+\n*", r"[^\n]*\n|[^\n]+"
+    key = (f"(('0x' || md5(x)[1:{merkle.HASH_BITS // 4}])::BIGINT * {1 << merkle.LENGTH_BITS} "
+           f"+ least(length(x), {(1 << merkle.LENGTH_BITS) - 1}))")
+    leaves = f"regexp_extract_all(p, '{merkle.SENTENCE}')"
+    paragraphs = f"regexp_extract_all(s, '{paragraph}')"
+    sections = f"regexp_extract_all({text}, '{section}')"
+    each = lambda items, name, body: f"list_transform({items}, lambda {name}: {body})"
+    joined = lambda items, by="": f"coalesce(array_to_string({items}, '{by}'), '')"
+    of_paragraph = f"md5({joined(each(leaves, 'x', 'md5(x)'))})"
+    of_section = f"md5({joined(each(paragraphs, 'p', of_paragraph))})"
+    root = f"md5({joined(each(sections, 's', of_section))})"
+    written = joined(each(sections, "s", joined(each(paragraphs, "p", joined(
+        each(leaves, "x", f"printf('%012x', {key})"))), ",")), ";")
+    keys = f"flatten(flatten({each(sections, 's', each(paragraphs, 'p', each(leaves, 'x', key)))}))"
+    return f"{{'root': {root}, 'fingerprint': {root} || ':' || {written}, 'keys': {keys}}}"
+
+
+def _likeness(a: str, b: str) -> str:
+    weight = lambda keys: f"coalesce(list_sum(list_transform({keys}, lambda k: k % {1 << merkle.LENGTH_BITS})), 0)"
+    larger = f"greatest({weight(f'list_distinct({a}.keys)')}, {weight(f'list_distinct({b}.keys)')})"
+    return (f"CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE "
+            f"ELSE {weight(f'list_intersect({a}.keys, {b}.keys)')}::DOUBLE / ({larger} + 1) END")
+
+
+def fingerprints() -> str:
+    return f"""
+WITH rows AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+followed AS (SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS following FROM rows
+             WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, t)),
+spliced AS (SELECT *, length(t) // 3 AS n, left(t, length(t) - length(t) // 3) || left(following, length(t) // 3) AS edited
+            FROM followed),
+trees AS (SELECT *, {_tree('t')} AS a, {_tree('edited')} AS b, {_tree('following')} AS c FROM spliced)
+SELECT doc_id, length(t) AS n_chars, sha256(edited) AS edited_sha256, a.fingerprint AS fingerprint,
+       b.fingerprint AS edited_fingerprint, {_likeness('a', 'b')} AS near_edited, {_likeness('a', 'c')} AS near_next
+FROM trees"""
