@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import langid, merkle, packing, pii, simhash, sql, topk
+from wattlake.llm import chats, langid, licences, merkle, packing, pii, sharding, simhash, sql, topk
 from wattlake.llm.common import read
 
 
@@ -40,6 +40,12 @@ def packed(docs: DataFrame, capacity: int = 2048) -> DataFrame:
     return packing.pack(sums, capacity)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard, of 64, of every document."""
+    shards = [f"shard-{i:02d}" for i in range(64)]
+    return sharding.place(read(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], shards)
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five rows with the highest inner products for every fiftieth id."""
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, factor=256)
@@ -64,10 +70,23 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"))
 
 
-QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op5_exact_top_k, op6_simhash_near_dedup,
-           op7_document_fingerprints]
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical digest of every document, the licence it is the text of, and the licences its lines name."""
+    found = licences.scan(read(spark, sf_dir, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, with the message it answers and its thread."""
+    return chats.conversations(read(spark, sf_dir, "conversations"))
+
+
+QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op4_sharding, op5_exact_top_k, op6_simhash_near_dedup,
+           op7_document_fingerprints, op9_licence_scan, op10_chat_formatting]
 SQL = {
     "op2_personal_data": sql.personal_data(),
     "op5_exact_top_k": sql.TOP_K,
     "op7_document_fingerprints": sql.fingerprints(),
+    "op9_licence_scan": sql.licence_scan(),
+    "op10_chat_formatting": sql.chat_conversations(),
 }

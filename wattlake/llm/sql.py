@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from wattlake.llm import merkle, pii
+from functools import reduce
+
+from wattlake.llm import chats, licences, merkle, pii
+from wattlake.llm.licence_texts import NOTICES, TEXTS
 
 
 def _luhn(number: str) -> str:
@@ -105,3 +108,66 @@ trees AS (SELECT *, {_tree('t')} AS a, {_tree('edited')} AS b, {_tree('following
 SELECT doc_id, length(t) AS n_chars, sha256(edited) AS edited_sha256, a.fingerprint AS fingerprint,
        b.fingerprint AS edited_fingerprint, {_likeness('a', 'b')} AS near_edited, {_likeness('a', 'c')} AS near_next
 FROM trees"""
+
+
+def _canonical_lines(text: str) -> str:
+    value = f"lower(coalesce({text}, ''))"
+    for pattern in (licences.COMMENT_MARKS, licences.COPYRIGHT_LINES):
+        value = f"regexp_replace({value}, '{pattern.replace('(?dm)', '(?m)')}', ' ', 'g')"
+    value = reduce(lambda v, pair: f"replace({v}, '{pair[0]}', '{pair[1]}')", licences.SPELLINGS, value)
+    value = f"regexp_replace({value}, '{licences.PUNCTUATION}', ' ', 'g')"
+    return f"list_filter(list_transform(string_split({value}, chr(10)), lambda l: trim(l)), lambda l: l <> '')"
+
+
+def licence_scan() -> str:
+    whole = "md5(coalesce(array_to_string(lines, ' '), ''))"
+
+    def known(entries):
+        values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in entries)
+        return (f"SELECT {whole} AS digest, min(licence) AS licence FROM (SELECT licence, {_canonical_lines('t')} AS lines "
+                f"FROM (VALUES {values}) k(licence, t)) GROUP BY 1")
+    return f"""
+WITH known_texts AS ({known(TEXTS)}), known_notices AS ({known(NOTICES)}),
+canonical AS (SELECT doc_id, {_canonical_lines('text')} AS lines FROM documents),
+named AS (SELECT doc_id, list_sort(list(DISTINCT k.licence)) AS notices
+          FROM (SELECT doc_id, md5(unnest(lines)) AS digest FROM canonical) l JOIN known_notices k USING (digest) GROUP BY doc_id)
+SELECT c.doc_id, {whole} AS digest, t.licence, coalesce(array_to_string(n.notices, ','), '') AS notices
+FROM canonical c LEFT JOIN known_texts t ON {whole} = t.digest LEFT JOIN named n USING (doc_id)"""
+
+
+def chat_conversations() -> str:
+    marks = f"regexp_extract(v, '{chats.MARKS}')"
+
+    def hashes(level: str) -> str:
+        joined = f"array_to_string(list_transform(lines, lambda x: CASE WHEN x.level = {level} THEN x.body ELSE '' END), chr(10))"
+        parts = " || ".join(f"string_split_regex({joined}, '{p}')" for p in (r"\n[ \t]*\n", r"\n"))
+        normal = f"list_transform({parts}, lambda y: trim(regexp_replace(lower(y), '[ \\t\\n]+', ' ', 'g')))"
+        return f"list_transform(list_distinct(list_filter({normal}, lambda y: y <> '')), lambda y: md5(y))"
+
+    kept = (f"lines[i].level = 0 AND NOT (coalesce(lines[i + 1].level, 0) > 0 "
+            f"AND regexp_matches(lines[i].body, '{chats.INTRODUCTION}'))")
+    said = f"list_transform(list_filter(range(1, len(lines) + 1), lambda i: {kept}), lambda i: lines[i].body)"
+    opening, after_role, closing = (x.replace("\n", "' || chr(10) || '") for x in chats.TEMPLATE)
+    return f"""
+WITH RECURSIVE parsed AS (
+  SELECT conv_id, turn, role, list_transform(string_split_regex(coalesce(text, ''), '\\r?\\n'), lambda v: {{
+    'level': length(regexp_replace({marks}, '[^>]', '', 'g')), 'body': substr(v, length({marks}) + 1)}}) AS lines
+  FROM conversations),
+origins AS (SELECT conv_id, hash, min(turn) AS origin FROM (
+  SELECT conv_id, turn, unnest({hashes('0')}) AS hash FROM parsed) GROUP BY ALL),
+quoted AS (SELECT conv_id, turn, level, unnest({hashes('level')}) AS hash FROM (
+  SELECT conv_id, turn, lines, unnest(list_distinct(list_filter(list_transform(lines, lambda x: x.level), lambda l: l > 0))) AS level
+  FROM parsed)),
+votes AS (SELECT conv_id, turn, level, origin, count(*) AS votes FROM quoted JOIN origins USING (conv_id, hash)
+          WHERE origin < turn GROUP BY ALL),
+links AS (SELECT conv_id, turn, origin AS parent_turn FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, votes DESC, origin DESC) AS n FROM votes) WHERE n = 1),
+climb AS (SELECT conv_id, turn, parent_turn, parent_turn AS root FROM links
+          UNION ALL SELECT c.conv_id, c.turn, c.parent_turn, l.parent_turn FROM climb c
+          JOIN links l ON l.conv_id = c.conv_id AND l.turn = c.root),
+threads AS (SELECT conv_id, turn, min(parent_turn) AS parent_turn, min(root) AS thread_turn FROM climb GROUP BY ALL)
+SELECT p.conv_id, p.turn, p.role, t.parent_turn, coalesce(t.thread_turn, p.turn) AS thread_turn,
+       list_max(list_transform(lines, lambda x: x.level)) AS quote_levels,
+       '{opening}' || coalesce(role, 'unknown') || '{after_role}'
+       || regexp_replace(coalesce(array_to_string({said}, chr(10)), ''), '^\\s+|\\s+\\z', '', 'g') || '{closing}' AS message
+FROM parsed p LEFT JOIN threads t ON t.conv_id = p.conv_id AND t.turn = p.turn"""
