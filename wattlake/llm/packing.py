@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import stored, texts_of
 
-CACHED_WORDS = 1 << 19
-# Texts whose white space is single blanks and line ends between words; all others are odd.
-_ODD = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")
+CACHED_WORDS = 1 << 20
+# White space other than blanks and line ends.
+_OTHER = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # A blank between two characters that are not white space, or such a single line end: the tokenizer's words never go
 # across these, so the parts between them have the same ids alone as in the text.
 _PARTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -63,8 +63,8 @@ class WordCache:
         return [array("I", f.ids).tobytes() for f in found]  # 32 bits, little-endian on all supported machines
 
     def _learn(self, known: dict[str, bytes], words: set[str], prefix: str) -> list[str]:
-        """Adds the ids of ``words``; returns those to be forgotten again."""
-        new = list(words.difference(known))
+        """Adds the ids of new ``words``; returns those to be forgotten again."""
+        new = list(words)
         room = max(0, CACHED_WORDS - len(self.alone) - len(self.after_blank))
         for start in range(0, len(new), 4096):
             some = new[start:start + 4096]
@@ -73,35 +73,51 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        alone, after_blank, split = set(), set(), []
+        first, rest = self.alone.get, self.after_blank.get
+        new_alone, new_after, split = set(), set(), []
         for text in texts:
-            if not text:
-                split.append(None)
-            elif _ODD.search(text):
-                split.append((None, _PARTS.split(text)))
-                alone.update(split[-1][1])
+            if _plain(text):
+                lines = []
+                for line in text.split("\n"):
+                    words = line.split(" ")
+                    found = list(map(rest, words))
+                    found[0] = first(words[0])
+                    if None in found:
+                        if found[0] is None:
+                            new_alone.add(words[0])
+                        new_after.update(w for w, ids in zip(words[1:], found[1:]) if ids is None)
+                        lines.append((found, words))
+                    else:
+                        lines.append((found, None))
+                split.append(lines)
             else:
-                lines = [line.split(" ") for line in text.split("\n")]
-                for words in lines:
-                    alone.add(words[0])
-                    after_blank.update(words[1:])
-                split.append((lines, None))
-        passing = self._learn(self.alone, alone, ""), self._learn(self.after_blank, after_blank, " ")
-        first, rest = self.alone.__getitem__, self.after_blank.__getitem__
+                words = _PARTS.split(text) if text else []
+                new_alone.update(w for w in words if w not in self.alone)
+                split.append(words)
+        passing = self._learn(self.alone, new_alone, ""), self._learn(self.after_blank, new_after, " ")
         result = []
-        for parts in split:
-            if parts is None:
-                result.append(b"")
-            elif parts[0] is None:
-                result.append(b"".join(map(first, parts[1])))
-            else:
-                result.append(self.line_end.join([first(w[0]) + b"".join(map(rest, w[1:])) for w in parts[0]]))
+        for text, parts in zip(texts, split):
+            if not parts or isinstance(parts[0], str):
+                result.append(b"".join(map(first, parts)))
+                continue
+            lines = []
+            for found, words in parts:
+                if words:
+                    found = [first(words[0]), *map(rest, words[1:])]
+                lines.append(b"".join(found))
+            result.append(self.line_end.join(lines))
         for known, words in zip((self.alone, self.after_blank), passing):
             for word in words:
                 del known[word]
         return result
 
 
+def _plain(text: str) -> bool:
+    """Whether a text's white space is single blanks and line ends between words."""
+    return bool(text) and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text
+                               or text[0] in " \n" or text[-1] in " \n" or _OTHER.search(text))
+
+
 _caches: dict[str, WordCache] = {}
 
 

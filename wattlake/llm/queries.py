@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chats, langid, licences, merkle, packing, pii, sharding, simhash, sql, topk
+from wattlake.llm import chats, langid, licences, merkle, packing, pii, sentencepieces, sharding, simhash, sql, topk
 from wattlake.llm.common import read
 
 
@@ -70,6 +70,14 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.likeness(F.col("tree"), F.col("next_tree")).alias("near_next"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of every document, with checksums of their ids and of the text they decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = sentencepieces.decode(sentencepieces.encode(read(spark, sf_dir, "documents"), model, n=3), model, n=3)
+    return found.select("doc_id", "rank", "score", "n_pieces", F.crc32("ids").alias("ids_crc32"),
+                        F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical digest of every document, the licence it is the text of, and the licences its lines name."""
     found = licences.scan(read(spark, sf_dir, "documents"))
@@ -82,7 +90,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op4_sharding, op5_exact_top_k, op6_simhash_near_dedup,
-           op7_document_fingerprints, op9_licence_scan, op10_chat_formatting]
+           op7_document_fingerprints, op8_sentencepiece, op9_licence_scan, op10_chat_formatting]
 SQL = {
     "op2_personal_data": sql.personal_data(),
     "op5_exact_top_k": sql.TOP_K,
