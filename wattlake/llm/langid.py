@@ -5,9 +5,9 @@ A text is lower-cased, everything but letters becomes a word boundary, and the s
 subwords' embeddings, and a linear softmax over it gives the languages. Embeddings and softmax are trained
 together by stochastic gradient descent in numpy on a bounded sample of labelled texts.
 
-A quarter of the sample does not train; it fits the temperature that makes scores probabilities, and the
-score below which a text is rejected. Subwords never seen in training weigh nothing, so a text of another
-script comes out undecided and is rejected.
+A quarter of the sample does not train; it calibrates. It fits the temperature that makes scores probabilities, and the
+share of known subwords (those that training met) below which a text is rejected as being in no learned
+language. A text that mixes learned languages is undecided, which its score says, but it is not rejected.
 
 Mean and softmax are linear, so prediction needs only one row of summed weights per bucket. These rows are kept as
 integers, which makes a score the same in whatever batch or piece a text is read.
@@ -72,24 +72,25 @@ def subwords(text: str, buckets: int):
 
 @dataclass(frozen=True)
 class Model:
-    """Integer weights of each bucket by language, the temperature and the score below which texts are rejected."""
+    """Integer weights of each bucket by language (a last column says whether training met the bucket), the
+    temperature, and the share of known subwords below which texts are rejected."""
 
     languages: tuple[str, ...]
     weights: np.ndarray
     temperature: float
-    reject_below: float
+    known_share: float
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        total, n = np.zeros(len(self.languages), np.int64), 0
+        total, n = np.zeros(len(self.languages) + 1, np.int64), 0
         if text and self.languages:
             for found in subwords(text, len(self.weights)):
                 total += self.weights[found].sum(axis=0, dtype=np.int64)
                 n += len(found)
         if not n:
             return UNKNOWN, 0.0, True
-        p = _softmax(total / (n * SCALE) / self.temperature)
+        p = _softmax(total[:-1] / (n * SCALE) / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.reject_below)
+        return self.languages[best], float(p[best]), bool(total[-1] < self.known_share * n)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -109,8 +110,12 @@ def sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang_col: str
                             F.col(f"`{text_col}`").alias("text"))
                 .where("doc_id IS NOT NULL AND lang IS NOT NULL"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # Twice the rows wanted of each language by a threshold on the hash, so that no language gathers more in one task.
+    share = labelled.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * rows / F.count(F.lit(1))).alias("share"))
+    thinned = (labelled.select("doc_id", "lang").join(share, "lang")
+               .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)))
     within = Window.partitionBy("lang").orderBy(*order)
-    chosen = (labelled.select("doc_id", "lang").withColumn("rn", F.row_number().over(within))
+    chosen = (thinned.withColumn("rn", F.row_number().over(within))
               .where(F.col("rn") <= rows).orderBy("rn", *order).limit(rows))
     return labelled.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi")
 
@@ -135,62 +140,53 @@ def _counted(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.select("doc_id", "lang", "text").mapInArrow(run, f"doc_id {kind}, lang string, at binary, n binary")
 
 
-def train(docs: DataFrame, sample_rows: int = 4096, buckets: int = 1 << 13, dim: int = 16, epochs: int = 12,
-          rate: float = 0.5, reject_share: float = 0.001, seed: int = 7, id_col: str = "doc_id",
+def train(docs: DataFrame, sample_rows: int = 4096, buckets: int = 1 << 17, dim: int = 16, steps: int = 4000,
+          rate: float = 1.0, reject_share: float = 0.001, seed: int = 7, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on at most ``sample_rows`` rows. Only these reach the driver, as bucket counts (at most ``buckets`` each)."""
+    """Fit on at most ``sample_rows`` rows. Only these reach the driver, as bucket counts (at most ``buckets`` each).
+
+    At most ``reject_share`` of the texts held back for calibration would be rejected."""
     rows = _counted(sample(docs, sample_rows, id_col, text_col, lang_col), buckets)
     got = (rows.where(F.length("at") > 0).orderBy(F.xxhash64("doc_id"), "doc_id", "lang", F.xxhash64("at", "n"))
            .limit(sample_rows).select("lang", "at", "n").collect())
     languages = tuple(sorted({r.lang for r in got}))
     if not languages:
-        return Model((), np.zeros((buckets, 0), np.int32), 1.0, 1.0)
+        return Model((), np.zeros((buckets, 1), np.int32), 1.0, 1.0)
     texts = [(np.frombuffer(r.at, "<i4"), np.frombuffer(r.n, "<f4")) for r in got]
     texts = [(at, n / n.sum()) for at, n in texts]
     truth = np.array([languages.index(r.lang) for r in got])
-    kept_back = np.arange(len(got)) % 4 == 3
-    weights = _descend([t for t, k in zip(texts, kept_back) if not k], truth[~kept_back], len(languages), buckets, dim,
-                       epochs, rate, seed)
-    fixed = np.round(weights * SCALE).astype(np.int32)
-    judged = np.flatnonzero(kept_back) if kept_back.any() else np.arange(len(got))
-    logits = np.array([(n.astype(np.float64) @ fixed[at]) / SCALE for at, n in (texts[i] for i in judged)])
-    temperature = _temperature(logits, truth[judged])
-    p = _softmax(logits / temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == truth[judged]]
-    # A score under one half says the best language is not even likely: no text is rejected above that.
-    threshold = min(0.5, float(np.quantile(right, reject_share))) if len(right) else 0.5
-    return Model(languages, fixed, temperature, threshold)
-
-
-def _descend(texts: list, truth: np.ndarray, kinds: int, buckets: int, dim: int, epochs: int, rate: float,
-             seed: int, batch: int = 32) -> np.ndarray:
+    trains = np.arange(len(got)) % 4 != 3
+    met = np.unique(np.concatenate([at for (at, _), t in zip(texts, trains) if t]))
+    learned = _descend([(np.searchsorted(met, at), n) for (at, n), t in zip(texts, trains) if t], truth[trains],
+                       len(languages), len(met), dim, steps, rate, seed)
+    weights = np.zeros((buckets, len(languages) + 1), np.int32)
+    weights[met, :-1], weights[met, -1] = np.round(learned * SCALE), 1
+    judged = np.flatnonzero(~trains) if len(got) > 3 else np.arange(len(got))
+    sums = np.array([n.astype(np.float64) @ weights[at] for at, n in (texts[i] for i in judged)])
+    temperature = _temperature(sums[:, :-1] / SCALE, truth[judged])
+    # Half a text of unknown subwords is enough to reject it, whatever the calibration texts are like.
+    return Model(languages, weights, temperature, min(0.5, float(np.quantile(sums[:, -1], reject_share))))
+
+
+def _descend(texts: list, truth: np.ndarray, kinds: int, buckets: int, dim: int, steps: int, rate: float,
+             seed: int, batch: int = 8) -> np.ndarray:
     """Weights per bucket and language after stochastic gradient descent on embeddings and softmax."""
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (buckets, dim)).astype(np.float32)
     softmax = rng.normal(0, 0.1, (dim, kinds)).astype(np.float32)
-    seen = np.zeros(buckets, bool)
-    for at, _ in texts:
-        seen[at] = True
-    steps = epochs * -(-len(texts) // batch)
-    step = 0
-    for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for start in range(0, len(order), batch):
-            rows = order[start:start + batch]
-            mean = np.zeros((len(rows), buckets), np.float32)
-            for i, row in enumerate(rows):
-                at, share = texts[row]
-                mean[i, at] = share
-            hidden = mean @ embedding
-            gradient = _softmax(hidden @ softmax)
-            gradient[np.arange(len(rows)), truth[rows]] -= 1
-            pace = rate * (1 - step / steps)
-            back = gradient @ softmax.T
-            softmax -= pace / len(rows) * (hidden.T @ gradient)
-            # Each bucket holds a small share of a text, so embeddings move by the sum, not the mean.
-            embedding -= pace * (mean.T @ back)
-            step += 1
-    embedding[~seen] = 0
+    order = np.concatenate([rng.permutation(len(texts)) for _ in range(-(-steps * batch // len(texts)))])
+    for step in range(steps):
+        rows = order[step * batch:(step + 1) * batch]
+        hidden = np.array([texts[r][1] @ embedding[texts[r][0]] for r in rows])
+        gradient = _softmax(hidden @ softmax)
+        gradient[np.arange(len(rows)), truth[rows]] -= 1
+        pace = np.float32(rate * (1 - step / steps))
+        back = gradient @ softmax.T
+        softmax -= pace / len(rows) * (hidden.T @ gradient)
+        # Each bucket holds a small share of a text, so embeddings move by the sum, not the mean.
+        for r, move in zip(rows, back):
+            at, share = texts[r]
+            embedding[at] -= pace * share[:, None] * move
     return embedding @ softmax
 
 
@@ -198,7 +194,7 @@ def _temperature(logits: np.ndarray, truth: np.ndarray) -> float:
     """The divisor of the logits under which the true languages are likeliest."""
     def loss(t: float) -> float:
         return -float(np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean())
-    return float(min(np.geomspace(0.01, 20, 120), key=loss))
+    return float(min(np.geomspace(0.25, 20, 90), key=loss))
 
 
 # ---------------------------------------------------------------- operator
