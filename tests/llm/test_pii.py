@@ -44,9 +44,9 @@ def test_base_spans_equal_brute_force(spark):
     rng = random.Random(1)
     parts = ["a", "B", ".", "@", "-", "_", "+", "1", "4", "0", " ", "(", ")", "é", "😀", "%", "\n", "1.2.3.4", "x@y.z",
              "4111111111111111", "+49 30 1234567", "300.1.1.1"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(0, 50))) for _ in range(1500)]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 50))) for _ in range(400)]
     texts += [None, "", "a" * 200_000, "1" * 100_000 + ".", "a." * 50_000 + "@", "+" + "1 " * 50_000, "x@" + "a." * 50_000 + "b",
-              "a@b.c_d@e.f", "x@y.z " * 1500]
+              "a@b.c_d@e.f", "x@y.z " * 600]
     assert base_spans(spark, texts) == [brute(t) for t in texts]
 
 

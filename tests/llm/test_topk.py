@@ -17,12 +17,12 @@ def brute(rows, k=5, every=3):
         if q % every == 0:
             for c, b in whole:
                 if c != q:
-                    score = sum(x * y for x, y in zip(a, b))
+                    score = max(-2 ** 63, min(2 ** 63 - 1, sum(x * y for x, y in zip(a, b))))
                     best[q, c] = max(best.get((q, c), score), score)
     found = []
     for q in {q for q, _ in best}:
         hits = sorted(((c, s) for (p, c), s in best.items() if p == q), key=lambda x: (-x[1], x[0]))[:k]
-        found += [(q, n, c, max(-2 ** 63, min(2 ** 63 - 1, s))) for n, (c, s) in enumerate(hits, 1)]
+        found += [(q, n, c, s) for n, (c, s) in enumerate(hits, 1)]
     return sorted(found)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import texts_of
 
 BLANK = "▁"
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18
 UNUSABLE = -1e8  # scores at or below mark pieces that the model itself never gives
 
 Word = tuple[int, bytes, int | None]  # best score, its ids, and what the second segmentation costs beyond it
@@ -209,14 +209,16 @@ def _vocabulary(path: str, n: int) -> Vocabulary:
     return _vocabularies[path, n]
 
 
-def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
     """(doc_id, rank, score, n_pieces, ids): the n best segmentations of every text; ``ids`` are little-endian 32-bit
-    numbers. Narrow, nothing is shuffled."""
+    numbers. Narrow, nothing is shuffled. ``decoded`` adds the text that the ids spell, in the same pass."""
     rows = texts_of(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         vocabulary = _vocabulary(model, n)
+        spell = vocabulary.decode if decoded else None
         for batch in batches:
             rows, size = [], 0
             for at, text in enumerate(batch.column(1)):
@@ -224,19 +226,22 @@ def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text
                 rows += [(at, rank, *found) for rank, found in enumerate(vocabulary.nbest(value, n), 1)]
                 size += len(value)
                 if size > 1 << 20:
-                    yield _encoded(batch.column(0), rows)
+                    yield _encoded(batch.column(0), rows, spell)
                     rows, size = [], 0
             if rows:
-                yield _encoded(batch.column(0), rows)
+                yield _encoded(batch.column(0), rows, spell)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, rank int, score bigint, n_pieces bigint, ids binary")
+    columns = f"doc_id {kind}, rank int, score bigint, n_pieces bigint, ids binary"
+    return rows.mapInArrow(run, columns + (", text string" if decoded else ""))
 
 
-def _encoded(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
-    at, rank, score, pieces, found = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(at, pa.int64())), pa.array(rank, pa.int32()), pa.array(score, pa.int64()),
-         pa.array(pieces, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "rank", "score", "n_pieces", "ids"])
+def _encoded(doc_ids: pa.Array, rows: list[tuple], spell) -> pa.RecordBatch:
+    at, rank, score, pieces, ids = zip(*rows)
+    columns = {"doc_id": doc_ids.take(pa.array(at, pa.int64())), "rank": pa.array(rank, pa.int32()),
+               "score": pa.array(score, pa.int64()), "n_pieces": pa.array(pieces, pa.int64()), "ids": pa.array(ids, pa.binary())}
+    if spell:
+        columns["text"] = pa.array(map(spell, ids), pa.string())
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def decode(encoded: DataFrame, model: str, n: int = 3, ids_col: str = "ids", text_col: str = "text") -> DataFrame:

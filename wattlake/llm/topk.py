@@ -89,7 +89,8 @@ def scan_shard(queries: np.ndarray, query_ids: np.ndarray, shard: np.ndarray, id
     """Bring ``best`` up to date with one shard's rows, by MaxScore."""
     queries, shard = _aligned(queries, shard)
     reach = float(np.abs(queries).max(initial=0)) * float(np.abs(shard).max(initial=0)) * max(1, shard.shape[1])
-    if reach >= 2.0 ** 53:  # doubles would round: whole numbers of any size instead
+    huge = reach >= 2.0 ** 53
+    if huge:  # doubles would round: whole numbers of any size instead, held in the range of a long before they compete
         queries, shard = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (queries, shard))
     columns = np.ascontiguousarray(shard.T) if shard.dtype != object else shard.T
     if not columns.shape[0]:
@@ -99,7 +100,7 @@ def scan_shard(queries: np.ndarray, query_ids: np.ndarray, shard: np.ndarray, id
         bounds = np.maximum(np.maximum(vector * high, vector * low), 0)
         order = np.argsort(bounds.astype(float), kind="stable")
         sums = np.cumsum(bounds[order])
-        least = best.threshold(q)
+        least = -np.inf if huge else best.threshold(q)
         inessential = int(np.searchsorted(sums.astype(float), least, side="left")) if least > 0 else 0
         if inessential == len(order) and sums[-1] < least:
             continue  # nothing in this shard can compete
@@ -119,6 +120,8 @@ def scan_shard(queries: np.ndarray, query_ids: np.ndarray, shard: np.ndarray, id
                 break
         if len(score) != len(rows):
             score = score[rows]
+        if huge:
+            score = np.array([max(_LONG[0], min(_LONG[1], s)) for s in score], object)
         own = ids[rows] != query_ids[q]
         rows, score = rows[own], score[own]
         if len(rows):
@@ -173,7 +176,7 @@ def _scan(sent, k: int):
                 part = batch.slice(start, SHARD_ROWS)
                 shard = _matrix(part.column(1))
                 scan_shard(queries, query_ids, shard, part.column(0).to_numpy(), best)
-        rows = [(int(q), i, int(max(_LONG[0], min(_LONG[1], s)))) for q, hits in zip(query_ids, best.rows) for s, i in hits]
+        rows = [(int(q), i, int(s)) for q, hits in zip(query_ids, best.rows) for s, i in hits]
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)],
                                          ["query_id", "vec_id", "score"])
     return run
