@@ -106,15 +106,13 @@ def test_titles_are_kept(spark):
     assert {r.text for r in cleaned.collect()} == {"# Title\na", "# Title\nb"}
 
 
-def test_many_boilerplate_lines_give_the_same_result(spark, sf_dir, monkeypatch):
+def test_both_ways_of_matching_lines_give_the_same_rows(spark, sf_dir):
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     lines = cleaning.boilerplate_lines(frame, 2, 0.01)
-    inline = {r.doc_id: r.text for r in cleaning.clean_text(frame, lines).collect()}
-    n_lines = {(r.line, r.n_docs) for r in lines.collect()}
-    monkeypatch.setattr(cleaning, "MAX_INLINE_LINES", 0)
-    monkeypatch.setattr(cleaning, "MAX_INLINE_HASHES", 0)
-    assert {(r.line, r.n_docs) for r in cleaning.boilerplate_lines(frame, 2, 0.01).collect()} == n_lines
-    assert {r.doc_id: r.text for r in cleaning.clean_text(frame, lines).collect()} == inline
+    odd = frame.union(spark.createDataFrame([(1, None), (1, ""), (1, "# a"), (1, "# a"), (None, None)], frame.schema))
+    rows = [sorted(map(str, cleaning.clean_text(odd, lines, max_inline_lines=n).collect())) for n in (0, 5000)]
+    assert rows[0] == rows[1] and len(rows[0]) == odd.count()
+    assert sum("text=None" in r for r in rows[0]) == 2
 
 
 def test_intake(spark, tmp_path):

@@ -30,11 +30,11 @@ def test_sample_mix(spark, mix_payload):
     flat = flatten_mix(documents(spark, mix_payload))
     row = good_rows(flat).first()
     assert bad_rows(flat).count() == 0
-    assert (row.nuclear_mw, row.hydro_storage_charge_mw, row.battery_storage_charge_mw) == (27069.648, 1239.355, 24.72)
-    assert row.hydro_storage_discharge_mw is None and row.geothermal_mw is None
-    assert (row.flow_exports_mw, row.flow_imports_mw, row.coal_mw) == (8573.0, 348.0, 0.0)
-    assert row.is_estimated is True and row.estimation_method == "SANDBOX_MODE_DATA"
-    assert (row.year, row.month, row.day) == (2026, 4, 23)
+    assert (row.nuclear_mw, row.hydro_storage_discharge_mw, row.battery_storage_charge_mw) == (1200.5, 512.25, 6.5)
+    assert row.hydro_storage_charge_mw is None and row.geothermal_mw is None
+    assert (row.flow_exports_mw, row.flow_imports_mw, row.coal_mw) == (1450.5, 905.0, 15.25)
+    assert row.is_estimated is False and row.estimation_method == "OWN_TEST_VALUES"
+    assert (row.year, row.month, row.day) == (2026, 5, 14) and row.datetime == datetime(2026, 5, 14, 14)
 
 
 @pytest.mark.parametrize("flatten", [flatten_mix, flatten_flows])
@@ -102,7 +102,7 @@ def test_numbers_are_typed_leniently(spark):
 def test_flows_unpivot(spark, flows_payload):
     flat = flatten_flows(documents(spark, flows_payload))
     rows = {(r.neighbor_zone, r.direction): r.power_mw for r in good_rows(flat).collect()}
-    assert rows == {("BE", "import"): 561.0, ("CH", "import"): 197.0, ("DE", "export"): 335.0, ("GB", "export"): 3016.0}
+    assert rows == {("DE", "import"): 702.5, ("CZ", "import"): 150.0, ("CH", "export"): 480.0, ("SI", "export"): 95.25}
 
 
 def test_flow_values(spark):

@@ -50,7 +50,7 @@ def test_whole_cycle(lake, mix_payload, flows_payload):
     assert gold == {"process_ts": 30, "silver_batches_consumed": 1, "mix_records": 1, "imports_records": 2,
                     "exports_records": 2}
     assert status(lake) == {("bronze", 10): "C", ("silver", 20): "C", ("gold", 30): "R"}
-    assert round(read(lake, "gold", "daily_electricity_mix", S.GOLD_MIX).first().nuclear_pct, 6) == 61.488873
+    assert round(read(lake, "gold", "daily_electricity_mix", S.GOLD_MIX).first().nuclear_pct, 6) == 12.845755
 
 
 def test_landing_files(lake, mix_payload, flows_payload, tmp_path):
@@ -61,9 +61,9 @@ def test_landing_files(lake, mix_payload, flows_payload, tmp_path):
     result = ingest_bronze(lake, str(tmp_path / "mix"), str(tmp_path / "flows"), 10)
     assert result["mix_records"] == 1
     rows = {r.zone: r for r in read(lake, "bronze", "electricity_mix", S.BRONZE).collect()}
-    assert rows["FR"].record_count == 1 and rows["DE"].record_count == 0
-    assert "/electricity-mix/past-range?zone=FR&start=" in rows["FR"].source_url
-    assert rows["FR"].range_end - rows["FR"].range_start == timedelta(hours=24)
+    assert rows["AT"].record_count == 1 and rows["DE"].record_count == 0
+    assert "/electricity-mix/past-range?zone=AT&start=" in rows["AT"].source_url
+    assert rows["AT"].range_end - rows["AT"].range_start == timedelta(hours=24)
 
 
 def test_failed_fetch_is_recorded(lake):
@@ -127,17 +127,17 @@ def test_gold_failure_leaves_silver_ready(lake, mix_payload, flows_payload):
 
 def test_late_data_recomputes_whole_day_only(lake, mix_payload, flows_payload):
     other_day = copy.deepcopy(mix_payload)
-    other_day["data"][0]["datetime"] = "2026-04-20T09:00:00Z"
+    other_day["data"][0]["datetime"] = "2026-05-11T14:00:00Z"
     land(lake, [mix_payload, other_day], [flows_payload], 10)
     transform_silver(lake, 20)
     transform_gold(lake, 30)
     late = copy.deepcopy(mix_payload)
-    late["data"][0]["datetime"] = "2026-04-23T10:00:00Z"
+    late["data"][0]["datetime"] = "2026-05-14T15:00:00Z"
     land(lake, [late], [{"data": []}], 11)
     transform_silver(lake, 21)
     transform_gold(lake, 31)
     rows = {(r.day, r.process_ts, r.hours_covered) for r in read(lake, "gold", "daily_electricity_mix", S.GOLD_MIX).collect()}
-    assert rows == {(20, 30, 1), (23, 31, 2)}
+    assert rows == {(11, 30, 1), (14, 31, 2)}
     # flows of the touched day are recomputed as well
     assert {r.process_ts for r in read(lake, "gold", "daily_imports", S.GOLD_IMPORTS).collect()} == {31}
 
@@ -303,11 +303,11 @@ def test_sql_surface(lake, mix_payload, flows_payload):
     for name in ("gold.daily_exports", "daily_exports", '"gold.daily_exports"'):
         assert surface.sql(f"SELECT count(*) AS n FROM {name}").first().n == 2
     share = surface.sql("SELECT renewable_avg_pct AS p FROM gold.daily_electricity_mix WHERE zone = :z AND date = :d",
-                        {"z": "FR", "d": datetime(2026, 4, 23).date()}).first().p
-    assert round(share, 6) == 37.673525
+                        {"z": "AT", "d": datetime(2026, 5, 14).date()}).first().p
+    assert round(share, 6) == 80.051897
     top = surface.bounded("SELECT destination_zone, sum(export_mwh) AS e FROM gold.daily_exports "
                           "GROUP BY ALL ORDER BY e DESC LIMIT 3;")
-    assert [r.destination_zone for r in top.collect()] == ["GB", "DE"]
+    assert [r.destination_zone for r in top.collect()] == ["CH", "SI"]
     assert surface.bounded("WITH m AS (SELECT * FROM daily_imports) SELECT * FROM m", rows=1).count() == 1
     for bad in ("DROP TABLE gold.daily_exports", "INSERT INTO gold.daily_imports SELECT * FROM gold.daily_imports",
                 "SELECT * FROM bronze.electricity_mix", "SELECT 1; SELECT 2", "SELECT * FROM parquet.`/etc`",

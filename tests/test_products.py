@@ -43,15 +43,15 @@ def test_two_hours(spark):
 def test_sample_payload(spark, mix_payload, flows_payload):
     row = products.daily_mix(good_rows(flatten_mix(documents(spark, mix_payload))), 1).first()
     expected = {
-        "total_production_mwh": 44023.653, "nuclear_pct": 61.488873, "solar_pct": 21.655475, "hydro_pct": 7.814913,
-        "wind_pct": 6.101618, "biomass_pct": 2.10152, "gas_pct": 0.745202, "oil_pct": 0.0924, "coal_pct": 0.0,
-        "geothermal_pct": 0.0, "unknown_pct": 0.0, "fossil_free_avg_pct": 99.162398, "renewable_avg_pct": 37.673525,
+        "total_production_mwh": 9345.5, "nuclear_pct": 12.845755, "solar_pct": 10.545182, "hydro_pct": 41.463806,
+        "wind_pct": 23.65577, "biomass_pct": 4.387138, "gas_pct": 6.853566, "oil_pct": 0.085603, "coal_pct": 0.16318,
+        "geothermal_pct": 0.0, "unknown_pct": 0.0, "fossil_free_avg_pct": 92.897651, "renewable_avg_pct": 80.051897,
     }
     assert {k: round(row[k], 6) for k in expected} == expected and row.hours_covered == 1
     net = products.daily_net_flows(good_rows(flatten_flows(documents(spark, flows_payload))), 1)
-    assert {r.source_zone: r.import_mwh for r in products.net_imports(net).collect()} == {"BE": 561.0, "CH": 197.0}
+    assert {r.source_zone: r.import_mwh for r in products.net_imports(net).collect()} == {"DE": 702.5, "CZ": 150.0}
     assert {r.destination_zone_name: r.export_mwh for r in products.net_exports(net).collect()} == {
-        "Germany": 335.0, "Great Britain": 3016.0}
+        "Switzerland": 480.0, "SI": 95.25}
 
 
 def test_no_production_and_negative_production(spark):

@@ -53,7 +53,7 @@ def test_landing_to_gold_as_streams(spark, tmp_path, mix_payload, flows_payload)
     bad = spark.read.schema(S.BAD_DATA).parquet(lake.path("silver", "silver_mix_bad_data"))
     assert [r.error_message for r in bad.collect()] == ["MALFORMED_JSON"]
     gold = tables.read_table(spark, lake.path("gold", "daily_imports"), S.GOLD_IMPORTS)
-    assert {r.source_zone: r.import_mwh for r in gold.collect()} == {"BE": 561.0, "CH": 197.0}
+    assert {r.source_zone: r.import_mwh for r in gold.collect()} == {"DE": 702.5, "CZ": 150.0}
     silver = tables.read_table(spark, lake.path("silver", "electricity_mix"), S.SILVER_MIX)
     want = products.daily_mix(silver, 3).first()
     assert tables.read_table(spark, lake.path("gold", "daily_electricity_mix"), S.GOLD_MIX).first() == want

@@ -40,6 +40,23 @@ def clean_text(spark, sf_dir):
     return cleaning.clean_text(docs, _boilerplate(docs))
 
 
+_ODD_SQL = "odd AS (SELECT doc_id // 3 AS doc_id, CASE WHEN doc_id % 10 = 7 THEN NULL ELSE text END AS text FROM documents)"
+
+
+@query(f"""WITH {_ODD_SQL}, {_LINES_SQL}, numbered AS (SELECT *, row_number() OVER () AS n FROM odd),
+kept AS (SELECT n, string_agg(line, chr(10) ORDER BY i) AS body FROM (SELECT n, i,
+    trim(regexp_replace(string_split(text, chr(10))[i], '[ \\t\\r\\f]+', ' ', 'g'), ' ') AS line
+  FROM (SELECT n, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM numbered))
+  WHERE line NOT IN (SELECT line FROM boiler) GROUP BY 1)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN {_TIDY.format("coalesce(body, '')")} END AS text
+FROM numbered LEFT JOIN kept USING (n)""")
+def clean_text_by_join(spark, sf_dir):
+    """Null texts and repeated ids cleaned by the join that takes the place of the hash set for long lists of lines."""
+    docs = fx.documents(spark, sf_dir).select("doc_id", "text")
+    odd = docs.select(F.floor(F.col("doc_id") / 3).alias("doc_id"), F.expr("CASE WHEN doc_id % 10 <> 7 THEN text END").alias("text"))
+    return cleaning.clean_text(odd, _boilerplate(docs), max_inline_lines=0)
+
+
 _FIXED_SQL = """chunk AS (SELECT doc_id, i AS pos, substr(text, 1 + i * 800, 1000) AS text FROM (
   SELECT doc_id, text, unnest(generate_series(0, greatest(ceil((length(text) - 200) / 800.0), 1)::BIGINT - 1)) AS i
   FROM documents))"""

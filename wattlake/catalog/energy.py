@@ -346,7 +346,7 @@ def _ask(spark, sf_dir, text, args=None):
 @query(_MIX + """SELECT zone_name, round(avg(renewable_avg_pct), 6) AS renewable FROM (
   SELECT *, """ + fx.ZONE_NAME_SQL.format("zone") + """ AS zone_name FROM gold) WHERE zone_name = 'France' GROUP BY 1""")
 def sql_avg_renewable(spark, sf_dir):
-    """What is the average renewable percentage for France?"""
+    """Mean daily renewable share of one zone, asked by its name."""
     return _ask(spark, sf_dir, """SELECT zone_name, avg(renewable_avg_pct) AS renewable FROM wattlake_daily_mix
         WHERE zone_name = :zone GROUP BY zone_name""", {"zone": "France"})
 
@@ -354,7 +354,7 @@ def sql_avg_renewable(spark, sf_dir):
 @query(_NET + """SELECT neighbor_zone AS destination_zone_name, round(sum(-net_flow), 6) AS exported_mwh
 FROM net WHERE net_flow < 0 AND zone = 'FR' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""")
 def sql_top3_destinations(spark, sf_dir):
-    """The top 3 destinations for electricity exported from France."""
+    """The three neighbours that take most from one zone."""
     return _ask(spark, sf_dir, """SELECT destination_zone_name, sum(export_mwh) AS exported_mwh
         FROM wattlake_daily_exports WHERE zone = :zone GROUP BY ALL
         ORDER BY round(exported_mwh, 6) DESC, destination_zone_name LIMIT 3""", {"zone": "FR"})

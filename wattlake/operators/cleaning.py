@@ -7,8 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Beyond these sizes lines are matched by joins instead of by a hash set in the plan.
-MAX_INLINE_HASHES = 20_000
+from wattlake.session import scratch_path
+
+# Beyond these sizes lines are matched by a join instead of by a hash set in the plan. Both give the same rows.
 MAX_INLINE_LINES = 5_000
 MAX_INLINE_BYTES = 4 * 1024 * 1024
 
@@ -36,14 +37,9 @@ def boilerplate_lines(docs: DataFrame, min_docs: int, min_share: float = 0.0) ->
         min_docs = max(min_docs, math.ceil(docs.count() * min_share))
     lines = docs.select(F.explode(F.array_distinct(text_lines(F.col("text")))).alias("line")).where("line <> ''")
     hashed = lines.select("line", F.xxhash64("line").alias("h"))
-    frequent = (
-        hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
-    )
-    some = [r.h for r in frequent.limit(MAX_INLINE_HASHES + 1).collect()]
-    if len(some) <= MAX_INLINE_HASHES:
-        candidates = hashed.where(F.col("h").isin(some))
-    else:
-        candidates = hashed.join(frequent, "h", "left_semi")
+    frequent = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h")
+    # Stored, so that the join knows how few they are before any line is shuffled.
+    candidates = hashed.join(_stored(frequent, "frequent"), "h", "left_semi")
     return candidates.groupBy("line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs)
 
 
@@ -57,44 +53,53 @@ def _reassemble(lines: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(joined, r"\n{3,}", "\n\n"), r"^\n+|\n+$", "")
 
 
-def clean_text(docs: DataFrame, boilerplate: DataFrame | None = None) -> DataFrame:
+def clean_text(docs: DataFrame, boilerplate: DataFrame | None = None,
+               max_inline_lines: int = MAX_INLINE_LINES) -> DataFrame:
     """``docs`` with ``text`` cleaned: white space normalised, boilerplate lines taken out, titles kept.
 
-    The boilerplate lines are looked up in a hash set inside each document, so the texts are not
-    shuffled. A line must occur in ``min_docs`` documents, hence their number is at most the average
-    number of lines per document times documents / ``min_docs``; if they are many all the same, lines
-    are matched by a join and documents are put together again by ``doc_id``.
+    Rows are cleaned one by one, whatever their ids, and a null text stays null. The boilerplate lines are looked
+    up in a hash set inside each document, so the texts are not shuffled. A line must occur in ``min_docs``
+    documents, hence their number is at most the average number of lines per document times documents /
+    ``min_docs``; if they are many all the same, lines are matched by a join, with the same result.
     """
     if boilerplate is None:
         return docs.withColumn("text", _reassemble(text_lines(F.col("text"))))
-    lines_out = boilerplate.select("line").persist()
+    lines_out = _stored(boilerplate.select("line").where("line IS NOT NULL").distinct(), "boilerplate")
     size = lines_out.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("line")), F.lit(0)).alias("bytes")
     ).first()
-    if size.n <= MAX_INLINE_LINES and size.bytes <= MAX_INLINE_BYTES:
-        unwanted = [r.line for r in lines_out.collect()]
-        lines_out.unpersist()
-        kept = F.filter(text_lines(F.col("text")), lambda line: _is_title(line) | ~line.isin(unwanted))
-        return docs.withColumn("text", _reassemble(kept))
-    return _clean_by_join(docs, lines_out)
+    if size.n > max_inline_lines or size.bytes > MAX_INLINE_BYTES:
+        return _clean_by_join(docs, lines_out)
+    unwanted = [r.line for r in lines_out.collect()]
+    kept = F.filter(text_lines(F.col("text")), lambda line: _is_title(line) | ~line.isin(unwanted))
+    return docs.withColumn("text", _reassemble(kept))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the shared folder, so that it is computed once and its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _clean_by_join(docs: DataFrame, lines_out: DataFrame) -> DataFrame:
-    """The same result without a size limit: lines as rows, joined on their hash and text.
+    """The same result without a size limit: lines of the distinct texts as rows, joined on their text.
 
-    Lines are salted against the boilerplate list, because one of them may be a third of all lines.
+    Equal texts are cleaned alike, so a text is known by its hash and not by its id, which may repeat. Lines
+    are salted against the boilerplate list, because one of them may be a third of all lines.
     """
-    salts = 32
-    exploded = docs.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("pos", "line"))
-    exploded = exploded.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(salts)).cast("int"))
+    spark = docs.sparkSession
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = docs.withColumn("__key", F.sha2("text", 256))
+    # One row per text is chosen before the shuffle of its lines; a copied text costs one row per task.
+    texts = keyed.where("text IS NOT NULL").groupBy("__key").agg(F.first("text").alias("text"))
+    exploded = texts.select("__key", F.posexplode(text_lines(F.col("text"))).alias("pos", "line"))
+    exploded = exploded.withColumn("salt", F.pmod(F.xxhash64("__key", "pos"), F.lit(salts)).cast("int"))
     salted = lines_out.select("line", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     kept = exploded.where(_is_title(F.col("line"))).unionByName(
         exploded.where(~_is_title(F.col("line"))).join(salted, ["line", "salt"], "left_anti").select(*exploded.columns)
     )
-    rebuilt = kept.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("parts"))
-    texts = rebuilt.select("doc_id", _reassemble(F.transform("parts", lambda p: p["line"])).alias("__text"))
-    return (
-        docs.join(texts, "doc_id", "left")
-        .withColumn("text", F.coalesce("__text", F.lit("")))
-        .select(*docs.columns)
-    )
+    rebuilt = kept.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("parts"))
+    cleaned = rebuilt.select("__key", _reassemble(F.transform("parts", lambda p: p["line"])).alias("__text"))
+    text = F.when(F.col("text").isNotNull(), F.coalesce("__text", F.lit("")))  # no line may be left
+    return keyed.join(cleaned, "__key", "left").withColumn("text", text).select(*docs.columns)
