@@ -66,6 +66,54 @@ def test_landing_files(lake, mix_payload, flows_payload, tmp_path):
     assert rows["AT"].range_end - rows["AT"].range_start == timedelta(hours=24)
 
 
+def test_files_are_landed_once(lake, mix_payload, tmp_path):
+    for kind in ("mix", "flows"):
+        (tmp_path / kind / "deep").mkdir(parents=True)
+    (tmp_path / "mix" / "a.json").write_text(json.dumps(mix_payload))
+
+    def run(ts):
+        return ingest_bronze(lake, str(tmp_path / "mix"), str(tmp_path / "flows"), ts)["mix_records"]
+
+    assert run(1) == 1 and run(2) == 0
+    (tmp_path / "mix" / "deep" / "b.json").write_text(json.dumps(mix_payload))
+    assert run(3) == 1 and run(4) == 0
+    batches = [r.process_ts for r in read(lake, "bronze", "electricity_mix", S.BRONZE).collect()]
+    assert sorted(batches) == [1, 3]
+
+
+STEPS = [("silver", "claim", True), ("silver", "days_of", False), ("silver", "mark_ready", True), ("silver", "mark_complete", True),
+         ("gold", "claim", False), ("gold", "mark_ready", True), ("gold", "mark_complete", True)]
+
+
+@pytest.mark.parametrize("layer, step, lost", STEPS)
+def test_a_stop_at_any_step_leaves_a_retry_the_same_result(lake, mix_payload, flows_payload, monkeypatch, layer, step, lost):
+    """``lost``: the driver is gone, nothing is recorded any more."""
+    land(lake, [mix_payload], [flows_payload], 10)
+    job = {"silver": transform_silver, "gold": transform_gold}[layer]
+    if layer == "gold":
+        transform_silver(lake, 20)
+    original, stop = getattr(Ledger, step), KeyboardInterrupt if lost else ZeroDivisionError
+
+    def stopped(self, process, *args, **values):
+        if step in ("claim", "days_of"):
+            original(self, process, *args, **values)
+        raise stop
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Ledger, step, stopped)
+        with pytest.raises(stop):
+            job(lake, 25)
+    if layer == "silver":
+        transform_silver(lake, 30)
+    gold = transform_gold(lake, 40)
+    assert gold.get("status") == "no_pending" or (gold["mix_records"], gold["imports_records"], gold["exports_records"]) == (1, 2, 2)
+    row = read(lake, "gold", "daily_electricity_mix", S.GOLD_MIX).collect()
+    assert len(row) == 1 and round(row[0].nuclear_pct, 6) == 12.845755
+    left = {k: v for k, v in status(lake).items() if v in ("P", "R") and k[0] != "gold"}
+    assert not left
+    assert transform_silver(lake, 50)["status"] == "no_pending" and transform_gold(lake, 60)["status"] == "no_pending"
+
+
 def test_failed_fetch_is_recorded(lake):
     def broken(start, end):
         raise RuntimeError("source is down")

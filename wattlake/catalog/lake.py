@@ -224,6 +224,34 @@ def ledger_after_jobs(spark, sf_dir):
     return run_jobs(spark, sf_dir).ledger.state().select("process", "process_ts", "status", "record_count")
 
 
+@query(f"""WITH {_SILVER_MIX}, {fx.wide_sql('good')}, {fx.daily_mix_sql('wide')},
+{fx.FLOWS_SQL}, good_flows AS {_GOOD_FLOWS}, {fx.net_flows_sql('good_flows')}
+SELECT 'bronze' AS process, 1::BIGINT AS process_ts, 'C' AS status,
+  (2 * sum(CASE WHEN cut_off THEN 0 ELSE n END))::BIGINT AS record_count FROM page
+UNION ALL SELECT 'silver', 2, 'I', NULL
+UNION ALL SELECT 'silver', 3, 'C', (SELECT count(*) FROM good) + (SELECT count(*) FROM good_flows)
+UNION ALL SELECT 'gold', 4, 'I', NULL
+UNION ALL SELECT 'gold', 5, 'R', (SELECT count(*) FROM gold) + (SELECT count(*) FROM net WHERE net_flow <> 0)""")
+def ledger_after_failure(spark, sf_dir):
+    """A silver run that fails and a gold run that is lost after their claims; the next runs do their work, and runs
+    after these find nothing pending."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    ingest_bronze(lake, mix_documents(spark, sf_dir).select("raw_json"), flow_documents(spark, sf_dir).select("raw_json"), 1)
+    ledger = lake.ledger
+    ledger.open("silver", 2)
+    ledger.claim("bronze", ledger.pending("bronze", "silver"), claimed_by=2)
+    ledger.mark_error("silver", 2, "failed on purpose")
+    ledger.release("bronze", [1])
+    transform_silver(lake, 3)
+    ledger.open("gold", 4)
+    ledger.claim("silver", ledger.pending("silver", "gold"), claimed_by=4)  # and nothing more is heard of it
+    transform_gold(lake, 5)
+    for again in (transform_silver, transform_gold):
+        if again(lake, 9)["status"] != "no_pending":
+            raise AssertionError("a consumed batch was taken again")
+    return ledger.state().select("process", "process_ts", "status", "record_count")
+
+
 # ---------------------------------------------------------------- SQL over written tables
 
 def _gold_surface(spark, sf_dir) -> SqlSurface:

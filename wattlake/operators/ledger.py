@@ -2,7 +2,8 @@
 
 A batch goes I (started) -> R (ready) -> P (claimed by the next layer) -> C (consumed). A failure
 appends I with a message for the failed batch and R for the batches it had claimed, so that a
-retry finds them again.
+retry finds them again. A claim names the batch that made it: when that batch never got to R (its driver was
+lost), the next run takes the claimed batches back; when it did, they are only marked as consumed.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from wattlake.sources.tables import Day, only_batches, read_table, remove_files
 
 MAX_LOG_FILES = 100  # every status change adds a file; beyond this many they are put together
 
-_CARRIED = ["start_timestamp", "end_timestamp", "record_count", "error_message", "range_end", "days"]
+_CARRIED = ["start_timestamp", "end_timestamp", "record_count", "error_message", "range_end", "days", "claimed_by"]
 
 
 def current_state(log: DataFrame) -> DataFrame:
@@ -37,6 +38,15 @@ def ready_batches(log: DataFrame, process: str) -> DataFrame:
     return state.where("status = 'R'").select("process_ts")
 
 
+def orphaned_batches(log: DataFrame, process: str, claimer: str) -> DataFrame:
+    """``process_ts, done`` of claimed batches whose claimer, a batch of ``claimer``, is not at work any more: it
+    finished without marking them (``done``) or was lost. One writer per layer, so no other claim is alive."""
+    state = current_state(log.where(F.col("process") == process)).where("status = 'P' AND claimed_by IS NOT NULL")
+    claimers = current_state(log.where(F.col("process") == claimer)).select(
+        F.col("process_ts").alias("claimed_by"), F.col("status").isin("R", "P", "C").alias("finished"))
+    return state.join(claimers, "claimed_by", "left").select("process_ts", F.coalesce("finished", F.lit(False)).alias("done"))
+
+
 def last_batch(log: DataFrame, process: str) -> DataFrame:
     """The newest batch id of a layer and its time; null where the layer has none."""
     newest = F.max("process_ts")
@@ -121,12 +131,26 @@ class Ledger:
             state.coalesce(1).write.mode("append").parquet(self.path)
             remove_files(self.spark, old)
 
-    def claim_ready(self, process: str) -> list[int]:
-        """Ids of all ready batches, now marked as claimed. One id per pending batch, not per row."""
+    def pending(self, process: str, claimer: str | None = None) -> list[int]:
+        """Ids of the batches to work on: those ready, and those a lost batch of ``claimer`` had claimed. Claims that a
+        finished batch left open are closed. One id per pending batch, not per row."""
         if len(self.log().inputFiles()) > MAX_LOG_FILES:
             self.compact()
-        claimed = sorted(r.process_ts for r in ready_batches(self.log(), process).collect())
-        self._append(process, claimed, "P")
+        log = self.log()
+        waiting = {r.process_ts for r in ready_batches(log, process).collect()}
+        if claimer is not None:
+            orphans = orphaned_batches(log, process, claimer).collect()
+            self.mark_complete(process, sorted(r.process_ts for r in orphans if r.done))
+            waiting |= {r.process_ts for r in orphans if not r.done}
+        return sorted(waiting)
+
+    def claim(self, process: str, batches: Sequence[int], claimed_by: int | None = None) -> None:
+        self._append(process, batches, "P", claimed_by=claimed_by)
+
+    def claim_ready(self, process: str) -> list[int]:
+        """Ids of all ready batches, now marked as claimed."""
+        claimed = self.pending(process)
+        self.claim(process, claimed)
         return claimed
 
     def days_of(self, process: str, batches: Sequence[int]) -> list[Day] | None:

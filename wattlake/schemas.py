@@ -88,7 +88,7 @@ GOLD_EXPORTS = _gold_exchange("destination_zone", "export_mwh")
 
 LEDGER_LOG = _schema(
     "process STRING, process_ts BIGINT, seq BIGINT, status STRING, start_timestamp TIMESTAMP, "
-    "end_timestamp TIMESTAMP, record_count BIGINT, error_message STRING, range_end TIMESTAMP, days INTS"
+    "end_timestamp TIMESTAMP, record_count BIGINT, error_message STRING, range_end TIMESTAMP, days INTS, claimed_by BIGINT"
 )
 LEDGER_STATE = _schema(
     "process STRING, process_ts BIGINT, start_timestamp TIMESTAMP, end_timestamp TIMESTAMP, "

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattlake.functions.timecols import day_columns
 from wattlake.operators.flatten import record_count
 from wattlake.schemas import BRONZE
+from wattlake.sources.tables import table_exists
 
 
 def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
@@ -15,6 +16,33 @@ def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) ->
     return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed("value", "raw_json")
 
 
+LANDED = "path STRING, changed TIMESTAMP, process_ts BIGINT"
+
+
+def new_files(spark: SparkSession, path: str, landed: str) -> list:
+    """Files below ``path`` that the table of landed files does not know, as (path, changed).
+
+    Contents are not read. The list of one run's new files is on the driver, as Spark's own listing is.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = listed.select("path", F.col("modificationTime").alias("changed"))
+    if table_exists(spark, landed):
+        files = files.join(spark.read.schema(LANDED).parquet(landed), ["path", "changed"], "left_anti")
+    return files.collect()
+
+
+def read_files(spark: SparkSession, files: list) -> DataFrame:
+    """``raw_json`` of the given files, a document each."""
+    if not files:
+        return spark.createDataFrame([], "raw_json string")
+    return spark.read.text([f.path for f in files], wholetext=True).withColumnRenamed("value", "raw_json")
+
+
+def remember_files(spark: SparkSession, files: list, landed: str, process_ts: int) -> None:
+    rows = [(f.path, f.changed, process_ts) for f in files]
+    spark.createDataFrame(rows, LANDED).coalesce(1).write.mode("append").parquet(landed)
+
+
 def source_url(base_url: str, endpoint: str, zone: Column, start: Column, end: Column) -> Column:
     def iso(ts: Column) -> Column:
         return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
