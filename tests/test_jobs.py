@@ -11,7 +11,7 @@ from wattlake.operators.contracts import ContractViolation
 from wattlake.operators.keys import DuplicateKeyError
 from wattlake.operators.ledger import Ledger
 from wattlake.plans.jobs import Lake, ingest_bronze, transform_gold, transform_silver
-from wattlake.plans.sql_surface import INSPECTIONS, NotAReadOnlyQuery, SqlSurface
+from wattlake.plans.sql_surface import INSPECTIONS, ForeignTable, NotAReadOnlyQuery, SqlSurface
 from wattlake.sources import tables
 
 
@@ -357,8 +357,37 @@ def test_sql_surface(lake, mix_payload, flows_payload):
                           "GROUP BY ALL ORDER BY e DESC LIMIT 3;")
     assert [r.destination_zone for r in top.collect()] == ["CH", "SI"]
     assert surface.bounded("WITH m AS (SELECT * FROM daily_imports) SELECT * FROM m", rows=1).count() == 1
+    for text in ("SELECT 'el_state' AS x", "SELECT 'reflect(' || 'parquet.`x`' AS x FROM daily_imports",
+                 "SELECT x.z FROM (SELECT zone AS z FROM daily_imports WHERE zone IN (SELECT zone FROM gold.daily_exports)) x",
+                 'SELECT "zone" FROM "gold.daily_imports" ORDER BY 1', "SELECT zone, rank() OVER (ORDER BY import_mwh) FROM daily_imports"):
+        assert surface.bounded(text).count() >= 1
     for bad in ("DROP TABLE gold.daily_exports", "INSERT INTO gold.daily_imports SELECT * FROM gold.daily_imports",
                 "SELECT * FROM bronze.electricity_mix", "SELECT 1; SELECT 2", "SELECT * FROM parquet.`/etc`",
-                "SELECT reflect('java.lang.System', 'nanoTime')", "SELECT * FROM identifier('bronze' || '.x')"):
+                "SELECT reflect('java.lang.System', 'nanoTime')", "SELECT * FROM identifier('bronze' || '.x')",
+                "SELECT reflect/**/('java.lang.System', 'nanoTime')", "SELECT `reflect`('java.lang.System', 'nanoTime')",
+                "SELECT * FROM IDENTIFIER/**/('bronze.electricity' || '_mix')", "SELECT * FROM parquet/**/.`/etc`",
+                "SELECT (SELECT max(process_ts) FROM state.el_state)", "WITH x AS (SELECT * FROM silver.electricity_mix) SELECT * FROM x",
+                "SELECT * FROM daily_imports WHERE EXISTS (SELECT 1 FROM el_state)", "SELECT * FROM range(10)",
+                "SELECT * FROM daily_imports WHERE zone IN (SELECT java_method('java.lang.System', 'getProperty', 'x'))",
+                "SELECT TRANSFORM(zone) USING 'cat' AS z FROM daily_imports", "SELECT input_file_name() FROM daily_imports"):
         with pytest.raises(NotAReadOnlyQuery):
             surface.bounded(bad)
+
+
+def test_foreign_tables_survive(spark, lake, mix_payload, flows_payload):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mine_gold")
+    spark.sql("CREATE OR REPLACE TEMP VIEW one AS SELECT 1 AS x")
+    spark.sql("CREATE TABLE mine_gold.daily_imports USING parquet AS SELECT * FROM one")
+    surface = SqlSurface(lake, "mine_")
+    with pytest.raises(ForeignTable):
+        surface.register()
+    land(lake, [mix_payload], [flows_payload], 10)
+    transform_silver(lake, 20)
+    transform_gold(lake, 30)
+    with pytest.raises(ForeignTable):
+        surface.register()
+    assert spark.table("mine_gold.daily_imports").first().x == 1
+    spark.sql("DROP TABLE mine_gold.daily_imports")
+    assert len(surface.register()) == 8
+    assert surface.bounded("SELECT * FROM mine_gold.daily_imports").count() == 2
+    assert surface.sql("SELECT count(*) AS n FROM mine_state.el_state").first().n == 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wattlake.catalog import fixtures as fx
@@ -264,7 +266,7 @@ def _gold_surface(spark, sf_dir) -> SqlSurface:
     }
     for name, df in frames.items():
         tables.append(df, lake.path("gold", name), DAY_COLUMNS)
-    surface = SqlSurface(lake)
+    surface = SqlSurface(lake, f"q{uuid.uuid4().hex}_")
     surface.register()
     return surface
 
@@ -274,7 +276,8 @@ picked AS (SELECT zone, date, total_production_mwh FROM gold ORDER BY date DESC,
 SELECT zone, {fx.date_sql('date')} AS date, round(total_production_mwh, 6) AS total_production_mwh FROM picked""")
 def sql_latest_rows(spark, sf_dir):
     """Latest rows of a lake table by name, in an order without ties."""
-    return _gold_surface(spark, sf_dir).sql("""SELECT zone, date, total_production_mwh FROM gold.daily_electricity_mix
+    surface = _gold_surface(spark, sf_dir)
+    return surface.sql(f"""SELECT zone, date, total_production_mwh FROM {surface.prefix}gold.daily_electricity_mix
         ORDER BY process_ts DESC, date DESC, zone LIMIT 10""")
 
 
@@ -283,8 +286,9 @@ SELECT zone, sum(CASE WHEN net_flow > 0 THEN 1 ELSE 0 END)::BIGINT AS n_imports,
   sum(CASE WHEN net_flow < 0 THEN 1 ELSE 0 END)::BIGINT AS n_exports FROM net GROUP BY 1""")
 def sql_bounded(spark, sf_dir):
     """A read-only query over the gold tables whose result is bounded."""
-    return _gold_surface(spark, sf_dir).bounded("""
-        WITH i AS (SELECT zone, count(*) AS n_imports FROM gold.daily_imports GROUP BY zone),
+    surface = _gold_surface(spark, sf_dir)
+    return surface.bounded(f"""
+        WITH i AS (SELECT zone, count(*) AS n_imports FROM {surface.prefix}gold.daily_imports GROUP BY zone),
              e AS (SELECT zone, count(*) AS n_exports FROM daily_exports GROUP BY zone)
         SELECT zone, coalesce(n_imports, 0L) AS n_imports, coalesce(n_exports, 0L) AS n_exports
         FROM i FULL JOIN e USING (zone)""", rows=100)
@@ -300,7 +304,7 @@ def sql_inspections(spark, sf_dir):
     """The eight inspection queries: how many rows each shows and from which batch the first one is."""
     from wattlake.plans.sql_surface import INSPECTIONS
 
-    surface = SqlSurface(run_jobs(spark, sf_dir))
+    surface = SqlSurface(run_jobs(spark, sf_dir), f"q{uuid.uuid4().hex}_")
     surface.register()
     shown = [
         surface.latest_rows(table, rows).agg(

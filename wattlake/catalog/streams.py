@@ -15,19 +15,21 @@ from wattlake.sources import tables
 from wattlake.streaming import jobs
 
 
-def _landing(spark, sf_dir, files: int) -> str:
-    """All mix documents as lines of text files."""
-    path = scratch_path(spark, "landing")
-    mix_documents(spark, sf_dir).select("raw_json").repartition(files).write.text(path)
-    return path
-
-
-def _stream_bronze(spark, sf_dir, lake: Lake) -> str:
-    payloads = jobs.stream_files(spark, _landing(spark, sf_dir, 6), format="text", files_per_batch=2)
-    path = lake.path("bronze", "electricity_mix")
-    jobs.land_bronze(
-        payloads.select(F.col("value").alias("raw_json")), path, f"{lake.root}/checkpoints/bronze", "electricity-mix",
-        process_ts=F.unix_millis(F.current_timestamp()))
+def _thirds(spark, path: str, format: str = "parquet") -> int:
+    """Files of a micro-batch if there are to be three."""
+    return max(1, -(-len(spark.read.format(format).load(path).inputFiles()) // 3))
+
+
+def _stream_bronze(spark, documents, lake: Lake, kind: str = "mix") -> str:
+    """Documents delivered in two parts, as lines of text files; after each the stream takes what is new."""
+    landing, path = scratch_path(spark, "landing"), lake.path("bronze", f"electricity_{kind}")
+    half = F.pmod(F.xxhash64("raw_json"), F.lit(2))
+    for part in (0, 1):
+        documents.where(half == part).select("raw_json").write.mode("append").text(landing)
+        payloads = jobs.stream_files(spark, landing, format="text", files_per_batch=_thirds(spark, landing, "text"))
+        jobs.land_bronze(
+            payloads.select(F.col("value").alias("raw_json")), path, f"{lake.root}/checkpoints/bronze",
+            f"electricity-{kind}", process_ts=F.unix_millis(F.current_timestamp()))
     return path
 
 
@@ -37,7 +39,7 @@ SELECT CASE WHEN cut_off THEN 'unreadable' ELSE zone END AS zone, count(*) AS n_
 def stream_bronze(spark, sf_dir):
     """Landing files to the bronze table in several micro-batches."""
     lake = Lake(spark, scratch_path(spark, "lake"))
-    bronze = tables.read_table(spark, _stream_bronze(spark, sf_dir, lake), BRONZE)
+    bronze = tables.read_table(spark, _stream_bronze(spark, mix_documents(spark, sf_dir), lake), BRONZE)
     return bronze.groupBy(F.coalesce("zone", F.lit("unreadable")).alias("zone")).agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("record_count").alias("n_records"))
 
@@ -50,7 +52,7 @@ SELECT zone, {fx.time_sql('datetime')} AS datetime, {fx.time_sql('updated_at')}
 def stream_silver_upsert(spark, sf_dir):
     """Bronze stream to the silver table: rows of later micro-batches replace older ones."""
     lake = Lake(spark, scratch_path(spark, "lake"))
-    bronze = _stream_bronze(spark, sf_dir, lake)
+    bronze = _stream_bronze(spark, mix_documents(spark, sf_dir), lake)
     path = lake.path("silver", "electricity_mix")
     jobs.stream_silver(
         jobs.stream_files(spark, bronze, BRONZE, files_per_batch=2), "mix", path,
@@ -66,10 +68,11 @@ def stream_dedup(spark, sf_dir):
     source = scratch_path(spark, "replayed")
     rows = fx.readings(spark, sf_dir)
     for _ in range(3):
-        rows.coalesce(1).write.mode("append").parquet(source)
+        rows.write.mode("append").parquet(source)
     out = scratch_path(spark, "unique")
     stream = jobs.drop_replays(
-        jobs.stream_files(spark, source, rows.schema, files_per_batch=1), ["event_id"], "updated_at", "60 days")
+        jobs.stream_files(spark, source, rows.schema, files_per_batch=_thirds(spark, source)), ["event_id"], "updated_at",
+        "60 days")
     jobs.append_parquet(stream, out, scratch_path(spark, "checkpoint"))
     return spark.read.schema(rows.schema).parquet(out).groupBy("zone", "source").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("mw").alias("total_mw"), F.max("event_id").alias("last_event"))
@@ -81,13 +84,14 @@ SELECT zone, {fx.date_sql('datetime')} AS date, round(sum(mw), 6) AS total_mwh,
 FROM readings GROUP BY zone, {fx.date_sql('datetime')}, datetime::DATE"""
 
 
-def _daily_stream(spark, sf_dir, delay: str, files_per_batch: int):
+def _daily_stream(spark, sf_dir, delay: str, files_per_batch: int | None):
     """Readings written as files, streamed into daily totals per zone."""
     source = scratch_path(spark, "readings")
     rows = fx.readings(spark, sf_dir)
-    rows.repartition(4, "event_id").write.parquet(source)
+    rows.write.partitionBy("source").parquet(source)
     return jobs.daily_windows(
-        jobs.stream_files(spark, source, rows.schema, files_per_batch=files_per_batch), ["zone"], "updated_at", delay,
+        jobs.stream_files(spark, source, rows.schema, files_per_batch=files_per_batch or _thirds(spark, source)),
+        ["zone"], "updated_at", delay,
         {"total_mwh": F.sum("mw"), "n_rows": F.count(F.lit(1))})
 
 
@@ -105,7 +109,7 @@ def stream_daily_closed(spark, sf_dir):
 def stream_daily_current(spark, sf_dir):
     """Daily totals of all days, open ones included, brought up to date by every micro-batch."""
     # files are not in the order of time, so nothing may count as late
-    stream = _daily_stream(spark, sf_dir, "60 days", 2)
+    stream = _daily_stream(spark, sf_dir, "60 days", None)
     out = scratch_path(spark, "daily")
     jobs.keep_daily_current(stream, out, scratch_path(spark, "checkpoint"), ["zone"])
     return spark.read.parquet(out).select(*stream.columns)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -40,85 +39,188 @@ INSPECTIONS = {
 }
 
 
+# What a bounded query may be made of: classes of the parsed text, and functions.
+QUERY_NODES = frozenset("""Project Filter Aggregate Sort GlobalLimit LocalLimit Offset Distinct SubqueryAlias
+    UnresolvedSubqueryColumnAliases UnresolvedWith UnresolvedRelation Join Union Except Intersect UnresolvedHaving
+    OneRowRelation WithWindowDefinition""".split())
+CLOSED_EXPRESSIONS = frozenset(["ExpressionWithUnresolvedIdentifier"])
+SUBQUERIES = frozenset(["ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"])
+FUNCTIONS = frozenset("""abs any any_value array array_agg array_contains avg bool_and bool_or bround cardinality ceil ceiling
+    coalesce collect_list collect_set concat concat_ws contains corr count count_if cume_dist current_date date date_add
+    date_diff date_format date_sub date_trunc datediff day dayofmonth dayofweek dayofyear dense_rank div double endswith every
+    exp extract first first_value float floor greatest hour if ifnull initcap int isnan isnotnull isnull lag last last_day
+    last_value lcase lead least left length ln log log10 lower lpad ltrim make_date map max max_by mean median min min_by mod
+    month months_between named_struct next_day not ntile nullif nvl nvl2 percent_rank percentile percentile_approx power quarter
+    rank regr_slope replace right round row_number rpad rtrim sign size some sort_array sqrt startswith std stddev
+    stddev_pop stddev_samp string struct substr substring sum timestamp to_date to_timestamp trim trunc try_cast try_divide ucase
+    upper var_pop var_samp variance weekofyear when width_bucket year""".split())
+
+
 class NotAReadOnlyQuery(ValueError):
     """The text is not a plain query over the permitted tables."""
 
 
+class ForeignTable(ValueError):
+    """A name that the lake needs belongs to a table that is not the lake's."""
+
+
 class SqlSurface:
-    """Registers the lake's tables as external tables and runs SQL over them."""
+    """Registers the lake's tables as external tables and runs SQL over them.
 
-    def __init__(self, lake: Lake):
+    ``prefix`` goes in front of the database names, so that several lakes can be registered side by side. Queries run
+    in a session of their own, in which a name in double quotes is a name: ``"gold.daily_imports"`` is a table too.
+    """
+
+    def __init__(self, lake: Lake, prefix: str = ""):
         self.lake = lake
+        self.prefix = prefix
         self.spark = lake.spark
         use_utc(self.spark)
+        self.session = self._new_session()
+
+    def _new_session(self):
+        session = self.spark.newSession()
+        for key in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"):
+            if (value := self.spark.conf.get(key, None)) is not None:
+                session.conf.set(key, value)
+        session.conf.set("spark.sql.session.timeZone", "UTC")
+        session.conf.set("spark.sql.ansi.enabled", "true")
+        session.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+        return session
 
     def register(self) -> list[str]:
-        """(Re-)register every table that exists; others are reported and skipped."""
+        """(Re-)register every table that exists; others are reported and skipped. A table of the same name that is
+        not the lake's is never replaced."""
         found = []
         for layer, names in LAKE_TABLES.items():
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.lake.root}/{layer}'")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
             for name, schema in names.items():
                 if layer == "state":
                     self._register_state(name)
                 elif table_exists(self.spark, self.lake.path(layer, name)):
                     self._register_table(layer, name, schema)
                 else:
-                    self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+                    self._drop_own(layer, name)
                     logger.warning("no table %s.%s in %s", layer, name, self.lake.root)
                     continue
                 found.append(f"{layer}.{name}")
         return found
 
+    def _drop_own(self, layer: str, name: str, path: str | None = None) -> None:
+        """Make room for a name: only what lies in the lake is dropped."""
+        full = f"{self.prefix}{layer}.{name}"
+        if not self.spark.catalog.tableExists(full):
+            return
+        described = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()}
+        text = described.get("Location") or described.get("View Text") or ""
+        if (path or self.lake.path(layer, name)).rstrip("/").removeprefix("file:") not in text:
+            raise ForeignTable(f"{full} belongs to another owner: {text}")
+        self.spark.sql(f"DROP {'VIEW' if described.get('Type') == 'VIEW' else 'TABLE'} {full}")
+
     def _register_table(self, layer: str, name: str, schema) -> None:
         partitioned = set(S.DAY_COLUMNS) <= set(schema.fieldNames())
         partition_by = f"PARTITIONED BY ({', '.join(S.DAY_COLUMNS)})" if partitioned else ""
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        self._drop_own(layer, name)
         self.spark.sql(
-            f"CREATE TABLE {layer}.{name} ({columns}) USING parquet {partition_by} "
+            f"CREATE TABLE {self.prefix}{layer}.{name} ({columns}) USING parquet {partition_by} "
             f"LOCATION '{self.lake.path(layer, name)}'"
         )
         if partitioned:
-            self.spark.catalog.recoverPartitions(f"{layer}.{name}")
+            self.spark.catalog.recoverPartitions(f"{self.prefix}{layer}.{name}")
+        self._view(f"{layer}.{name}", f"SELECT * FROM {self.prefix}{layer}.{name}")
+        if layer == "gold":
+            self._view(name, f"SELECT * FROM {self.prefix}{layer}.{name}")
+
+    def _view(self, name: str, query: str) -> None:
+        self.session.sql(query).createOrReplaceTempView(f"`{name}`")
 
     def _register_state(self, name: str) -> None:
         """The ledger's current state under the name of the status table."""
+        path = self.lake.ledger.path
         self.lake.ledger.state().createOrReplaceTempView(name)
+        if not table_exists(self.spark, path):
+            return
+        self._drop_own("state", name, path)
+        last = ", ".join(f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN seq END) AS {c}" for c in S.LEDGER_STATE.fieldNames()
+                         if c not in ("process", "process_ts", "status"))
+        full = f"{self.prefix}state.{name}"
+        self.spark.sql(f"CREATE VIEW {full} AS SELECT {', '.join(S.LEDGER_STATE.fieldNames())} FROM (SELECT process, process_ts, "
+                       f"max_by(status, CASE WHEN status IS NOT NULL THEN seq END) AS status, {last} "
+                       f"FROM parquet.`{path}` GROUP BY process, process_ts)")
+        for view in (f"state.{name}", name):
+            self._view(view, f"SELECT * FROM {full}")
 
     def sql(self, query: str, args: Mapping[str, object] | None = None) -> DataFrame:
         """Any query; ``args`` are bound to ``:name`` markers. Gold tables also answer to bare names."""
-        for name in LAKE_TABLES["gold"]:
-            if self.spark.catalog.tableExists(f"gold.{name}"):
-                self.spark.table(f"gold.{name}").createOrReplaceTempView(name)
-        query = re.sub(r'"((?:bronze|silver|gold|state)\.\w+)"', r"\1", query)
-        query = re.sub(r"\bstate\.el_state\b", "el_state", query)
-        return self.spark.sql(query, dict(args or {}))
+        return self.session.sql(query, dict(args or {}))
 
     def latest_rows(self, table: str, rows: int) -> DataFrame:
-        return self.sql(f"SELECT * FROM {table} ORDER BY process_ts DESC LIMIT {int(rows)}")
+        return self.sql(f"SELECT * FROM {self.prefix}{table} ORDER BY process_ts DESC LIMIT {int(rows)}")
 
     def bounded(self, query: str, rows: int = 1000, args: Mapping[str, object] | None = None) -> DataFrame:
         """A read-only query over the gold tables with a bounded result.
 
-        The text is run as a sub-query, which admits nothing but a query, and may name no other
-        registered table, no file path and no function that calls into the JVM.
+        The parsed text decides, not its letters: it may hold nothing but query nodes, the gold tables and names it
+        defines itself, and listed functions. So commands, files, other tables and calls into the JVM stay out
+        however they are written, and their names in a literal do no harm.
         """
         body = query.strip().rstrip(";")
-        lowered = body.lower()
-        if re.search(r"\b(identifier|reflect|java_method|try_reflect)\s*\(", lowered) or ";" in body:
-            raise NotAReadOnlyQuery(query)
-        if re.search(r"\b(parquet|json|csv|orc|text|avro|binaryfile|delta)\s*\.\s*`", lowered):
-            raise NotAReadOnlyQuery(query)
-        words = set(re.findall(r"\w+", lowered))
-        allowed = set(LAKE_TABLES["gold"])
-        for database in self.spark.catalog.listDatabases():
-            for table in self.spark.catalog.listTables(database.name):
-                if table.name.lower() in words and table.name.lower() not in allowed:
-                    raise NotAReadOnlyQuery(f"table {table.name} is not open to queries")
+        check_query(self._parsed(body), self.prefix)
+        return self.sql(body, args).limit(rows)
+
+    def _parsed(self, text: str):
+        """The text as a plan, read with the settings of the surface's session."""
+        active = self.session._jvm.org.apache.spark.sql.classic.SparkSession
+        before = active.getActiveSession()
+        active.setActiveSession(self.session._jsparkSession)
         try:
-            result = self.sql(f"SELECT * FROM (\n{body}\n)", args)
+            return self.session._jsparkSession.sessionState().sqlParser().parsePlan(text)
         except Exception as error:
-            if "PARSE_SYNTAX_ERROR" in str(error):
-                raise NotAReadOnlyQuery(query) from error
-            raise
-        return result.limit(rows)
+            raise NotAReadOnlyQuery(text) from error
+        finally:
+            active.setActiveSession(before.get()) if before.isDefined() else active.clearActiveSession()
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def check_query(plan, prefix: str = "") -> None:
+    """Raise unless a parsed query is made of permitted parts only."""
+    gold = {t for t in LAKE_TABLES["gold"]}
+    tables, own = [], set()
+    plans, expressions = [plan], []
+    while plans or expressions:
+        if plans:
+            node = plans.pop()
+            kind = node.getClass().getSimpleName()
+            if kind not in QUERY_NODES:
+                raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
+            if kind == "UnresolvedRelation":
+                tables.append([str(p).lower() for p in _items(node.multipartIdentifier())])
+            if kind == "UnresolvedWith":
+                for relation in _items(node.cteRelations()):
+                    own.add(str(relation._1()).lower())
+                    plans.append(relation._2())
+            plans += _items(node.children())
+            expressions += _items(node.expressions())
+        else:
+            part = expressions.pop()
+            kind = part.getClass().getSimpleName()
+            if kind in CLOSED_EXPRESSIONS:
+                raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
+            if kind == "UnresolvedFunction":
+                name = ".".join(str(p).lower() for p in _items(part.nameParts()))
+                if name not in FUNCTIONS:
+                    raise NotAReadOnlyQuery(f"function {name} is not open to queries")
+            if kind in SUBQUERIES:
+                plans.append(part.plan())
+            elif "Subquery" in kind and kind != "InSubquery":
+                raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
+            expressions += _items(part.children())
+    for name in tables:
+        table = name[-1] if len(name) == 1 or (len(name) == 2 and name[0] == f"{prefix}gold") else None
+        dotted = name[0].split(".") if len(name) == 1 else []
+        if not (table in gold or (len(name) == 1 and table in own) or (len(dotted) == 2 and dotted[0] == "gold" and dotted[1] in gold)):
+            raise NotAReadOnlyQuery(f"table {'.'.join(name)} is not open to queries")
