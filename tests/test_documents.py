@@ -128,6 +128,9 @@ def test_index_delta(spark, tmp_path):
     def frame(**texts):
         return index.with_version(spark.createDataFrame(list(texts.items()), "doc_id string, text string"))
 
+    nulls = index.index_delta(frame(a=None, b=None, c=None, d="1"), frame(a=None, b="1", d=None, e=None))
+    assert {r.doc_id: r.change for r in nulls.collect()} == {
+        "a": "same", "b": "changed", "c": "deleted", "d": "changed", "e": "new"}
     old, new = frame(a="1", b="2", c="3"), frame(b="2", c="4", d="5")
     changes = {r.doc_id: r.change for r in index.index_delta(old, new).collect()}
     assert changes == {"a": "deleted", "b": "same", "c": "changed", "d": "new"}

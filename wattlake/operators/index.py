@@ -14,14 +14,15 @@ def with_version(docs: DataFrame, text: str = "text") -> DataFrame:
 def index_delta(indexed: DataFrame, current: DataFrame) -> DataFrame:
     """``doc_id, change`` for all documents of both sides: new, changed, deleted or same.
 
-    Only ids and hashes are joined, never texts.
+    Only ids and hashes are joined, never texts. Whether a side has a document does not depend on its version,
+    which is null for a null text.
     """
-    old = indexed.select("doc_id", F.col("version").alias("old"))
-    new = current.select("doc_id", F.col("version").alias("new"))
+    old = indexed.select("doc_id", F.struct(F.col("version")).alias("old"))
+    new = current.select("doc_id", F.struct(F.col("version")).alias("new"))
     return old.join(new, "doc_id", "full_outer").select(
         "doc_id",
         F.when(F.col("old").isNull(), "new").when(F.col("new").isNull(), "deleted")
-        .when(F.col("old") == F.col("new"), "same").otherwise("changed").alias("change"),
+        .when(F.col("old.version").eqNullSafe(F.col("new.version")), "same").otherwise("changed").alias("change"),
     )
 
 
