@@ -38,6 +38,8 @@ from wattlake.llm.common import stored, texts_of
 CACHED_WORDS = 1 << 20
 # White space other than blanks and line ends.
 _OTHER = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# Letters below are letters in every version of Unicode.
+_STABLE = "\u0370"
 # A blank between two characters that are not white space, or such a single line end: the tokenizer's words never go
 # across these, so the parts between them have the same ids alone as in the text.
 _PARTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -57,17 +59,34 @@ class WordCache:
         self.alone: dict[str, bytes] = {}
         self.after_blank: dict[str, bytes] = {}
         self.line_end = self._ids(["\n"])[0]
+        self.marks = dict(zip(".,;:!?", self._ids(list(".,;:!?"))))
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet
+        others = (b for b in range(256) if b not in set(printed))
+        self.letters = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]  # 32 bits, little-endian on all supported machines
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a blank or none and letters: one word to the tokenizer, so its model alone is asked."""
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+
     def _learn(self, known: dict[str, bytes], words: set[str], prefix: str) -> list[str]:
         """Adds the ids of new ``words``; returns those to be forgotten again."""
-        new = list(words)
         room = max(0, CACHED_WORDS - len(self.alone) - len(self.after_blank))
-        for start in range(0, len(new), 4096):
-            some = new[start:start + 4096]
+        new, others = list(words), []
+        for word in new:
+            head = word[:-1] if word[-1] in self.marks else word
+            if not (head.isalpha() and max(head) < _STABLE):
+                others.append(word)
+            elif head is word:
+                known[word] = self._word(prefix + word)
+            else:
+                known[word] = (known.get(head) or self._word(prefix + head)) + self.marks[word[-1]]
+        for start in range(0, len(others), 4096):
+            some = others[start:start + 4096]
             known.update(zip(some, self._ids([prefix + w for w in some])))
         return new[room:]
 
