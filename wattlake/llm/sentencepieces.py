@@ -22,6 +22,7 @@ from __future__ import annotations
 import heapq
 from array import array
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import texts_of
 
 BLANK = "▁"
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 19
 UNUSABLE = -1e8  # scores at or below mark pieces that the model itself never gives
 
 Word = tuple[int, bytes, int | None]  # best score, its ids, and what the second segmentation costs beyond it
@@ -62,6 +63,11 @@ class Vocabulary:
             self.edges[BLANK] = max(self.edges[BLANK][0], self.unknown), self.edges[BLANK][1]
         # Every beginning of a piece, with the piece it is, if it is one.
         self.begins = {p[:i]: self.edges.get(p[:i]) for p in self.edges for i in range(1, len(p) + 1)}
+        self.singles = frozenset(p for p in self.edges if len(p) == 1)
+        self.automaton = ahocorasick.Automaton()
+        for piece, (score, ids) in self.edges.items():
+            self.automaton.add_word(piece, (len(piece), score, ids))
+        self.automaton.make_automaton()
         self.alone: dict[str, Word] = {}
         self.after_blank: dict[str, Word] = {}
 
@@ -97,30 +103,36 @@ class Vocabulary:
     def best(self, word: str, literal: frozenset[int] = frozenset()) -> Word:
         """The best segmentation, and how much the second costs beyond it: the least loss of a path through an edge that
         the best one does not use."""
-        edges, size = self.lattice(word, literal), len(word)
+        if literal or not self.singles.issuperset(word):
+            edges = sorted(((end - 1, (end - start, score, ids)) for start, end, score, ids in self.lattice(word, literal)), key=_end)
+        else:
+            edges = list(self.automaton.iter(word))  # all pieces in the word, by their ends
+        size = len(word)
         ahead, via = [-1 << 60] * (size + 1), [None] * (size + 1)
         ahead[0] = 0
         for edge in edges:
-            total = ahead[edge[0]] + edge[2]
-            if total > ahead[edge[1]]:
-                ahead[edge[1]], via[edge[1]] = total, edge
+            last, (length, score, _) = edge
+            total = ahead[last + 1 - length] + score
+            if total > ahead[last + 1]:
+                ahead[last + 1], via[last + 1] = total, edge
         at, path = size, []
         while at:
             path.append(via[at])
-            at = path[-1][0]
+            at -= path[-1][1][0]
         behind, second = [-1 << 60] * (size + 1), -1 << 60
         behind[size], on_path = 0, iter(path)
-        ahead_of = next(on_path, None)
+        expected = next(on_path, None)
         for edge in reversed(edges):
-            start, end, score, _ = edge
-            rest = score + behind[end]
+            last, (length, score, _) = edge
+            start = last + 1 - length
+            rest = score + behind[last + 1]
             if rest > behind[start]:
                 behind[start] = rest
-            if edge is ahead_of:
-                ahead_of = next(on_path, None)
+            if edge is expected:
+                expected = next(on_path, None)
             elif ahead[start] + rest > second:
                 second = ahead[start] + rest
-        ids = b"".join([edge[3] for edge in reversed(path)])
+        ids = b"".join([edge[1][2] for edge in reversed(path)])
         return ahead[size], ids, ahead[size] - second if second > -1 << 50 else None
 
     def search(self, word: str, n: int, literal: frozenset[int] = frozenset()) -> list[tuple[int, bytes]]:
@@ -194,6 +206,10 @@ class Vocabulary:
         return whole[1:] if whole.startswith(" ") else whole
 
 
+def _end(edge: tuple) -> int:
+    return edge[0]
+
+
 def _marked(prefix: str, word: str) -> tuple[str, frozenset[int]]:
     """A word with the blank in front, and the places of ``▁`` that stand in the text."""
     literal = frozenset(i for i, c in enumerate(word, len(prefix)) if c == BLANK) if BLANK in word else frozenset()
