@@ -110,9 +110,11 @@ def sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang_col: str
                             F.col(f"`{text_col}`").alias("text"))
                 .where("doc_id IS NOT NULL AND lang IS NOT NULL"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    # Twice the rows wanted of each language by a threshold on the hash, so that no language gathers more in one task.
-    share = labelled.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * rows / F.count(F.lit(1))).alias("share"))
-    thinned = (labelled.select("doc_id", "lang").join(share, "lang")
+    # Twice the rows wanted of each language by a threshold on the hash, so that no language gathers more in one task. The
+    # thresholds are broadcast: as many as there are languages, of which the ``rows`` most frequent ones count.
+    share = (labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(rows)
+             .select("lang", F.least(F.lit(1.0), 2.0 * rows / F.col("n")).alias("share")))
+    thinned = (labelled.select("doc_id", "lang").join(F.broadcast(share), "lang")
                .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)))
     within = Window.partitionBy("lang").orderBy(*order)
     chosen = (thinned.withColumn("rn", F.row_number().over(within))
