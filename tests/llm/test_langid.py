@@ -87,3 +87,25 @@ def test_held_out_accuracy(spark):
     assert held.count() == truth.where(F.pmod(langid.crc_of_id(), F.lit(4)) == 2).count()
     assert held.where("lang_pred = lang").count() / held.count() > 0.98
     assert got.where("rejected").count() <= 2
+
+
+@pytest.mark.parametrize("out", ["de", "en", "es", "fr"])
+def test_a_language_left_out_is_rejected_and_learned_ones_stay(spark, out):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    held = F.pmod(langid.crc_of_id(), F.lit(4)) == 2
+    model = langid.train(rows.where(~held & (F.col("lang") != out)))
+    new = [model.predict(r.text)[2] for r in rows.where(F.col("lang") == out).collect()]
+    assert np.mean(new) > 0.9
+    texts = [r.text for r in rows.where(held & (F.col("lang") != out)).orderBy("doc_id").collect()]
+    mixed = [a[:400] + "\n" + b[:400] for a, b in zip(texts, texts[1:])]
+    short = [" ".join(t.split()[:5]) for t in texts]
+    for kept in (texts, mixed, short):
+        assert np.mean([model.predict(t)[2] for t in kept]) < 0.02
+
+
+def test_rejection_bound_follows_the_held_back_texts():
+    assert langid._rejection(np.zeros(0), 0.001) == 0.5
+    assert langid._rejection(np.zeros(999), 0.001) == pytest.approx(0.0005)
+    some = np.linspace(0, 0.1, 1000)
+    assert 0.1 <= langid._rejection(some, 0.001) <= langid._rejection(some * 2, 0.001)
+    assert langid.least_unknown(np.array([1, 6]), np.array([12, 6])).tolist() == pytest.approx([-0.156, 1], abs=0.001)

@@ -6,8 +6,10 @@ subwords' embeddings, and a linear softmax over it gives the languages. Embeddin
 together by stochastic gradient descent in numpy on a bounded sample of labelled texts.
 
 A quarter of the sample does not train; it calibrates. It fits the temperature that makes scores probabilities, and the
-share of known subwords (those that training met) below which a text is rejected as being in no learned
-language. A text that mixes learned languages is undecided, which its score says, but it is not rejected.
+share of unknown subwords (those that training did not meet) above which a text is rejected as being in no learned
+language. A text's share counts by its lower bound, so a few unknown subwords do not reject a short text. A text that
+mixes learned languages is undecided, which its score says, but it knows its subwords and is not rejected; so the score
+takes no part in rejection.
 
 Mean and softmax are linear, so prediction needs only one row of summed weights per bucket. These rows are kept as
 integers, which makes a score the same in whatever batch or piece a text is read.
@@ -73,12 +75,12 @@ def subwords(text: str, buckets: int):
 @dataclass(frozen=True)
 class Model:
     """Integer weights of each bucket by language (a last column says whether training met the bucket), the
-    temperature, and the share of known subwords below which texts are rejected."""
+    temperature, and the bound on the share of unknown subwords above which texts are rejected."""
 
     languages: tuple[str, ...]
     weights: np.ndarray
     temperature: float
-    known_share: float
+    unknown_share: float
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         total, n = np.zeros(len(self.languages) + 1, np.int64), 0
@@ -90,7 +92,7 @@ class Model:
             return UNKNOWN, 0.0, True
         p = _softmax(total[:-1] / (n * SCALE) / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(total[-1] < self.known_share * n)
+        return self.languages[best], float(p[best]), bool(least_unknown(n - total[-1], n) > self.unknown_share)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -98,6 +100,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def least_unknown(unknown, n):
+    """Lower bound, by three standard errors, of the share of unknown subwords in texts of ``n``."""
+    return (unknown - 3 * np.sqrt(unknown * (1 - unknown / n))) / n
+
+
 def crc_of_id(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary"))
 
@@ -147,15 +154,16 @@ def train(docs: DataFrame, sample_rows: int = 4096, buckets: int = 1 << 17, dim:
           text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on at most ``sample_rows`` rows. Only these reach the driver, as bucket counts (at most ``buckets`` each).
 
-    At most ``reject_share`` of the texts held back for calibration would be rejected."""
+    About ``reject_share`` of new texts in learned languages would be rejected, judged by those held back for calibration."""
     rows = _counted(sample(docs, sample_rows, id_col, text_col, lang_col), buckets)
     got = (rows.where(F.length("at") > 0).orderBy(F.xxhash64("doc_id"), "doc_id", "lang", F.xxhash64("at", "n"))
            .limit(sample_rows).select("lang", "at", "n").collect())
     languages = tuple(sorted({r.lang for r in got}))
     if not languages:
-        return Model((), np.zeros((buckets, 1), np.int32), 1.0, 1.0)
+        return Model((), np.zeros((buckets, 1), np.int32), 1.0, 0.0)
     texts = [(np.frombuffer(r.at, "<i4"), np.frombuffer(r.n, "<f4")) for r in got]
-    texts = [(at, n / n.sum()) for at, n in texts]
+    counts = texts
+    texts = [(at, n / n.sum()) for at, n in counts]
     truth = np.array([languages.index(r.lang) for r in got])
     trains = np.arange(len(got)) % 4 != 3
     met = np.unique(np.concatenate([at for (at, _), t in zip(texts, trains) if t]))
@@ -166,8 +174,21 @@ def train(docs: DataFrame, sample_rows: int = 4096, buckets: int = 1 << 17, dim:
     judged = np.flatnonzero(~trains) if len(got) > 3 else np.arange(len(got))
     sums = np.array([n.astype(np.float64) @ weights[at] for at, n in (texts[i] for i in judged)])
     temperature = _temperature(sums[:, :-1] / SCALE, truth[judged])
-    # Half a text of unknown subwords is enough to reject it, whatever the calibration texts are like.
-    return Model(languages, weights, temperature, min(0.5, float(np.quantile(sums[:, -1], reject_share))))
+    held = [(n[weights[at, -1] == 0].sum(dtype=np.float64), n.sum(dtype=np.float64)) for (at, n), t in zip(counts, trains) if not t]
+    shares = np.array([max(0.0, least_unknown(unknown, n)) for unknown, n in held])
+    return Model(languages, weights, temperature, _rejection(shares, reject_share))
+
+
+def _rejection(held: np.ndarray, reject_share: float) -> float:
+    """The bound that ``reject_share`` of learned texts exceed. Few held-back texts do not show so rare a case, so their
+    upper tenth is continued exponentially; one more text, half unknown, is counted in. Without any it is a half."""
+    bound = 0.0
+    if len(held):
+        tenth = np.quantile(held, 0.9)
+        over = held[held > tenth] - tenth
+        tail = tenth + (over.mean() * np.log(0.1 / reject_share) if len(over) else 0.0)
+        bound = max(float(np.quantile(held, 1 - reject_share)), float(tail))
+    return bound + 0.5 / (len(held) + 1)
 
 
 def _descend(texts: list, truth: np.ndarray, kinds: int, buckets: int, dim: int, steps: int, rate: float,
