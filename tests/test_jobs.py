@@ -81,6 +81,30 @@ def test_files_are_landed_once(lake, mix_payload, tmp_path):
     assert sorted(batches) == [1, 3]
 
 
+@pytest.mark.parametrize("stop_at", ["flows", "mark_ready", "mark_ready, lost"])
+def test_files_of_a_batch_that_was_never_ready_are_landed_again(lake, mix_payload, flows_payload, tmp_path, monkeypatch, stop_at):
+    for kind, payload in (("mix", mix_payload), ("flows", flows_payload)):
+        (tmp_path / kind).mkdir()
+        (tmp_path / kind / "a.json").write_text(json.dumps(payload))
+    mix, flows = str(tmp_path / "mix"), str(tmp_path / "flows")
+    stop = KeyboardInterrupt if "lost" in stop_at else ZeroDivisionError
+
+    def stopped(*args, **values):
+        raise stop
+
+    with monkeypatch.context() as patch:
+        if stop_at != "flows":
+            patch.setattr(Ledger, "mark_ready", stopped)
+        with pytest.raises(stop):
+            ingest_bronze(lake, mix, stopped if stop_at == "flows" else flows, 10)
+    again = ingest_bronze(lake, mix, flows, 20)
+    assert (again["mix_records"], again["flows_records"]) == (1, 1)
+    silver = transform_silver(lake, 30)
+    assert (silver["mix_records"], silver["flows_records"]) == (1, 4)
+    after = ingest_bronze(lake, mix, flows, 40)
+    assert (after["mix_records"], after["flows_records"]) == (0, 0)
+
+
 STEPS = [("silver", "claim", True), ("silver", "days_of", False), ("silver", "mark_ready", True), ("silver", "mark_complete", True),
          ("gold", "claim", False), ("gold", "mark_ready", True), ("gold", "mark_complete", True)]
 

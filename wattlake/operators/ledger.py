@@ -38,6 +38,11 @@ def ready_batches(log: DataFrame, process: str) -> DataFrame:
     return state.where("status = 'R'").select("process_ts")
 
 
+def finished_batches(log: DataFrame, process: str) -> DataFrame:
+    """Batches that got to ready, whatever became of them since."""
+    return current_state(log.where(F.col("process") == process)).where("status IN ('R', 'P', 'C')").select("process_ts")
+
+
 def orphaned_batches(log: DataFrame, process: str, claimer: str) -> DataFrame:
     """``process_ts, done`` of claimed batches whose claimer, a batch of ``claimer``, is not at work any more: it
     finished without marking them (``done``) or was lost. One writer per layer, so no other claim is alive."""

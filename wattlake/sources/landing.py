@@ -19,15 +19,16 @@ def read_payloads(spark: SparkSession, path: str, one_per_line: bool = False) ->
 LANDED = "path STRING, changed TIMESTAMP, process_ts BIGINT"
 
 
-def new_files(spark: SparkSession, path: str, landed: str) -> list:
-    """Files below ``path`` that the table of landed files does not know, as (path, changed).
+def new_files(spark: SparkSession, path: str, landed: str, finished: DataFrame) -> list:
+    """Files below ``path`` that no batch among ``finished`` (``process_ts``) has landed, as (path, changed).
 
-    Contents are not read. The list of one run's new files is on the driver, as Spark's own listing is.
+    What the table of landed files says of other batches does not count: their rows never get to silver. Contents are not read. The list of one run's new files is on the driver, as Spark's own listing is.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = listed.select("path", F.col("modificationTime").alias("changed"))
     if table_exists(spark, landed):
-        files = files.join(spark.read.schema(LANDED).parquet(landed), ["path", "changed"], "left_anti")
+        known = spark.read.schema(LANDED).parquet(landed).join(finished, "process_ts", "left_semi")
+        files = files.join(known, ["path", "changed"], "left_anti")
     return files.collect()
 
 
