@@ -1,3 +1,5 @@
+from importlib.resources import files
+
 from helpers import LONG, ODD, docs
 from pyspark.sql import functions as F
 
@@ -40,3 +42,14 @@ def test_odd_rows_and_own_lists(spark):
 def test_not_shuffled(spark):
     plan = licences.scan(docs(spark, ODD)).where(F.col("licence").isNull())._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Python" not in plan.replace("PythonRDD", "")
+
+
+def test_long_texts(spark):
+    names = ["Apache-2.0", "Artistic-1.0-Perl", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0",
+             "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "Unlicense"]
+    folder = files("wattlake.llm").joinpath("licence_files")
+    texts = [folder.joinpath(f"{n}.txt").read_text("utf-8").replace("\n", "\r\n") for n in names]
+    assert scanned(spark, texts) == [(n, []) for n in names]
+    terms = [t[:t.index("END OF TERMS")] + "End of terms and conditions." for t in texts if "END OF TERMS" in t]
+    assert [n for n, _ in scanned(spark, terms)] == ["Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1"]
+    assert scanned(spark, [t + "And one more." for t in texts]) == [(None, [])] * len(names)

@@ -1,4 +1,6 @@
-"""Known licence texts and notices, by identifier. Fixed values."""
+"""Known licence texts and notices, by identifier. Fixed values; long texts are files in ``licence_files``."""
+
+from importlib.resources import files
 
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
 THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
@@ -37,6 +39,20 @@ _ISC_BODY = f"""{_ISC_GRANT}, provided that the above copyright notice and this
 
 {_ISC_WARRANTY}"""
 
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def _long_texts() -> list[tuple[str, str]]:
+    """Each file as it is and, where it has an appendix after its terms, without that."""
+    found = []
+    for file in sorted(files("wattlake.llm").joinpath("licence_files").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        found.append((name, text))
+        if _END in text:
+            found.append((name, text[:text.index(_END) + len(_END)]))
+    return found
+
+
 TEXTS = [
     ("MIT", f"MIT License\n\nCopyright (c) <year> <owner>\n\n{_MIT_BODY}"),
     ("MIT", f"The MIT License (MIT)\n\nCopyright (c) <year> <owner>\n\n{_MIT_BODY}"),
@@ -58,6 +74,7 @@ redistribute it freely, subject to the following restrictions:
 this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
+    *_long_texts(),
 ]
 
 # One-line statements of a licence.
