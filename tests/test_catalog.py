@@ -16,9 +16,8 @@ QUERIES, SQL = registered.queries(), registered.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def duck():
-    from conftest import SF_DIR
-    return connect(SF_DIR)
+def duck(sf_dir):
+    return connect(sf_dir)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

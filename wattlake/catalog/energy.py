@@ -9,7 +9,7 @@ from wattlake.catalog.registry import query
 from wattlake.functions.energy import with_zone_names, zone_name
 from wattlake.operators import contracts, keys, ledger, products
 from wattlake.operators.keys import latest_by_key
-from wattlake.schemas import FLOW_KEYS, MIX_KEYS, SOURCES
+from wattlake.schemas import FLOW_KEYS, LEDGER_STATE, MIX_KEYS, SOURCES
 from wattlake.sources import tables
 
 _MIX = f"WITH {fx.READINGS_SQL}, {fx.wide_sql('readings')}, {fx.daily_mix_sql('wide')}\n"
@@ -149,13 +149,8 @@ def duplicate_keys(spark, sf_dir):
 def batch_log(spark, sf_dir):
     """A status log of the reading batches: the type of an event is a status change of its batch."""
     status = F.when(F.col("event_type") == "view", "R").otherwise("C")
-    return fx.events(spark, sf_dir).select(
-        F.lit("bronze").alias("process"), fx.batch_of(F.col("event_id")).alias("process_ts"),
-        F.col("event_id").alias("seq"), status.alias("status"),
-        F.lit(None).cast("timestamp").alias("start_timestamp"), F.lit(None).cast("timestamp").alias("end_timestamp"),
-        F.lit(None).cast("bigint").alias("record_count"), F.lit(None).cast("string").alias("error_message"),
-        F.lit(None).cast("timestamp").alias("range_end"), F.lit(None).cast("array<int>").alias("days"),
-    )
+    return ledger.log_rows(fx.events(spark, sf_dir), process=F.lit("bronze"), process_ts=fx.batch_of(F.col("event_id")),
+                           seq=F.col("event_id"), status=status)
 
 
 def pending_batches(spark, sf_dir):
@@ -270,19 +265,19 @@ def ledger_log(spark, sf_dir):
         .when(F.col("event_type") == "click", "P").when(F.col("event_type") == "purchase", "C")
         .otherwise("I")
     )
-    failed = F.col("event_type") == "error"
-    return rows.select(
-        F.element_at(F.array(F.lit("bronze"), F.lit("silver"), F.lit("gold")),
-                     (F.pmod("user_id", F.lit(3)) + 1).cast("int")).alias("process"),
-        F.unix_millis(F.date_trunc("hour", "ts")).alias("process_ts"),
-        F.col("event_id").alias("seq"),
-        status.alias("status"),
-        F.when(F.col("event_type") == "signup", F.col("ts")).alias("start_timestamp"),
-        F.when(F.col("event_type") == "view", F.col("ts")).alias("end_timestamp"),
-        F.when(F.col("event_type") == "view", F.col("event_id")).alias("record_count"),
-        F.when(failed, F.concat(F.lit("failed at "), F.col("event_id"))).alias("error_message"),
-        F.when(F.col("event_type") == "view", F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")).alias("range_end"),
-        F.lit(None).cast("array<int>").alias("days"),
+    failed, view = F.col("event_type") == "error", F.col("event_type") == "view"
+    layers = F.array(F.lit("bronze"), F.lit("silver"), F.lit("gold"))
+    return ledger.log_rows(
+        rows,
+        process=F.element_at(layers, (F.pmod("user_id", F.lit(3)) + 1).cast("int")),
+        process_ts=F.unix_millis(F.date_trunc("hour", "ts")),
+        seq=F.col("event_id"),
+        status=status,
+        start_timestamp=F.when(F.col("event_type") == "signup", F.col("ts")),
+        end_timestamp=F.when(view, F.col("ts")),
+        record_count=F.when(view, F.col("event_id")),
+        error_message=F.when(failed, F.concat(F.lit("failed at "), F.col("event_id"))),
+        range_end=F.when(view, F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")),
     )
 
 
@@ -305,7 +300,7 @@ state AS (SELECT v.process, v.process_ts, a.status, b.start_timestamp, c.end_tim
 @query(f"""WITH {_LOG} SELECT process, process_ts, {fx.time_sql('start_timestamp')} AS start_timestamp,
   {fx.time_sql('end_timestamp')} AS end_timestamp, status, record_count, error_message FROM state""")
 def ledger_current_state(spark, sf_dir):
-    return ledger.current_state(ledger_log(spark, sf_dir)).drop("seq", "range_end", "days")
+    return ledger.current_state(ledger_log(spark, sf_dir)).select(*LEDGER_STATE.fieldNames())
 
 
 @query(f"WITH {_LOG} SELECT process_ts FROM state WHERE process = 'silver' AND status = 'R'")

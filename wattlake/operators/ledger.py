@@ -12,7 +12,7 @@ import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions.timecols import floor_to_hour, process_ts_to_timestamp, utc
@@ -24,6 +24,11 @@ MAX_LOG_FILES = 100  # every status change adds a file; beyond this many they ar
 _CARRIED = ["start_timestamp", "end_timestamp", "record_count", "error_message", "range_end", "days", "claimed_by"]
 
 
+def log_rows(rows: DataFrame, **values: Column) -> DataFrame:
+    """A log made of ``rows``: the given columns, and null in every other column of the schema."""
+    return rows.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER_LOG.fields])
+
+
 def current_state(log: DataFrame) -> DataFrame:
     """One row per batch: its last status and, for every other column, its last non-null value."""
     def last(column: str):
@@ -106,11 +111,7 @@ class Ledger:
                 fixed[name] = F.array(*[F.lit(v) for v in value])
             else:
                 fixed[name] = F.lit(value)
-        (
-            rows.select(*[
-                fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER_LOG.fields
-            ]).coalesce(1).write.mode("append").parquet(self.path)
-        )
+        log_rows(rows, **fixed).coalesce(1).write.mode("append").parquet(self.path)
 
     def open(self, process: str, process_ts: int, start: datetime | None = None) -> None:
         self._append(process, [process_ts], "I", start_timestamp=start or datetime.now(timezone.utc))
