@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chats, langid, licences, merkle, packing, pii, sentencepieces, sharding, simhash, sql, topk
-from wattlake.llm.common import read
+from wattlake.llm import (chats, langid, licences, manifest, merkle, packing, periods, pii, quality, sentencepieces, sharding,
+                          simhash, sql, topk)
+from wattlake.llm.common import read, stored
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +90,53 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.conversations(read(spark, sf_dir, "conversations"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, after a phrase was made to repeat in a tenth of them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    h = langid.crc_of_id()
+    g = F.floor(h / 10)
+    repeated = periods.repeated_tail(F.col("text"), lambda n: g % n,
+                                     lambda n, start: F.lit(1) + F.floor((n - start) / (F.lit(3) + g % 8)))
+    text = F.coalesce(F.when(h % 10 == 0, repeated), F.col("text"))
+    found = periods.collapse(docs.withColumn("text", text))
+    best = found.withColumn("best", periods.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents by source, and every proof folded from a leaf whose text was put in lower case for a fifth."""
+    docs = read(spark, sf_dir, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = (langid.crc_of_id() % 5 == 0) & (lower != F.col("text"))
+    leaves = docs.select("doc_id", "source", manifest.row_digest(*head, F.col("text")).alias("leaf"),
+                         F.when(tampered, manifest.row_digest(*head, lower)).alias("tampered_leaf"))
+    proven = manifest.manifest(leaves, "source", "doc_id", "leaf")
+    folded = manifest.folded(F.coalesce("tampered_leaf", "leaf"), F.col("proof"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", manifest.digest(manifest.siblings_of(F.col("proof"))).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, and whether it passes the base rules and the learned decision list."""
+    counts = stored(quality.statistics(read(spark, sf_dir, "documents")), "counts")
+    rules = quality.learn(counts, read(spark, sf_dir, "labels"))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return counts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & rules.keeps()).alias("kept"), rules.first_match().alias("rule"))
+
+
 QUERIES = [op1_language_id, op2_personal_data, op3_best_fit_packing, op4_sharding, op5_exact_top_k, op6_simhash_near_dedup,
-           op7_document_fingerprints, op8_sentencepiece, op9_licence_scan, op10_chat_formatting]
+           op7_document_fingerprints, op8_sentencepiece, op9_licence_scan, op10_chat_formatting, op11_periodic_runs,
+           op12_dataset_manifest, op13_quality_rules]
 SQL = {
     "op2_personal_data": sql.personal_data(),
     "op5_exact_top_k": sql.TOP_K,
