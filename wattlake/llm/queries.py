@@ -143,4 +143,5 @@ SQL = {
     "op7_document_fingerprints": sql.fingerprints(),
     "op9_licence_scan": sql.licence_scan(),
     "op10_chat_formatting": sql.chat_conversations(),
+    "op12_dataset_manifest": sql.dataset_manifest(),
 }

@@ -171,3 +171,57 @@ SELECT p.conv_id, p.turn, p.role, t.parent_turn, coalesce(t.thread_turn, p.turn)
        '{opening}' || coalesce(role, 'unknown') || '{after_role}'
        || regexp_replace(coalesce(array_to_string({said}, chr(10)), ''), '^\\s+|\\s+\\z', '', 'g') || '{closing}' AS message
 FROM parsed p LEFT JOIN threads t ON t.conv_id = p.conv_id AND t.turn = p.turn"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of ASCII text, bit by bit; 3988292384 is its polynomial, reversed."""
+    bits = "list_prepend(xor(acc, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0])"
+    step = f"list_reduce({bits}, lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::UBIGINT)"
+    return f"(4294967295 - list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda acc, b: {step}))"
+
+
+def _row_digest(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def dataset_manifest(width: int = 16, levels: int = 5) -> str:
+    """Trees of ``levels`` levels inside a source, and as many over the sources: enough for width^levels rows of a source."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""leaves AS (SELECT doc_id, coalesce({_crc32("doc_id::VARCHAR")} % 5 = 0, false) AS tampered,
+  {_row_digest("text")} AS leaf, {_row_digest(lower)} AS other, coalesce('s' || source, '') AS grp FROM documents),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY encode(grp)) - 1 AS tree,
+  row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+in_0 AS (SELECT tree, idx, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM placed)"""]
+
+    def climb(name: str) -> str:
+        for k in range(levels):
+            members = "list(digest ORDER BY idx)"
+            parts.append(f"""{name}_{k + 1} AS (SELECT tree, idx // {width} AS idx, {members} AS family,
+  CASE WHEN any_value(n) > 1 THEN sha256(array_to_string({members}, '')) ELSE any_value(digest) END AS digest,
+  (any_value(n) + {width - 1}) // {width} AS n FROM {name}_{k} GROUP BY 1, 2)""")
+        return f"{name}_{levels}"
+
+    tops = climb("in")
+    parts.append(f"over_0 AS (SELECT 0 AS tree, tree AS idx, digest, count(*) OVER () AS n FROM {tops})")
+    root = climb("over")
+    parts.append(f"""path_0 AS (SELECT p.*, t.digest AS subroot, r.digest AS root, CASE WHEN tampered THEN other ELSE leaf END AS node,
+  '' AS proof, p.idx AS place, p.tree AS grove FROM placed p JOIN {tops} t ON t.tree = p.tree CROSS JOIN {root} r)""")
+    step = 0
+    for name in ("in", "over"):
+        if name == "over":
+            parts.append(f"path_{step + 1} AS (SELECT * REPLACE (tree AS place, 0 AS grove) FROM path_{step})")
+            step += 1
+        for k in range(levels):
+            # a family of one in a tree that has one node left is no step
+            left, right = f"family[:place % {width}]", f"family[place % {width} + 2:]"
+            text = lambda x: f"array_to_string({x}, '')"
+            parts.append(f"""path_{step + 1} AS (SELECT p.* REPLACE (
+  CASE WHEN b.n > 1 THEN sha256({text(left)} || node || {text(right)}) ELSE node END AS node,
+  CASE WHEN b.n > 1 THEN proof || {text(left)} || {text(right)} ELSE proof END AS proof, place // {width} AS place)
+  FROM path_{step} p JOIN {name}_{k + 1} f ON f.tree = p.grove AND f.idx = p.place // {width}
+  JOIN (SELECT tree, any_value(n) AS n FROM {name}_{k} GROUP BY 1) b ON b.tree = p.grove)""")
+            step += 1
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified FROM path_{step}"""
