@@ -3,11 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import LONG, ODD, docs
 from tokenizers import Tokenizer
 
-from wattlake.llm import packing, queries
+from wattlake.llm import packing, queries, wordcache
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -19,63 +20,136 @@ def brute_pieces(text, capacity=2048):
     return [(i, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
 
 
+def encoded(cache, texts):
+    found = {}
+    for rows, ids, bounds in cache.encode(pa.array(texts, pa.large_string()), 0):
+        for row, a, b in zip(rows.tolist(), bounds, bounds[1:]):
+            found[row] = ids[a:b].tolist()
+    return [found[i] for i in range(len(texts))]
+
+
 def test_cached_words_give_the_tokenizer_s_ids():
     rng, tokenizer = random.Random(3), Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    cache = packing.WordCache(PATH)
+    cache = wordcache.WordCache(PATH)
     texts = ["", "a  b\n\n c \t d", "x　y  z", " lead", "trail \n", "it's  don't 12 34 $$ <|endoftext|> é\n\n\nq",
-             "a\x0bb \x0b c", "1\n2\n 3\r\n4 5", "\x1c a\x1cb c", "​ a", "\x85 b"]
-    texts += ["".join(rng.choices(["ab", " ", "\n", "\t", "1", "!", "é", "'s", " ", "Word"], k=rng.randint(1, 40))) for _ in range(2000)]
+             "a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>\nb <|endoftext|>c, <|endoftext|>.", "<|endoftext|>  x",
+             "a\x0bb \x0b c", "1\n2\n 3\r\n4 5", "\x1c a\x1cb c", "​ a", "\x85 b", "a", "a b", "é", "straße, über!"]
+    some = ["ab", " ", "\n", "\t", "1", "!", "é", "'s", " ", "Word", "<|endoftext|>", ",", "ß"]
+    texts += ["".join(rng.choices(some, k=rng.randint(1, 40))) for _ in range(2000)]
     for _ in range(2):
-        got = [np.frombuffer(x, "<u4").tolist() for x in cache.encode(texts)]
-        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert encoded(cache, texts) == [tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
 
 
-def test_a_full_cache_changes_nothing(monkeypatch):
-    texts = [f"word{i} other{i % 7} x{i}\nline{i}" for i in range(200)]
-    want = packing.WordCache(PATH).encode(texts)
-    monkeypatch.setattr(packing, "CACHED_WORDS", 10)
-    cache = packing.WordCache(PATH)
-    assert [b for i in range(0, 200, 20) for b in cache.encode(texts[i:i + 20])] == want
-    assert len(cache.alone) + len(cache.after_blank) <= 10
+def test_a_full_cache_changes_nothing_and_is_bounded_in_bytes(monkeypatch):
+    texts = [f"word{i} other{i % 7} x{i}\nline{i} " + "y" * (i % 50) for i in range(200)]
+    want = encoded(wordcache.WordCache(PATH), texts)
+    monkeypatch.setattr(wordcache, "CACHED_BYTES", 5000)
+    cache, sizes, got = wordcache.WordCache(PATH), [], []
+    for i in range(0, 200, 5):
+        got += encoded(cache, texts[i:i + 5])
+        sizes.append(cache.size)
+    assert got == want and max(sizes) < 5000 + 5 * 6 * 250 and min(sizes[5:]) < 5000
 
 
 def brute_dearest(prices, capacity):
     best = [0.0] * (capacity + 1)
     for room in range(1, capacity + 1):
         best[room] = max([best[room - 1]] + [best[room - s] + prices[s] for s in range(1, room + 1) if prices[s]])
-    return best[capacity]
+    return best
 
 
 def test_pricing_is_an_exact_knapsack():
     rng = random.Random(5)
     for _ in range(50):
         prices = np.array([0.0] + [rng.choice([0.0, rng.random() * i]) for i in range(1, 31)])
-        found = packing.dearest(prices, 30)
-        assert sum(found) <= 30 and sum(prices[found]) == pytest.approx(brute_dearest(prices, 30))
-
-
-@pytest.mark.parametrize("seed", range(6))
-def test_plan_holds_every_item_once_and_is_tight(seed):
+        best, taken = packing.price_table(prices, 30)
+        assert best == pytest.approx(brute_dearest(prices, 30))
+        for room in range(31):
+            found = packing.dearest(taken, room)
+            assert sum(found) <= room and sum(prices[found]) == pytest.approx(best[room])
+
+
+def test_fractional_solution_covers_evenly_and_its_bound_holds():
+    rng = np.random.default_rng(1)
+    counts = np.bincount(rng.integers(1, 256, 3000), minlength=257).astype(float)
+    solution, bound = packing.fractional(counts, 256)
+    covered = np.zeros(257)
+    for filling, times in solution.items():
+        assert sum(filling) <= 256 and times > 0
+        np.add.at(covered, list(filling), times)
+    assert covered == pytest.approx(counts, abs=1e-5)
+    volume = (counts * np.arange(257)).sum() / 256
+    assert 0.999 * volume <= bound <= sum(solution.values()) <= 1.1 * volume
+
+
+def random_counts(seed):
     rng = random.Random(seed)
     counts = np.zeros(257, np.int64)
     for _ in range(rng.choice([1, 50, 5000])):
         counts[min(256, int(rng.expovariate(1 / rng.choice([20, 90]))) + 1)] += rng.choice([1, 1, 40])
-    fillings = packing.plan(counts, 256)
+    return counts
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_holds_every_item_once_and_is_tight(seed):
+    counts = random_counts(seed)
+    found = packing.plan(counts, 256)
     held = np.zeros(257, np.int64)
-    for f in fillings:
+    for f in found.fillings:
         assert sum(f.lengths) <= 256
         np.add.at(held, list(f.lengths), f.times)
     assert (held == counts).all()
-    total, least = sum(f.times for f in fillings), -(-int((counts * np.arange(257)).sum()) // 256)
-    assert total <= least * 1.02 + 2
+    least = -(-int((counts * np.arange(257)).sum()) // 256)
+    assert found.bound <= found.sequences() <= least * 1.02 + 2
 
 
 def test_halves_cannot_be_beaten():
     counts = np.zeros(257, np.int64)
     counts[129] = 100  # two never fit together
     counts[127] = 100
-    assert sum(f.times for f in packing.plan(counts, 256)) == 100
+    assert packing.plan(counts, 256).sequences() == 100
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_small_plans_against_all_packings(seed):
+    rng = random.Random(seed)
+    for _ in range(15):
+        items = sorted((rng.randint(2, 12) for _ in range(rng.randint(1, 8))), reverse=True)
+        counts = np.bincount(items, minlength=13)
+        found = packing.plan(counts, 12)
+        assert found.bound <= fewest(items, 12) <= found.sequences() <= fewest(items, 12) + 1
+
+
+def fewest(items, capacity):
+    best = len(items)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for j, b in enumerate(bins):
+            if b + items[i] <= capacity:
+                place(i + 1, bins[:j] + [b + items[i]] + bins[j + 1:])
+        place(i + 1, bins + [items[i]])
+
+    place(0, [])
+    return best
+
+
+def test_the_program_places_most_tokens_and_reaches_its_bound(spark):
+    lengths = packing.pieces(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), PATH).select("length")
+    counts = np.zeros(2049, np.int64)
+    for r in lengths.groupBy("length").count().collect():
+        counts[r.length] = r["count"]
+    found = packing.plan(counts, 2048)
+    tokens = [sum(f.lengths) * f.times for f in found.fillings]
+    full = counts[2048] * 2048
+    assert sum(tokens[:found.by_program]) - full > 0.5 * (sum(tokens) - full)
+    assert found.sequences() == found.bound
 
 
 def test_query_equals_brute_force(spark, sf_dir):

@@ -5,26 +5,28 @@ taking the rest. Pieces are then only lengths, and their histogram, at most ``ca
 input, is all that the driver sees.
 
 The program: choose how often to use each configuration (a way to fill one sequence) so that every length is covered
-and the fewest sequences are used. Multiplicative weights solve it: each length has a price, a knapsack
-dynamic program finds the dearest configuration, it is used, and prices of what it covered fall. The
-average of the configurations found is the fractional solution. It is rounded down, never covering a length twice,
-and what is left is filled greedily, each time with the fullest configuration of the lengths that remain, taken as
-often as they last.
+and the fewest sequences are used. Multiplicative weights solve it. Each length has a price, its size times a weight that falls
+exponentially with the part of its items covered. A knapsack dynamic program prices all configurations at once: its table
+holds the dearest one, and for each length the dearest one with that length. In each round every length may be covered up to
+the round's part of its items, by those configurations; what they hold falls in price. All rounds together
+are the fractional solution, a mix of configurations that covers every length evenly, and wholly in the end. The prices also prove
+a bound: no packing uses fewer sequences than all items' price by the price of the dearest configuration.
+
+Its nearly full configurations are rounded down, and the fractions that are cut off are added up and spent on whole uses, one configuration after the
+other. The same is done with what is left, as long as the program places much of it. The rest is filled greedily, each time with
+the fullest configuration of the lengths that remain, taken as often as they last.
 
 Placing is distributed. A piece's rank among those of its length comes from a rank within its task and the
 counts of the tasks before it; the rank falls into one range of the plan, which names sequence and offset.
 No length, however common, meets in one task.
 
 Defined cases: a null or empty text is the closing id alone. Repeated rows and ids are documents of their own, a null
-id stays null. Texts of any length are read whole. No rows give no rows.
+id stays null. Texts of any length are read whole. The name of a special token in a text is that token, as the tokenizer has it.
+No rows give no rows.
 """
 
 from __future__ import annotations
 
-import os
-import re
-from array import array
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,166 +36,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import stored, texts_of
-
-CACHED_WORDS = 1 << 20
-# White space other than blanks and line ends.
-_OTHER = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# Letters below are letters in every version of Unicode.
-_STABLE = "\u0370"
-# A blank between two characters that are not white space, or such a single line end: the tokenizer's words never go
-# across these, so the parts between them have the same ids alone as in the text.
-_PARTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-
-
-# ---------------------------------------------------------------- tokens
-
-class WordCache:
-    """Token ids of whole texts. The words seen first, ``CACHED_WORDS`` at most, are tokenized only once."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core is one task's share
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.alone: dict[str, bytes] = {}
-        self.after_blank: dict[str, bytes] = {}
-        self.line_end = self._ids(["\n"])[0]
-        self.marks = dict(zip(".,;:!?", self._ids(list(".,;:!?"))))
-        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet
-        others = (b for b in range(256) if b not in set(printed))
-        self.letters = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", f.ids).tobytes() for f in found]  # 32 bits, little-endian on all supported machines
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a blank or none and letters: one word to the tokenizer, so its model alone is asked."""
-        spelled = word.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-
-    def _learn(self, known: dict[str, bytes], words: set[str], prefix: str) -> list[str]:
-        """Adds the ids of new ``words``; returns those to be forgotten again."""
-        room = max(0, CACHED_WORDS - len(self.alone) - len(self.after_blank))
-        new, others = list(words), []
-        for word in new:
-            head = word[:-1] if word[-1] in self.marks else word
-            if not (head.isalpha() and max(head) < _STABLE):
-                others.append(word)
-            elif head is word:
-                known[word] = self._word(prefix + word)
-            else:
-                known[word] = (known.get(head) or self._word(prefix + head)) + self.marks[word[-1]]
-        for start in range(0, len(others), 4096):
-            some = others[start:start + 4096]
-            known.update(zip(some, self._ids([prefix + w for w in some])))
-        return new[room:]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        first, rest = self.alone.get, self.after_blank.get
-        new_alone, new_after, split = set(), set(), []
-        for text in texts:
-            if _plain(text):
-                lines = []
-                for line in text.split("\n"):
-                    words = line.split(" ")
-                    found = list(map(rest, words))
-                    found[0] = first(words[0])
-                    if None in found:
-                        if found[0] is None:
-                            new_alone.add(words[0])
-                        new_after.update(w for w, ids in zip(words[1:], found[1:]) if ids is None)
-                        lines.append((found, words))
-                    else:
-                        lines.append((found, None))
-                split.append(lines)
-            else:
-                words = _PARTS.split(text) if text else []
-                new_alone.update(w for w in words if w not in self.alone)
-                split.append(words)
-        passing = self._learn(self.alone, new_alone, ""), self._learn(self.after_blank, new_after, " ")
-        result = []
-        for text, parts in zip(texts, split):
-            if not parts or isinstance(parts[0], str):
-                result.append(b"".join(map(first, parts)))
-                continue
-            lines = []
-            for found, words in parts:
-                if words:
-                    found = [first(words[0]), *map(rest, words[1:])]
-                lines.append(b"".join(found))
-            result.append(self.line_end.join(lines))
-        for known, words in zip((self.alone, self.after_blank), passing):
-            for word in words:
-                del known[word]
-        return result
-
-
-def _plain(text: str) -> bool:
-    """Whether a text's white space is single blanks and line ends between words."""
-    return bool(text) and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text
-                               or text[0] in " \n" or text[-1] in " \n" or _OTHER.search(text))
-
-
-_caches: dict[str, WordCache] = {}
-
-
-def _cache(path: str) -> WordCache:
-    if path not in _caches:
-        _caches[path] = WordCache(path)
-    return _caches[path]
+from wattlake.llm.wordcache import word_cache
+from wattlake.llm.words import in_groups
 
 
-def _batches(texts: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts in lists of bounded size; nulls are empty."""
-    held, size = [], 0
-    for text in texts:
-        value = text.as_py() or ""
-        held.append(value)
-        size += len(value)
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
+# ---------------------------------------------------------------- pieces
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int = 0, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids): the pieces of every document; ``ids`` are little-endian 32-bit numbers."""
     rows = texts_of(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    end = np.array([closing], "<u4").tobytes()
 
     def run(batches):
-        cache = _cache(tokenizer)
+        cache = word_cache(tokenizer)
         for batch in batches:
-            at = 0
-            for texts in _batches(batch.column(1)):
-                owner, piece, start, length, ids = [], [], [], [], []
-                for row, encoded in enumerate(cache.encode(texts), at):
-                    whole = encoded + end
-                    n = len(whole) // 4
-                    cuts = [0, *range(n % capacity or capacity, n, capacity), n]
-                    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        owner.append(row)
-                        piece.append(i)
-                        start.append(a)
-                        length.append(b - a)
-                        ids.append(whole[4 * a:4 * b])
-                at += len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()),
-                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "piece", "start", "length", "ids"])
+            for at, texts in in_groups(batch.column(1)):
+                for row, ids, bounds in cache.encode(texts, closing):
+                    yield _cut(batch.column(0), row + at, ids, bounds, capacity)
 
     return rows.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
 
 
+def _cut(doc_ids: pa.Array, rows: np.ndarray, ids: np.ndarray, bounds: np.ndarray, capacity: int) -> pa.RecordBatch:
+    """The pieces of texts, whose ids lie one after the other: full ones, behind a first one that takes the rest."""
+    sizes = np.diff(bounds)
+    many = -(-sizes // capacity)
+    owner = np.repeat(np.arange(len(sizes)), many)
+    piece = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    first = sizes - (many - 1) * capacity
+    start = np.where(piece == 0, 0, first[owner] + (piece - 1) * capacity)
+    places = np.concatenate([bounds[owner] + start, bounds[-1:]]) * 4
+    if places[-1] >= 1 << 31:
+        raise ValueError("a text of more than half a billion tokens")
+    binary = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(ids)])
+    return pa.RecordBatch.from_arrays(
+        [doc_ids.take(pa.array(rows[owner])), pa.array(piece.astype(np.int32)), pa.array(start),
+         pa.array(np.where(piece == 0, first[owner], capacity)), binary],
+        ["doc_id", "piece", "start", "length", "ids"])
+
+
 # ---------------------------------------------------------------- the linear program
 
+FULL = 1 - 1 / 256  # of a sequence that a rounded configuration holds at least
+
+
 @dataclass(frozen=True)
 class Filling:
     """A configuration: lengths (largest first) that fill one sequence, and how many sequences are filled so."""
@@ -202,80 +89,122 @@ class Filling:
     times: int
 
 
-def dearest(prices: np.ndarray, capacity: int) -> list[int]:
-    """The configuration of the highest total price: an unbounded knapsack by dynamic programming.
+@dataclass(frozen=True)
+class Packing:
+    """Fillings that hold all items, those the linear program gave before the others, and a proven least number of sequences."""
+
+    fillings: list[Filling]
+    by_program: int  # how many of the fillings the program gave
+    bound: int
+
+    def sequences(self) -> int:
+        return sum(f.times for f in self.fillings)
+
 
-    ``prices[l]`` is the price of length l; lengths without items have none. Lengths come largest first."""
-    sizes = np.flatnonzero(prices)
-    worth = prices[sizes]
+def price_table(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(highest total price of lengths that fit into each room, one length of that choice or 0 for a place left empty): an
+    unbounded knapsack by dynamic programming. ``prices[l]`` is the price of length l, 0 if there is none."""
+    worth = np.where(prices > 0, prices, -1.0)
     best = np.zeros(capacity + 1)
     taken = np.zeros(capacity + 1, np.int64)
     for room in range(1, capacity + 1):
-        fit = np.searchsorted(sizes, room, side="right")
-        if fit:
-            total = best[room - sizes[:fit]] + worth[:fit]
-            pick = int(total.argmax())
-            if total[pick] > best[room - 1]:
-                best[room], taken[room] = total[pick], sizes[pick]
-                continue
-        best[room] = best[room - 1]
-    found, room = [], capacity
-    while room > 0:
-        if taken[room]:
-            found.append(int(taken[room]))
-            room -= int(taken[room])
+        total = best[room - 1::-1] + worth[1:room + 1]
+        pick = int(total.argmax())
+        if total[pick] > best[room - 1]:
+            best[room], taken[room] = total[pick], pick + 1
         else:
-            room -= 1
-    return sorted(found, reverse=True)
+            best[room] = best[room - 1]
+    return best, taken
+
 
+def dearest(taken: np.ndarray, room: int) -> list[int]:
+    """The lengths that a price table chose for a room."""
+    found = []
+    while room > 0:
+        length = int(taken[room])
+        if length:
+            found.append(length)
+        room -= length or 1
+    return found
 
-def fractional(counts: np.ndarray, capacity: int, rounds: int = 100, pace: float = 0.5) -> dict[tuple[int, ...], float]:
-    """A fractional solution by multiplicative weights: configurations and how often each is used.
 
-    A length's weight falls by its share of what a configuration covers. A configuration is used as often as its
-    scarcest length allows, at most for one round's part of the whole."""
+_NONE = 1e-7  # of an item; less is rounding
+
+
+def fractional(counts: np.ndarray, capacity: int, rounds: int = 48) -> tuple[dict[tuple[int, ...], float], float]:
+    """(how often each configuration is used, lower bound) by multiplicative weights; no length is covered twice.
+
+    Weights fall so slowly that all differences in one configuration are worth less than one token: the fullest ones
+    are the dearest, and among these the ones whose lengths lag behind. After the last round, lengths wholly covered
+    have no price any more, and rounds go on until all are; each of them completes at least one length."""
     sizes = np.flatnonzero(counts)
-    least = float((sizes * counts[sizes]).sum()) / capacity
+    pace = 0.5 / capacity
     covered = np.zeros(capacity + 1)
     used: dict[tuple[int, ...], float] = {}
-    share = max(least / rounds, 1e-9)
-    for _ in range(rounds):
-        # Weight falls exponentially in the part that is covered; the length itself is the price that fills sequences.
-        weight = np.zeros(capacity + 1)
-        weight[sizes] = sizes * np.exp(-pace * (covered[sizes] / counts[sizes]))
-        weight[sizes[covered[sizes] >= counts[sizes]]] = 0
-        if not weight.any():
-            break
-        filling = dearest(weight, capacity)
-        kinds, many = np.unique(filling, return_counts=True)
-        times = min(share, float(((counts[kinds] - covered[kinds]) / many).min()))
-        covered[kinds] += times * many
-        used[tuple(filling)] = used.get(tuple(filling), 0.0) + times
-    return used
-
-
-def plan(counts: np.ndarray, capacity: int, rounds: int = 100) -> list[Filling]:
+    bound = 0.0
+    round_ = 0
+    while True:
+        round_ += 1
+        room = counts * min(1.0, round_ / rounds) - covered
+        if round_ > rounds:
+            sizes = np.flatnonzero(room > _NONE)
+            if not len(sizes):
+                return used, bound
+        part = covered[sizes] / counts[sizes]
+        prices = np.zeros(capacity + 1)
+        prices[sizes] = sizes * np.exp(-pace * part)
+        best, taken = price_table(prices, capacity)
+        if round_ <= rounds:
+            bound = max(bound, float((counts[sizes] * prices[sizes]).sum()) / best[capacity])
+        for length in sizes[np.argsort(part, kind="stable")]:
+            length = int(length)
+            if room[length] <= _NONE:
+                continue
+            filling = [length, *dearest(taken, capacity - length)]
+            many = {x: filling.count(x) for x in filling}
+            times = min(room[x] / n for x, n in many.items())
+            if times > 0:
+                for x, n in many.items():
+                    room[x] -= times * n
+                    covered[x] += times * n
+                key = tuple(sorted(filling, reverse=True))
+                used[key] = used.get(key, 0.0) + times
+
+
+def plan(counts: np.ndarray, capacity: int, rounds: int = 48) -> Packing:
     """Configurations that hold ``counts[l]`` items of each length l exactly. ``counts`` has capacity + 1 entries."""
     left = counts.astype(np.int64).copy()
-    result = []
+    result: dict[tuple[int, ...], int] = {}
 
-    def use(filling: list[int], most: float) -> None:
+    def use(filling: tuple[int, ...], most: float) -> int:
         kinds, many = np.unique(filling, return_counts=True)
         times = int(min(most, (left[kinds] // many).min()))
-        if times:
+        if times > 0:
             left[kinds] -= times * many
-            result.append(Filling(tuple(filling), times))
-
-    full = left[capacity]
-    if full:
-        use([capacity], float(full))
-    if left.any():
-        solution = fractional(left.astype(float), capacity, rounds)
-        for filling, times in sorted(solution.items(), key=lambda x: (-x[1], x[0])):
-            use(list(filling), np.floor(times))
+            result[filling] = result.get(filling, 0) + times
+        return max(times, 0)
+
+    full = int(left[capacity])
+    use((capacity,), full)
+    bound, worthwhile = 0.0, left.any()
+    while worthwhile:
+        solution, proven = fractional(left.astype(float), capacity, rounds)
+        bound = bound or proven
+        before, spare = int(left.sum()), 0.0
+        # what leaves room is left to the next program and the greedy rest: single items may still fill it
+        ordered = sorted(((f, x) for f, x in solution.items() if sum(f) >= capacity * FULL), key=lambda x: (-x[1], x[0]))
+        for filling, times in ordered:
+            use(filling, np.floor(times))
+        for filling, times in ordered:  # the fractions add up to whole uses
+            spare += times % 1
+            if spare >= 1:
+                spare -= use(filling, 1)
+        worthwhile = 0.5 * before >= left.sum() > 0
+    by_program = len(result)
     while left.any():
-        use(_fullest(left, capacity), np.inf)
-    return result
+        use(tuple(_fullest(left, capacity)), np.inf)
+    fillings = [Filling(lengths, times) for lengths, times in result.items()]
+    return Packing(fillings, by_program, full + int(np.ceil(bound - 1e-6)))
 
 
 def _fullest(left: np.ndarray, capacity: int) -> list[int]:
@@ -328,11 +257,11 @@ def ranges(fillings: list[Filling]) -> list[tuple[int, int, int, int, int]]:
 
 # ---------------------------------------------------------------- operator
 
-def pack(items: DataFrame, capacity: int = 2048, rounds: int = 100) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 2048, rounds: int = 48) -> DataFrame:
     """``items`` (any columns, among them ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
-    Columns of these two names are replaced. The items are stored once; broadcast is the plan, whose size is bounded
-    by ``capacity`` and ``rounds`` alone.
+    Columns of these two names are replaced. The items are stored once. Tasks get the plan, whose size is bounded by ``capacity``
+    and ``rounds`` alone; the counts of all tasks are joined by a shuffle, as they grow with the tasks.
     """
     kept = [c for c in items.columns if c not in ("sequence_id", "offset")]
     rows = _ranked(items.select(F.struct(*kept).alias("row"), F.col("length").cast("bigint").alias("length")), capacity)
@@ -343,14 +272,33 @@ def pack(items: DataFrame, capacity: int = 2048, rounds: int = 100) -> DataFrame
     counts = np.zeros(capacity + 1, np.int64)
     for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row per length
         counts[r.length] = r.n
-    places = items.sparkSession.createDataFrame(
-        ranges(plan(counts, capacity, rounds)),
-        "p_length bigint, first bigint, past bigint, first_sequence bigint, offset bigint")
-    ranked = (rows.join(starts.select("length", "task", "before"), ["length", "task"])
+    ranked = (rows.join(starts.select("length", "task", "before").hint("shuffle_merge"), ["length", "task"])
               .select("row", "length", (F.col("before") + F.col("rank")).alias("rank")))
-    return (ranked.join(F.broadcast(places), (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("first"))
-                        & (F.col("rank") < F.col("past")))
-            .select("row.*", (F.col("first_sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset"))
+    return _placed(ranked, ranges(plan(counts, capacity, rounds).fillings)).select("row.*", "sequence_id", "offset")
+
+
+def _placed(ranked: DataFrame, places: list[tuple[int, int, int, int, int]]) -> DataFrame:
+    """Every row's rank among those of its length, looked up in the ranges of the plan."""
+    table = np.array(sorted(places), np.int64).reshape(-1, 5)
+    lengths, firsts, _, sequences, offsets = table.T
+    edges = np.searchsorted(lengths, np.arange(lengths.max(initial=0) + 2))  # where the ranges of each length begin
+
+    def run(batches):
+        for batch in batches:
+            length, rank = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+            sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+            order = np.argsort(length, kind="stable")
+            cuts = np.flatnonzero(np.diff(length[order])) + 1
+            for some in np.split(order, cuts) if len(order) else []:
+                a, b = edges[length[some[0]]], edges[length[some[0]] + 1]
+                at = a + np.searchsorted(firsts[a:b], rank[some], side="right") - 1
+                sequence[some] = sequences[at] + rank[some] - firsts[at]
+                offset[some] = offsets[at]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sequence), pa.array(offset)],
+                                             ["row", "sequence_id", "offset"])
+
+    row = ranked.schema["row"].dataType.simpleString()
+    return ranked.mapInArrow(run, f"row {row}, sequence_id bigint, offset bigint")
 
 
 def _ranked(rows: DataFrame, capacity: int) -> DataFrame:

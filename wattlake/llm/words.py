@@ -21,7 +21,7 @@ class Words:
     ``first`` and ``past`` are the bytes of every word, ``owner`` is its text, and ``ids`` are numbers that are equal for equal
     words of these texts. ``begin`` is the number of the first word of each text."""
 
-    def __init__(self, texts: pa.LargeStringArray):
+    def __init__(self, texts: pa.LargeStringArray, numbered: bool = True):
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]] if raw is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
@@ -33,12 +33,10 @@ class Words:
         if len(blank) and not blank[0]:
             turns = np.concatenate([[0], turns])
         self.first, self.past = turns[::2], turns[1::2]
-        if len(self.past) < len(self.first):  # cannot be: a line end closes the last word
-            raise AssertionError("a word without an end")
         self.owner = np.searchsorted(self.bounds, self.first, side="right") - 1
         self.begin = np.searchsorted(self.first, self.bounds)
         self.blank = blank
-        self.ids = self._ids()
+        self.ids = self._ids() if numbered else None
 
     def _ids(self) -> np.ndarray:
         places = np.concatenate([[0], np.cumsum(self.past - self.first)]).astype(np.int64)
