@@ -2,6 +2,7 @@ import random
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import LONG, ODD, docs
 
@@ -57,15 +58,42 @@ def test_ties_and_long_words(vocabulary):
 
 def test_full_cache_changes_nothing(vocabulary, monkeypatch):
     texts = [f"word{i} and other{i % 5}" for i in range(100)]
-    monkeypatch.setattr(sentencepieces, "CACHED_WORDS", 3)
-    small = Vocabulary(PATH)
-    assert [small.nbest(t, 3) for t in texts] == [vocabulary.nbest(t, 3) for t in texts]
+    monkeypatch.setattr(sentencepieces, "CACHED_BYTES", 3000)
+    small, sizes = Vocabulary(PATH), []
+    for text in texts:
+        assert small.nbest(text, 3) == vocabulary.nbest(text, 3)
+        sizes.append(small.size)
+    assert max(sizes) < 3000 + 6 * 300 and sizes != sorted(sizes)
+
+
+def test_edges_that_are_not_held_change_nothing(vocabulary, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abthe▁é😀in0") for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    want = [[(score, ids) for score, _, ids in vocabulary.nbest(w, 4)] for w in words]
+    monkeypatch.setattr(sentencepieces, "HELD", 2)
+    lean = Vocabulary(PATH)
+    assert [[(score, ids) for score, _, ids in lean.nbest(w, 4)] for w in words] == want
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/", "a", "的一是不了人我在有他😀"])
+def test_a_long_text_without_blanks_takes_little_memory(vocabulary, letters):
+    import tracemalloc
+    rng = random.Random(2)
+    text = "".join(rng.choices(letters, k=300_000))  # the memory is in proportion: three million take ten times as much
+    vocabulary.forget()
+    tracemalloc.start()
+    found = list(vocabulary.encode(pa.array([text], pa.large_string()), 3))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == (3 if letters.isascii() else 1) and all(f[4].decode() == " " + text for f in found)
+    assert peak < 120 * len(text.encode())
+    vocabulary.forget()
 
 
 def test_odd_rows(spark):
     rows = docs(spark, ODD)
     found = sentencepieces.encode(rows, PATH, 2)
-    got = sentencepieces.decode(found, PATH, 2).collect()
+    got = sentencepieces.decode(found, PATH).collect()
     texts = {(i, t or "") for i, t, _ in ODD}
     assert {(r.doc_id, r.text) for r in got} == texts
     assert sum(r["rank"] == 1 for r in got) == len(ODD)
