@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from wattlake.llm.words import Words
 
-CACHED_BYTES = 96 << 20  # of units and their ids, with what Python adds; then the cache starts anew
+CACHED_BYTES = 160 << 20  # of units and their ids, with what Python adds; then the cache starts anew
 _EACH = 150
 # White space other than blanks and line ends.
 _OTHER = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -42,7 +42,9 @@ class WordCache:
         self.marks = dict(zip(b".,;:!?", marks))
         printed = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet
         others = (b for b in range(256) if b not in set(printed))
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.blank = self.letters[32]
         self.forget()
 
     def forget(self) -> None:
@@ -55,10 +57,16 @@ class WordCache:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]  # 32 bits, little-endian on all supported machines
 
-    def _letters(self, unit: bytes) -> bytes:
+    def _letters(self, unit: bytes, word: bytes) -> bytes:
         """Ids of a blank or none and letters: one word to the tokenizer, so its model alone is asked."""
-        spelled = unit.decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+        spelled = word.decode() if word.isascii() else word.decode("latin-1").translate(self.letters)
+        if unit is not word:
+            spelled = self.blank + spelled
+        return array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+
+    def _cached(self, unit: bytes) -> bytes:
+        number = self.known.get(unit)
+        return b"" if number is None else self.pool[self.ends[number]:self.ends[number + 1]].tobytes()
 
     def _numbers(self, units: list[bytes]) -> np.ndarray:
         """The numbers of units; new ones are tokenized."""
@@ -67,16 +75,16 @@ class WordCache:
         if new:
             new = list(dict.fromkeys(new))
             ids: dict[bytes, bytes] = {}
-            others = []
+            others, marks = [], self.marks
             for unit in new:
-                head = unit[:-1] if unit[-1] in self.marks else unit
-                word = head.decode().removeprefix(" ")
-                if not (word.isalpha() and max(word) < _STABLE):
+                head = unit[:-1] if unit[-1] in marks else unit
+                word = head[1:] if head[:1] == b" " else head
+                if not (word.isalpha() or _only_letters(word)):  # of bytes: plain letters
                     others.append(unit)
                 elif head is unit:
-                    ids[unit] = self._letters(unit)
+                    ids[unit] = self._letters(unit, word)
                 else:
-                    ids[unit] = (ids.get(head) or self._letters(head)) + self.marks[unit[-1]]
+                    ids[unit] = (ids.get(head) or self._cached(head) or self._letters(head, word)) + marks[unit[-1]]
             for start in range(0, len(others), 4096):
                 some = others[start:start + 4096]
                 ids.update(zip(some, self._ids([u.decode() for u in some])))
@@ -131,6 +139,11 @@ class WordCache:
             yield rest, np.insert(ids, ends, closing), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
 
 
+def _only_letters(word: bytes) -> bool:
+    text = word.decode()
+    return text.isalpha() and max(text) < _STABLE
+
+
 def _plain(text: str) -> bool:
     """Whether a text's white space is single blanks and line ends between words."""
     return bool(text) and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text
