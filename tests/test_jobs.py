@@ -5,6 +5,7 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 
 from wattlake import schemas as S
 from wattlake.operators.contracts import ContractViolation
@@ -254,19 +255,21 @@ def test_ledger_transitions(lake):
     assert ledger.last_process_ts("bronze") == datetime(1970, 1, 1, 0, 0, 2, tzinfo=timezone.utc)
 
 
-def test_compacted_ledger_says_the_same(lake, monkeypatch):
+def test_checkpointed_ledger_says_the_same_and_keeps_its_history(lake, monkeypatch):
     ledger = lake.ledger
     for ts in (1, 2, 3):
         ledger.open("bronze", ts)
         ledger.mark_ready("bronze", ts, ts * 10, days=[(2026, 4, ts)])
     ledger.mark_error("silver", 9, "lost")
-    before = sorted(map(str, ledger.state().collect()))
-    ledger.compact()
-    assert len(ledger.log().inputFiles()) == 1
-    assert sorted(map(str, ledger.state().collect())) == before
+    before, told = sorted(map(str, ledger.state().collect())), sorted(map(str, ledger.history().collect()))
+    assert len(told) == 7
+    for _ in range(2):
+        ledger.checkpoint()
+        assert all(f.endswith(".parquet") for f in ledger.log().inputFiles())
+        assert sorted(map(str, ledger.state().collect())) == before and sorted(map(str, ledger.history().collect())) == told
     assert ledger.days_of("bronze", [1, 3]) == [(2026, 4, 1), (2026, 4, 3)]
     assert ledger.days_of("silver", [9]) is None
-    monkeypatch.setattr("wattlake.operators.ledger.MAX_LOG_FILES", 1)
+    monkeypatch.setattr("wattlake.operators.ledger.CHECKPOINT_EVERY", 1)
     ledger.open("bronze", 4)
     assert ledger.claim_ready("bronze") == [1, 2, 3]
     ledger.mark_complete("bronze", [1])
@@ -393,9 +396,24 @@ def test_sql_surface(lake, mix_payload, flows_payload):
                 "SELECT (SELECT max(process_ts) FROM state.el_state)", "WITH x AS (SELECT * FROM silver.electricity_mix) SELECT * FROM x",
                 "SELECT * FROM daily_imports WHERE EXISTS (SELECT 1 FROM el_state)", "SELECT * FROM range(10)",
                 "SELECT * FROM daily_imports WHERE zone IN (SELECT java_method('java.lang.System', 'getProperty', 'x'))",
-                "SELECT TRANSFORM(zone) USING 'cat' AS z FROM daily_imports", "SELECT input_file_name() FROM daily_imports"):
+                "SELECT TRANSFORM(zone) USING 'cat' AS z FROM daily_imports", "SELECT input_file_name() FROM daily_imports",
+                "WITH el_state AS (SELECT * FROM el_state) SELECT * FROM el_state",
+                "WITH private AS (SELECT * FROM private) SELECT * FROM private",
+                "SELECT * FROM (WITH el_state AS (SELECT 1 AS x) SELECT * FROM el_state) a JOIN el_state USING (x)",
+                "WITH a AS (SELECT * FROM el_state), el_state AS (SELECT 1 AS x) SELECT * FROM a",
+                "WITH RECURSIVE r AS (SELECT 1 AS x UNION ALL SELECT x + 1 FROM r) SELECT * FROM r",
+                "SELECT collect_list(zone) FROM daily_imports", "SELECT zone, zone FROM daily_imports"):
         with pytest.raises(NotAReadOnlyQuery):
             surface.bounded(bad)
+    inner = surface.bounded("WITH el_state AS (SELECT zone FROM daily_imports), b AS (SELECT * FROM el_state) "
+                            "SELECT b.zone FROM b JOIN el_state ON (b.zone = el_state.zone) "
+                            "WHERE b.zone IN (SELECT zone FROM el_state)")
+    assert inner.count() == 4
+    assert surface.bounded("SELECT rpad(zone, 60000, 'x') AS z FROM daily_imports").count() == 2
+    with pytest.raises(SparkRuntimeException, match="longer than 65536 bytes"):
+        surface.bounded("SELECT rpad(zone, 70000, 'x') AS z FROM daily_imports").collect()
+    for view in ("state.el_state", "el_state"):
+        assert surface.sql(f"SELECT * FROM {view}").count() == 3
 
 
 def test_foreign_tables_survive(spark, lake, mix_payload, flows_payload):

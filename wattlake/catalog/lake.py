@@ -11,6 +11,7 @@ from wattlake.catalog.payloads import _EVENTS_SQL, flow_documents, mix_documents
 from wattlake.catalog.registry import query
 from wattlake.operators import products
 from wattlake.operators.keys import latest_by_key
+from wattlake.operators.ledger import CHECKPOINT_EVERY, commit_of
 from wattlake.plans.jobs import Lake, ingest_bronze, transform_gold, transform_silver
 from wattlake.plans.sql_surface import SqlSurface
 from wattlake.schemas import (
@@ -18,6 +19,7 @@ from wattlake.schemas import (
 )
 from wattlake.session import scratch_path
 from wattlake.sources import tables
+from wattlake.sources.publish import move_part
 
 _TABLE_COLUMNS = SILVER_FLOWS.fieldNames()
 _FLOW_OUT = f"""process_ts, zone, {fx.time_sql('datetime')} AS datetime, {fx.time_sql('updated_at')} AS updated_at,
@@ -62,15 +64,34 @@ def _upsert(spark, sf_dir, keep):
     return tables.read_table(spark, path, SILVER_FLOWS)
 
 
-@query(f"""WITH {_PAIR_SQL}, merged AS (SELECT * FROM incoming UNION ALL
+_UPSERTED = f"""WITH {_PAIR_SQL}, merged AS (SELECT * FROM incoming UNION ALL
   SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.zone = old.zone AND i.datetime = old.datetime
     AND i.neighbor_zone = old.neighbor_zone AND i.direction = old.direction))
-SELECT {_FLOW_OUT} FROM merged""")
+SELECT {_FLOW_OUT} FROM merged"""
+
+
+@query(_UPSERTED)
 def upsert_by_key(spark, sf_dir):
     """Incoming rows replace table rows of the same key."""
     return _upsert(spark, sf_dir, "incoming")
 
 
+@query(_UPSERTED)
+def upsert_after_stop(spark, sf_dir):
+    """An upsert whose driver is lost when it has published three of its days. The next writer publishes the others, and
+    does the lost one's work again, which changes nothing."""
+    old, incoming = _pair(spark, sf_dir)
+    path = scratch_path(spark, "stopped")
+    tables.append(old, path, DAY_COLUMNS)
+    lost = tables.own_publication(spark, path)
+    tables.upsert_by_keys(incoming, path, FLOW_KEYS, SILVER_FLOWS, publication=lost)
+    change = lost.prepare()["moves"][0]
+    for part in change["parts"][:3]:
+        move_part(spark, change, part)
+    tables.upsert_by_keys(incoming, path, FLOW_KEYS, SILVER_FLOWS)
+    return tables.read_table(spark, path, SILVER_FLOWS)
+
+
 @query(f"""WITH {_PAIR_SQL}, merged AS (SELECT * FROM (SELECT *, 1 AS side FROM incoming UNION ALL SELECT *, 0 FROM old)
   QUALIFY row_number() OVER (PARTITION BY zone, datetime, neighbor_zone, direction
                              ORDER BY updated_at DESC, side DESC) = 1)
@@ -254,6 +275,30 @@ def ledger_after_failure(spark, sf_dir):
     return ledger.state().select("process", "process_ts", "status", "record_count")
 
 
+_ROUND = ["R", "P", "R", "P", "C", "R", "P"]  # what becomes of every batch: claimed, handed back, consumed, reopened
+
+
+@query(f"""WITH days AS (SELECT event_id // 100 AS process_ts, min(ts::DATE) AS day FROM events GROUP BY 1),
+placed AS (SELECT process_ts, dense_rank() OVER (ORDER BY day) - 1 AS i FROM days)
+SELECT process_ts, {len(_ROUND)}::BIGINT AS n_changes, '{','.join(_ROUND)}' AS statuses,
+  (i * {len(_ROUND)} + 1)::BIGINT AS first_commit, (i * {len(_ROUND)} + {len(_ROUND)})::BIGINT AS last_commit FROM placed""")
+def ledger_history(spark, sf_dir):
+    """Every change of every batch, day by day in one commit each, over several checkpoints of the ledger."""
+    ledger = Lake(spark, scratch_path(spark, "history")).ledger
+    batches = fx.events(spark, sf_dir).groupBy(fx.batch_of(F.col("event_id")).alias("process_ts")).agg(
+        F.min(F.to_date("ts")).alias("day"))
+    for row in batches.groupBy("day").agg(F.collect_list("process_ts").alias("ids")).orderBy("day").collect():
+        for status in _ROUND:
+            {"R": ledger.release, "P": ledger.claim, "C": ledger.mark_complete}[status]("bronze", row.ids)
+        if ledger.uncollected() >= CHECKPOINT_EVERY:
+            ledger.checkpoint()
+    rows = ledger.history().select("process_ts", "status", "seq")
+    return rows.groupBy("process_ts").agg(
+        F.count(F.lit(1)).alias("n_changes"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "status"))), lambda c: c["status"]), ",").alias("statuses"),
+        commit_of(F.min("seq")).alias("first_commit"), commit_of(F.max("seq")).alias("last_commit"))
+
+
 # ---------------------------------------------------------------- SQL over written tables
 
 def _gold_surface(spark, sf_dir) -> SqlSurface:

@@ -6,8 +6,11 @@ import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake import schemas as S
+from wattlake.operators.ledger import COMMIT, state_sql
 from wattlake.plans.jobs import Lake
 from wattlake.session import use_utc
 from wattlake.sources.tables import table_exists
@@ -45,8 +48,8 @@ QUERY_NODES = frozenset("""Project Filter Aggregate Sort GlobalLimit LocalLimit
     OneRowRelation WithWindowDefinition""".split())
 CLOSED_EXPRESSIONS = frozenset(["ExpressionWithUnresolvedIdentifier"])
 SUBQUERIES = frozenset(["ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"])
-FUNCTIONS = frozenset("""abs any any_value array array_agg array_contains avg bool_and bool_or bround cardinality ceil ceiling
-    coalesce collect_list collect_set concat concat_ws contains corr count count_if cume_dist current_date date date_add
+FUNCTIONS = frozenset("""abs any any_value array array_contains avg bool_and bool_or bround cardinality ceil ceiling
+    coalesce concat concat_ws contains corr count count_if cume_dist current_date date date_add
     date_diff date_format date_sub date_trunc datediff day dayofmonth dayofweek dayofyear dense_rank div double endswith every
     exp extract first first_value float floor greatest hour if ifnull initcap int isnan isnotnull isnull lag last last_day
     last_value lcase lead least left length ln log log10 lower lpad ltrim make_date map max max_by mean median min min_by mod
@@ -86,6 +89,9 @@ class SqlSurface:
         session.conf.set("spark.sql.session.timeZone", "UTC")
         session.conf.set("spark.sql.ansi.enabled", "true")
         session.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+        # bare names are the lake's temporary views or nothing: no table is found in an empty database
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}no_tables")
+        session.catalog.setCurrentDatabase(f"{self.prefix}no_tables")
         return session
 
     def register(self) -> list[str]:
@@ -136,18 +142,16 @@ class SqlSurface:
         self.session.sql(query).createOrReplaceTempView(f"`{name}`")
 
     def _register_state(self, name: str) -> None:
-        """The ledger's current state under the name of the status table."""
-        path = self.lake.ledger.path
-        self.lake.ledger.state().createOrReplaceTempView(name)
-        if not table_exists(self.spark, path):
+        """The ledger's current state under the name of the status table: a view over all its commits."""
+        ledger, commits = self.lake.ledger, f"{self.prefix}state.{name}_commits"
+        ledger.state().createOrReplaceTempView(name)
+        if not table_exists(self.spark, ledger.commits.path):
             return
-        self._drop_own("state", name, path)
-        last = ", ".join(f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN seq END) AS {c}" for c in S.LEDGER_STATE.fieldNames()
-                         if c not in ("process", "process_ts", "status"))
         full = f"{self.prefix}state.{name}"
-        self.spark.sql(f"CREATE VIEW {full} AS SELECT {', '.join(S.LEDGER_STATE.fieldNames())} FROM (SELECT process, process_ts, "
-                       f"max_by(status, CASE WHEN status IS NOT NULL THEN seq END) AS status, {last} "
-                       f"FROM parquet.`{path}` GROUP BY process, process_ts)")
+        self._drop_own("state", name, commits)
+        self._drop_own("state", f"{name}_commits", ledger.commits.path)
+        self.spark.sql(f"CREATE TABLE {commits} ({COMMIT}) USING json LOCATION '{ledger.commits.path}'")
+        self.spark.sql(f"CREATE VIEW {full} AS {state_sql(commits)}")
         for view in (f"state.{name}", name):
             self._view(view, f"SELECT * FROM {full}")
 
@@ -158,8 +162,10 @@ class SqlSurface:
     def latest_rows(self, table: str, rows: int) -> DataFrame:
         return self.sql(f"SELECT * FROM {self.prefix}{table} ORDER BY process_ts DESC LIMIT {int(rows)}")
 
-    def bounded(self, query: str, rows: int = 1000, args: Mapping[str, object] | None = None) -> DataFrame:
-        """A read-only query over the gold tables with a bounded result.
+    def bounded(self, query: str, rows: int = 1000, args: Mapping[str, object] | None = None,
+                max_bytes: int = 65_536) -> DataFrame:
+        """A read-only query over the gold tables with a bounded result: so many rows, and texts of at most ``max_bytes``;
+        a longer one is an error.
 
         The parsed text decides, not its letters: it may hold nothing but query nodes, the gold tables and names it
         defines itself, and listed functions. So commands, files, other tables and calls into the JVM stay out
@@ -167,7 +173,7 @@ class SqlSurface:
         """
         body = query.strip().rstrip(";")
         check_query(self._parsed(body), self.prefix)
-        return self.sql(body, args).limit(rows)
+        return _in_bytes(self.sql(body, args).limit(rows), max_bytes)
 
     def _parsed(self, text: str):
         """The text as a plan, read with the settings of the surface's session."""
@@ -186,41 +192,58 @@ def _items(seq) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
 
-def check_query(plan, prefix: str = "") -> None:
-    """Raise unless a parsed query is made of permitted parts only."""
-    gold = {t for t in LAKE_TABLES["gold"]}
-    tables, own = [], set()
-    plans, expressions = [plan], []
-    while plans or expressions:
-        if plans:
-            node = plans.pop()
-            kind = node.getClass().getSimpleName()
-            if kind not in QUERY_NODES:
-                raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
-            if kind == "UnresolvedRelation":
-                tables.append([str(p).lower() for p in _items(node.multipartIdentifier())])
-            if kind == "UnresolvedWith":
-                for relation in _items(node.cteRelations()):
-                    own.add(str(relation._1()).lower())
-                    plans.append(relation._2())
-            plans += _items(node.children())
-            expressions += _items(node.expressions())
-        else:
-            part = expressions.pop()
-            kind = part.getClass().getSimpleName()
-            if kind in CLOSED_EXPRESSIONS:
-                raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
-            if kind == "UnresolvedFunction":
-                name = ".".join(str(p).lower() for p in _items(part.nameParts()))
-                if name not in FUNCTIONS:
-                    raise NotAReadOnlyQuery(f"function {name} is not open to queries")
-            if kind in SUBQUERIES:
-                plans.append(part.plan())
-            elif "Subquery" in kind and kind != "InSubquery":
-                raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
-            expressions += _items(part.children())
-    for name in tables:
-        table = name[-1] if len(name) == 1 or (len(name) == 2 and name[0] == f"{prefix}gold") else None
-        dotted = name[0].split(".") if len(name) == 1 else []
-        if not (table in gold or (len(name) == 1 and table in own) or (len(dotted) == 2 and dotted[0] == "gold" and dotted[1] in gold)):
-            raise NotAReadOnlyQuery(f"table {'.'.join(name)} is not open to queries")
+def _in_bytes(df: DataFrame, most: int) -> DataFrame:
+    def held(field):
+        column = F.col(f"`{field.name}`")
+        text = column if isinstance(field.dataType, (T.StringType, T.BinaryType)) else F.to_json(F.struct(column))
+        error = F.raise_error(F.lit(f"a value of {field.name} is longer than {most} bytes"))
+        return F.when(F.coalesce(F.octet_length(text), F.lit(0)) > most, error.cast(field.dataType)).otherwise(column).alias(field.name)
+
+    unbounded = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    names = [f.name for f in df.schema.fields]
+    if len(set(names)) < len(names):
+        raise NotAReadOnlyQuery("two columns of the result have one name")
+    return df.select(*[held(f) if isinstance(f.dataType, unbounded) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def check_query(plan, prefix: str = "", own: frozenset[str] = frozenset()) -> None:
+    """Raise unless a parsed query is made of permitted parts only.
+
+    ``own`` are the names the query has defined where this part stands. A name counts from the end of its definition to
+    the end of its WITH; anywhere else, in its own definition too, it would be a table."""
+    kind = plan.getClass().getSimpleName()
+    if kind not in QUERY_NODES:
+        raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
+    if kind == "UnresolvedRelation":
+        _check_table([str(p).lower() for p in _items(plan.multipartIdentifier())], prefix, own)
+    if kind == "UnresolvedWith":
+        if plan.allowRecursion():
+            raise NotAReadOnlyQuery("a recursive query is not bounded")
+        for relation in _items(plan.cteRelations()):
+            check_query(relation._2(), prefix, own)
+            own = own | {str(relation._1()).lower()}
+    for child in _items(plan.children()):
+        check_query(child, prefix, own)
+    expressions = _items(plan.expressions())
+    while expressions:
+        part = expressions.pop()
+        kind = part.getClass().getSimpleName()
+        if kind in CLOSED_EXPRESSIONS:
+            raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
+        if kind == "UnresolvedFunction":
+            name = ".".join(str(p).lower() for p in _items(part.nameParts()))
+            if name not in FUNCTIONS:
+                raise NotAReadOnlyQuery(f"function {name} is not open to queries")
+        if kind in SUBQUERIES:
+            check_query(part.plan(), prefix, own)
+        elif "Subquery" in kind and kind != "InSubquery":
+            raise NotAReadOnlyQuery(f"{kind} is not part of a read-only query")
+        expressions += _items(part.children())
+
+
+def _check_table(name: list[str], prefix: str, own: frozenset[str]) -> None:
+    gold = LAKE_TABLES["gold"]
+    table = name[-1] if len(name) == 1 or (len(name) == 2 and name[0] == f"{prefix}gold") else None
+    dotted = name[0].split(".") if len(name) == 1 else []
+    if not (table in gold or (len(name) == 1 and table in own) or (len(dotted) == 2 and dotted[0] == "gold" and dotted[1] in gold)):
+        raise NotAReadOnlyQuery(f"table {'.'.join(name)} is not open to queries")

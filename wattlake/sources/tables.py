@@ -1,8 +1,8 @@
 """Partitioned Parquet tables: scans, appends, key upserts and day replacement.
 
 Two rules keep the writes safe to repeat: every write names the rows it replaces by key or by
-day, and only the partitions it touches are rewritten. Output is rebalanced by partition, so one
-very large day is split over many tasks and small days share a file.
+day, and only the partitions it touches are rewritten, as one publication that a stop cannot leave half done.
+Output is rebalanced by partition, so one very large day is split over many tasks and small days share a file.
 """
 
 from __future__ import annotations
@@ -17,33 +17,16 @@ from pyspark.sql import types as T
 
 from wattlake.operators.keys import assert_unique_keys, latest_by_key
 from wattlake.schemas import DAY_COLUMNS
+from wattlake.sources.commits import CommitLog
+from wattlake.sources.files import exists, remove_files  # noqa: F401  (part of this module's interface)
+from wattlake.sources.publish import Publication, recover
 
 Day = tuple[int, int, int]
 
 
-# ---------------------------------------------------------------- files
-
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path is there. Any other storage error is raised, not read as 'missing'."""
-    hadoop_path, fs = _file_system(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def remove_files(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Delete files or folders; those already gone are skipped."""
-    for path in paths:
-        hadoop_path, fs = _file_system(spark, path)
-        fs.delete(hadoop_path, True)
-
-
-def remove_days(spark: SparkSession, path: str, days: Sequence[Day]) -> None:
-    """Remove whole day partitions, which an overwrite without rows would leave behind."""
-    remove_files(spark, [f"{path}/year={y}/month={m}/day={d}" for y, m, d in days])
+    return exists(spark, path)
 
 
 # ---------------------------------------------------------------- scans
@@ -154,16 +137,19 @@ def append_if_any(df: DataFrame, path: str) -> None:
         append(df, path)
 
 
+def own_publication(spark: SparkSession, path: str) -> Publication:
+    """A publication of a table that belongs to no lake, with its log and stage in hidden folders of the table. What an
+    earlier one left undone is finished first."""
+    log = CommitLog(spark, f"{path}/_commits")
+    recover(spark, log, f"{path}/_staged", "table")
+    return Publication(spark, log, f"{path}/_staged", "table")
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_COLUMNS) -> None:
     """Replace exactly the partitions that occur in ``df``."""
-    (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    df.sparkSession.catalog.refreshByPath(path)
+    publication = own_publication(df.sparkSession, path)
+    publication.replace(df, path, partition_by)
+    publication.commit()
 
 
 def merge_by_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -183,8 +169,8 @@ def merge_by_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema: T.StructType,
-                   keep: str = "incoming", days: Sequence[Day] | None = None,
-                   known_unique: bool = False, check_table: bool = True) -> list[Day]:
+                   keep: str = "incoming", days: Sequence[Day] | None = None, known_unique: bool = False,
+                   check_table: bool = True, publication: Publication | None = None) -> list[Day]:
     """Upsert into a table partitioned by day; returns the days rewritten.
 
     A key decides its day, because the partition columns derive from the key's timestamp. Rows
@@ -192,8 +178,10 @@ def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema:
     Pass ``days`` if they are known already, and ``known_unique`` if ``incoming`` comes out of an
     operator that leaves one row per key. ``check_table=False`` trusts the table's keys to be unique,
     which they are while nothing else writes to it, and saves a scan of the keys of those days.
+    The days become part of ``publication``, which the caller commits, or are published at once.
     """
     spark = incoming.sparkSession
+    mine = None if publication else own_publication(spark, path)
     with persisted(incoming):
         days = affected_days(incoming) if days is None else sorted(days)
         if not days:
@@ -207,19 +195,21 @@ def upsert_by_keys(incoming: DataFrame, path: str, keys: Sequence[str], schema:
                 # Merging keeps the two sides apart, so only rows already in the table can still repeat a key.
                 assert_unique_keys(existing, keys, "table rows")
             merged = merge_by_keys(existing, incoming, keys, keep)
-        overwrite_partitions(merged.select(*schema.fieldNames()), path)
+        (publication or mine).replace(merged.select(*schema.fieldNames()), path)
+    if mine:
+        mine.commit()
     return days
 
 
-def replace_days(df: DataFrame, path: str, days: Sequence[Day], keys: Sequence[str],
-                 filled: Iterable[Day] | None = None, known_unique: bool = False) -> None:
+def replace_days(df: DataFrame, path: str, days: Sequence[Day], keys: Sequence[str], filled: Iterable[Day] | None = None,
+                 known_unique: bool = False, publication: Publication | None = None) -> None:
     """Make ``df`` the whole content of the given days; days without rows become empty.
 
-    ``filled`` are the days that occur in ``df``, if known already; ``known_unique`` as for the upsert.
+    ``filled`` are the days that occur in ``df``, if known already; ``known_unique`` and ``publication`` as for the upsert.
     """
     if not days:
         return
-    spark = df.sparkSession
+    mine = None if publication else own_publication(df.sparkSession, path)
     read_once = known_unique and filled is not None
     with nullcontext() if read_once else persisted(df):
         if not known_unique:
@@ -227,11 +217,9 @@ def replace_days(df: DataFrame, path: str, days: Sequence[Day], keys: Sequence[s
         filled = set(affected_days(df) if filled is None else filled)
         if not filled <= set(days):
             raise ValueError(f"rows outside the days to replace: {sorted(filled - set(days))[:3]}")
-        if filled:
-            overwrite_partitions(df, path)
-    remove_days(spark, path, [d for d in days if d not in filled])
-    if table_exists(spark, path):
-        spark.catalog.refreshByPath(path)
+        (publication or mine).replace(df, path, remove=[f"year={y}/month={m}/day={d}" for y, m, d in days])
+    if mine:
+        mine.commit()
 
 
 def write_extract(df: DataFrame, root: str, layer: str, table: str, process_ts: int) -> str:
