@@ -68,6 +68,25 @@ def test_redaction(spark):
     assert got == ["write [EMAIL] or [PHONE], pay [CARD] from [IP], token: [SECRET]", None, "clean"]
 
 
+def test_redaction_replaces_the_spans_and_nothing_else(spark):
+    rng = random.Random(8)
+    parts = ["+49 30 1234567", "250 000 000", "a@b.co", "10.0.0.1", "4111 1111 1111 1111", "isbn 4111111111111111 12", "call 030 123 4567",
+             "ssn 123-45-6789", "DE89 3704 0044 0532 0130 00", "password=b7db7aa4a5fcc78305", "über", "😀", "serves", "serial", "\n"]
+    texts = ["+49 30 1234567 serves 250 000 000 users", "phone 4111111111111111 isbn 4111111111111111 12", "a@b.co" * 3]
+    texts += [" ".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(200)]
+    df = docs(spark, [(i, t, None) for i, t in enumerate(texts)])
+    spans = {r.doc_id: r.spans for r in pii.find_spans(df).collect()}
+    for r in df.select("doc_id", pii.redact(F.col("text")).alias("t")).collect():
+        text, want, at = texts[r.doc_id], "", 0
+        for s in spans[r.doc_id]:
+            if s.start >= at:
+                want += text[at:s.start] + f"[{s.kind.upper()}]"
+            at = max(at, s.end)
+        assert r.t == want + text[at:]
+    first = df.where("doc_id = 0").select(pii.redact(F.col("text")).alias("t")).head().t
+    assert first == "[PHONE] serves 250 000 000 users"
+
+
 def test_running_totals(spark):
     for n in (0, 1, 255, 256, 257, 1000):
         df = spark.range(1).select(F.array(*[F.lit(i % 7) for i in range(n)]).cast("array<bigint>").alias("x"))

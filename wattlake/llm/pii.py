@@ -181,16 +181,21 @@ def kind_spans(text: Column, kind: Kind, threshold: float = 0.5) -> Column:
     return F.when(text.rlike(kind.needs), spans).otherwise(none)
 
 
-def find_spans(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans): the spans of every text by start, then kind."""
-    by_kind = [kind_spans(F.col("text"), k, threshold) for k in KINDS]
+def spans_of(text: Column, threshold: float = 0.5) -> Column:
+    """The spans of a text by start, then kind."""
+    by_kind = [kind_spans(text, k, threshold) for k in KINDS]
     lone = [k.name for k in KINDS].index("lone_card")
     card = BASE.index("card")
     # A number that is a confirmed card already is not listed twice.
     by_kind[lone] = let(by_kind[card], lambda cards: F.filter(by_kind[lone], lambda s: ~F.exists(
         cards, lambda c: (c["start"] <= s["start"]) & (c["end"] >= s["end"]))))
-    return (texts_of(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-            .select("doc_id", F.array_sort(F.concat(*by_kind)).alias("spans")))
+    return F.array_sort(F.concat(*by_kind))
+
+
+def find_spans(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, spans): the spans of every text by start, then kind."""
+    text = F.coalesce("text", F.lit(""))
+    return texts_of(docs, id_col, text_col).withColumn("text", text).select("doc_id", spans_of(F.col("text"), threshold).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -209,24 +214,20 @@ def counted(spans: Column, kind: str) -> Column:
 
 # ---------------------------------------------------------------- redaction
 
-def redacted(text: Column, kind: Kind, threshold: float = 0.5) -> Column:
-    """``text`` with each confirmed span of one kind replaced by its name in brackets."""
-    def join(pieces: Column, found: Column) -> Column:
-        shown = lambda i: F.when(_kept(kind, F.get(found, i), F.get(pieces, i), F.get(pieces, i + 1), threshold),
-                                 F.lit(f"[{kind.name.upper()}]")).otherwise(F.get(found, i))
-        return F.array_join(F.transform(pieces, lambda p, i: F.when(
-            i < F.size(found), F.concat(p, shown(i))).otherwise(p)), "")
-
-    changed = let(F.split(text, kind.pattern, -1), lambda pieces: let(
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), lambda found: join(pieces, found)))
-    return F.when(text.rlike(kind.needs), changed).otherwise(text)
-
-
 def redact(text: Column, threshold: float = 0.5) -> Column:
-    """``text`` without personal data. Kinds are replaced one after the other, those that may hold others first."""
-    order = ("email", "iban", "card", "lone_card", "ip", "phone", "national_id", "local_phone", "access_key", "secret")
-    kinds = {k.name: k for k in KINDS}
-
-    def step(value: Column, rest: tuple[str, ...]) -> Column:
-        return let(redacted(value, kinds[rest[0]], threshold), lambda v: step(v, rest[1:])) if rest else value
-    return step(text, order)
+    """``text`` with each confirmed span replaced by its kind in brackets. All spans are found in the text as it is, so no mark
+    raises or lowers what stands beside it. Of spans that overlap, the first names the whole stretch. A null stays null."""
+    empty = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).cast("bigint").alias("at"))
+
+    def after(done: Column, span: Column) -> Column:
+        between = F.substr(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        mark = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        return F.when(span["start"] >= done["at"],
+                      F.struct(F.concat(done["parts"], F.array(between, mark)).alias("parts"), span["end"].alias("at"))
+                      ).otherwise(F.struct(done["parts"].alias("parts"), F.greatest(done["at"], span["end"]).alias("at")))
+
+    def joined(done: Column) -> Column:
+        return F.concat(F.array_join(done["parts"], ""), F.substr(text, (done["at"] + 1).cast("int")))
+
+    return let(spans_of(text, threshold), lambda spans: F.when(
+        F.size(spans) > 0, F.aggregate(spans, empty, after, joined)).otherwise(text))
