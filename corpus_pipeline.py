@@ -3,6 +3,11 @@
 ``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir) and gives the documents that the
 next one gets, the last one the packed pieces. ``run`` stores the result of each stage in the shared folder.
 SQL can express neither the trained classifier nor the tokenizer, so the stages are tested against brute force.
+
+Defined cases, for all stages: a null text and an empty one have no letters, so the first stage drops them; later stages, on
+their own, take them as empty. Texts of any length are read whole. Repeated rows and ids are rows of their own, of which near_dedup
+keeps one per group, with the smallest id; a null id comes last. No rows give no rows. Further columns pass through all stages but
+the last, whatever their names; ``n_chars`` is brought up to date where it is there.
 """
 
 from __future__ import annotations
@@ -29,9 +34,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced in their texts, and ``n_chars`` that fit the new texts."""
-    clean = pii.redact(F.col("text"))
-    return docs.withColumn("text", clean).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """The documents with personal data replaced in their texts, and ``n_chars``, if there, that fits the new texts."""
+    clean = docs.withColumn("text", pii.redact(F.col("text")))
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
