@@ -109,3 +109,14 @@ def test_rejection_bound_follows_the_held_back_texts():
     some = np.linspace(0, 0.1, 1000)
     assert 0.1 <= langid._rejection(some, 0.001) <= langid._rejection(some * 2, 0.001)
     assert langid.least_unknown(np.array([1, 6]), np.array([12, 6])).tolist() == pytest.approx([-0.156, 1], abs=0.001)
+
+
+def test_the_sample_is_bounded_in_bytes(spark):
+    rows = [(i, f"{'abc' if i % 2 else 'xyz'} " * 100, "aa" if i % 2 else "bb") for i in range(60)]
+    df = docs(spark, rows)
+    whole, few = langid.train(df, steps=50), langid.train(df, steps=50, sample_bytes=10 * 8 * 3 * 400)
+    assert whole.languages == few.languages == ("aa", "bb")
+    sampled = langid.sample(df, 60, "doc_id", "text", "lang")
+    assert langid._within_bytes(sampled, 60, 1 << 17, 10 * 8 * 3 * 400) == 10
+    assert langid._within_bytes(sampled, 60, 1 << 17, 1) == 1 and langid._within_bytes(sampled, 60, 1 << 17, 1 << 40) == 60
+    assert langid.train(docs(spark, []), steps=5).languages == ()

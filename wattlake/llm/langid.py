@@ -15,7 +15,8 @@ Mean and softmax are linear, so prediction needs only one row of summed weights
 integers, which makes a score the same in whatever batch or piece a text is read.
 
 Defined cases: a null text and one without any letter get ``und`` with score 0 and are rejected. Null languages
-are not learned. Without any labelled row every text is ``und``. A row with null id is predicted, never learned
+are not learned. Languages with one sum are ordered by name, the first is given. Without any labelled row every text is
+``und``. Only the named columns are read, whatever the others are called. A row with null id is predicted, never learned
 from. Every row of ``docs`` gives one row, repeats included; texts of any length are read whole.
 """
 
@@ -149,13 +150,25 @@ def _counted(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.select("doc_id", "lang", "text").mapInArrow(run, f"doc_id {kind}, lang string, at binary, n binary")
 
 
+def _within_bytes(rows: DataFrame, most: int, buckets: int, bound: int) -> int:
+    """How many of the first ``most`` rows take no more than ``bound`` bytes as bucket counts; one at least. A text of n
+    characters has at most three subwords for each, and eight bytes are sent for each bucket met."""
+    size = 8 * F.least(F.lit(buckets), 3 * F.length(F.coalesce("text", F.lit("")))).cast("bigint")
+    sizes = [r.size for r in rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", size.alias("size"))
+             .orderBy("h", "doc_id", "size").limit(most).collect()]
+    return max(1, int(np.searchsorted(np.cumsum(sizes), bound, side="right")))
+
+
 def train(docs: DataFrame, sample_rows: int = 4096, buckets: int = 1 << 17, dim: int = 16, steps: int = 4000,
           rate: float = 1.0, reject_share: float = 0.001, seed: int = 7, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on at most ``sample_rows`` rows. Only these reach the driver, as bucket counts (at most ``buckets`` each).
+          text_col: str = "text", lang_col: str = "lang", sample_bytes: int = 1 << 29) -> Model:
+    """Fit on at most ``sample_rows`` rows. Only these reach the driver, as bucket counts (at most ``buckets`` each), and of
+    them only the first, in the order of hashed ids, that surely fit ``sample_bytes``; each is taken whole.
 
     About ``reject_share`` of new texts in learned languages would be rejected, judged by those held back for calibration."""
-    rows = _counted(sample(docs, sample_rows, id_col, text_col, lang_col), buckets)
+    sampled = sample(docs, sample_rows, id_col, text_col, lang_col)
+    sample_rows = _within_bytes(sampled, sample_rows, buckets, sample_bytes)
+    rows = _counted(sampled, buckets)
     got = (rows.where(F.length("at") > 0).orderBy(F.xxhash64("doc_id"), "doc_id", "lang", F.xxhash64("at", "n"))
            .limit(sample_rows).select("lang", "at", "n").collect())
     languages = tuple(sorted({r.lang for r in got}))
