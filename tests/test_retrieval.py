@@ -48,7 +48,10 @@ def test_broadcast_and_block_search_are_exact(spark, matrices):
     q, i = vectors(spark, queries, "query_id"), vectors(spark, items, "item_id").repartition(5)
     want = brute_force(queries, items, 5)
     assert result(retrieval.top_k(q, i, 5)) == want
-    assert result(retrieval.top_k(q, i, 5, max_broadcast_bytes=0, rows_per_block=3)) == want
+    for most in (0, 64, 200):
+        assert result(retrieval.top_k(q, i, 5, max_broadcast_bytes=most)) == want
+    sliced = retrieval.top_k(q, i, 5, max_broadcast_bytes=64)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in sliced and "CoGroup" not in sliced and sliced.count("MapInPandas") == 4  # no item is moved
     assert len(result(retrieval.top_k(q, i, 500))) == 4 * len(items)
     assert result(retrieval.top_k(q.limit(0), i, 5)) == {}
     assert result(retrieval.top_k(q, i.limit(0), 5)) == {}
@@ -65,6 +68,47 @@ def test_cells_are_exact_and_skip_items(spark, matrices):
     assert result(retrieval.top_k_in_cells(q, stored, centres, 150)) == brute_force(queries, items, 150)
 
 
+def rows_read(spark, df):
+    """Rows that the scans of a plan gave, once it has run."""
+    found = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            found.append(int(node.metrics().apply("numOutputRows").value()))
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "InMemoryTableScanExec":
+            return walk(node.relation().cachedPlan())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_stored_cells_are_exact_and_read_less(spark, matrices, tmp_path):
+    queries, items = matrices
+    q = vectors(spark, queries, "query_id")
+    retrieval.write_cells(vectors(spark, items, "item_id").repartition(3), str(tmp_path / "index"), 12)
+    stored, centres = retrieval.read_cells(spark, str(tmp_path / "index"))
+    assert centres.agg(F.sum("n")).first()[0] == len(items)
+    for most in (1, 200, 1 << 20):  # one slice, or a slice for each query
+        assert result(retrieval.top_k_in_cells(q, stored, centres, 5, most)) == brute_force(queries, items, 5)
+    assert result(retrieval.top_k_in_cells(q, stored, centres, 150)) == brute_force(queries, items, 150)
+    one = q.where("query_id = 0")
+    hits = retrieval.top_k_in_cells(one, stored, centres, 5)
+    hits.collect()
+    plain = retrieval.top_k(one, stored.select("item_id", "embedding"), 5)
+    plain.collect()
+    assert rows_read(spark, plain) == len(items)
+    assert 0 < rows_read(spark, hits) < len(items) / 2
+    assert result(retrieval.top_k_in_cells(q.limit(0), stored, centres, 5)) == {}
+
+
 def test_hashed_embedding(spark):
     texts = ["Wind and wind", "", None, "été_été 12"]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")

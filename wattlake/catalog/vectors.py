@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wattlake.catalog import fixtures as fx
 from wattlake.catalog.registry import query
 from wattlake.operators import chunks, retrieval
+from wattlake.session import scratch_path
 
 # ---------------------------------------------------------------- ready vectors
 
@@ -55,18 +56,17 @@ def topk_cosine(spark, sf_dir):
 
 @query(f"WITH {_CENTRES_SQL}, {_ranked_sql()} {_HITS_SQL}")
 def topk_blocks(spark, sf_dir):
-    """The same when the queries are too many to be sent to every task."""
+    """The same when the queries are too many to be sent to every task: in slices, here of four, over items left in place."""
     items = _items(spark, sf_dir)
-    return retrieval.top_k(_centres(items), items, max_broadcast_bytes=0, rows_per_block=64)
+    return retrieval.top_k(_centres(items), items, max_broadcast_bytes=4 * 64 * 8)
 
 
 @query(f"WITH {_CENTRES_SQL}, {_ranked_sql()} {_HITS_SQL}")
 def topk_cells(spark, sf_dir):
-    """The same through a coarse index that rules out cells which cannot hold a better hit."""
-    items = _items(spark, sf_dir).drop("label")
-    centres = retrieval.pick_centres(items, 16)
-    stored = retrieval.assign_cells(items, centres)
-    return retrieval.top_k_in_cells(_centres(_items(spark, sf_dir)), stored, centres)
+    """The same through a stored coarse index that rules out cells which cannot hold a better hit."""
+    path = scratch_path(spark, "cells")
+    retrieval.write_cells(_items(spark, sf_dir).drop("label"), path, 16)
+    return retrieval.top_k_in_cells(_centres(_items(spark, sf_dir)), *retrieval.read_cells(spark, path))
 
 
 @query(f"""WITH {_CENTRES_SQL}, {_ranked_sql('(SELECT * FROM embeddings WHERE label IN (1, 3, 5, 7, 9)) ')} {_HITS_SQL}""")

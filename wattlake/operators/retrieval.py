@@ -2,7 +2,8 @@
 
 Nearest neighbours are searched block by block: every task multiplies a batch of stored vectors
 with the query vectors and passes on its best ``k`` per query only, so the shuffle carries
-``k * queries`` rows per task and never a row per pair.
+``k * queries`` rows per task and never a row per pair. Queries beyond a size go in slices, each of which
+passes over the items once; items are never copied or moved.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,10 +21,9 @@ from pyspark.sql import types as T
 
 DIMENSIONS = 256
 K, RERANKED = 5, 3
-# Queries up to this size go to every task; beyond it both sides are cut into blocks.
+# Queries of this size go to every task at once; more go in slices.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-ROWS_PER_BLOCK = 4096
-QUERIES_PER_SLICE = 512
+QUERIES_PER_SLICE = 512  # of a score matrix
 # Hits up to this number are sent to the items instead of shuffling the items to the hits.
 MAX_BROADCAST_HITS = 1_000_000
 _SCORE_DIGITS = 9  # scores are rounded before ranking, so that equal vectors tie exactly
@@ -128,13 +129,16 @@ def _search_batches(query_ids: np.ndarray, query_matrix: np.ndarray, k: int,
     return search
 
 
-def _search_pairs(k: int):
-    def search(items: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if items.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        return _best(queries["query_id"].to_numpy(), _unit_rows(queries["embedding"]),
-                     items["item_id"].to_numpy(), _unit_rows(items["embedding"]), k)
-    return search
+def _slices(queries: DataFrame, max_bytes: int, per_query: int = 0) -> Iterator[pd.DataFrame]:
+    """``query_id, embedding`` of all queries in local frames of about ``max_bytes``, dealt by the hash of their ids;
+    ``per_query`` are bytes that each needs besides its vector."""
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("numbers")).first()
+    slices = max(1, -(-(size.numbers * 8 + size.n * per_query) // max(1, max_bytes)))
+    slices = min(slices, max(1, size.n))
+    for i in range(slices):
+        local = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i).toPandas() if slices > 1 else queries.toPandas()
+        if len(local):
+            yield local
 
 
 def rank_within(df: DataFrame, by: str, *order: Column, k: int | None = None) -> DataFrame:
@@ -143,8 +147,7 @@ def rank_within(df: DataFrame, by: str, *order: Column, k: int | None = None) ->
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
-def top_k(queries: DataFrame, items: DataFrame, k: int = K,
-          max_broadcast_bytes: int = MAX_BROADCAST_BYTES, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def top_k(queries: DataFrame, items: DataFrame, k: int = K, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """The ``k`` items most similar to each query by cosine, ties by item id. Exact.
 
     ``queries`` has ``query_id, embedding``; ``items`` has ``item_id, embedding``. Columns of the
@@ -153,38 +156,15 @@ def top_k(queries: DataFrame, items: DataFrame, k: int = K,
     queries = queries.select("query_id", "embedding")
     items = items.select("item_id", "embedding")
     schema = _PARTIAL.format(q=dict(queries.dtypes)["query_id"], i=dict(items.dtypes)["item_id"])
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("numbers")
-    ).first()
-    if size.numbers * 8 <= max_broadcast_bytes:
-        local = queries.toPandas()
-        if local.empty:
-            partial = queries.sparkSession.createDataFrame([], schema)
-        else:
-            partial = items.mapInPandas(
-                _search_batches(local["query_id"].to_numpy(), _unit_rows(local["embedding"]), k), schema)
-    else:
-        partial = _block_search(queries, items, k, size.n, rows_per_block, schema)
-    return rank_within(partial, "query_id", F.desc("score"), F.asc("item_id"), k=k)
-
+    found = [items.mapInPandas(_search_batches(local["query_id"].to_numpy(), _unit_rows(local["embedding"]), k), schema)
+             for local in _slices(queries, max_broadcast_bytes)]
+    return _ranked_hits(found, items.sparkSession, schema, k)
 
-def _block_search(queries: DataFrame, items: DataFrame, k: int, n_queries: int, rows_per_block: int,
-                  schema: str) -> DataFrame:
-    """Search with queries of any number: hashed blocks of both sides meet in one task per pair of blocks.
 
-    Block sizes follow from counts and hashes of unique ids, so no block grows with a hot key.
-    """
-    query_blocks = max(1, -(-n_queries // rows_per_block))
-    item_blocks = max(1, -(-items.count() // rows_per_block))
-    left = items.select(
-        "item_id", "embedding", F.pmod(F.xxhash64("item_id"), F.lit(item_blocks)).alias("ib"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"),
-    )
-    right = queries.select(
-        "query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(item_blocks - 1).cast("long"))).alias("ib"),
-    )
-    return left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInPandas(_search_pairs(k), schema)
+def _ranked_hits(found: list[DataFrame], spark, schema: str, k: int) -> DataFrame:
+    """The best of the hits of several passes."""
+    partial = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+    return rank_within(partial, "query_id", F.desc("score"), F.asc("item_id"), k=k)
 
 
 # ---------------------------------------------------------------- coarse cells
@@ -196,10 +176,7 @@ def pick_centres(items: DataFrame, n: int) -> DataFrame:
 
 
 def assign_cells(items: DataFrame, centres: DataFrame) -> DataFrame:
-    """Adds ``cell``, the nearest centre, and ``angle``, the angle to it.
-
-    Store the result partitioned by ``cell`` and searches skip the folders of cells they can rule out.
-    """
+    """Adds ``cell``, the nearest centre, and ``angle``, the angle to it."""
     local = centres.select("cell", "embedding").orderBy("cell").toPandas()
     ids, matrix = local["cell"].to_numpy(), _unit_rows(local["embedding"])
 
@@ -213,43 +190,79 @@ def assign_cells(items: DataFrame, centres: DataFrame) -> DataFrame:
     return near.select(*items.columns, "__near.cell", "__near.angle")
 
 
+def write_cells(items: DataFrame, path: str, n_cells: int) -> None:
+    """Store items as an inverted file: a folder for each of ``n_cells`` cells, dealt over many files where a cell is large,
+    with its items in the order of their angles; beside it the centres, each with its cell's size and widest angle."""
+    spark = items.sparkSession
+    centres = pick_centres(items, n_cells)
+    assigned = assign_cells(items, centres).hint("rebalance", "cell")
+    assigned.sortWithinPartitions("cell", "angle").write.partitionBy("cell").parquet(f"{path}/items")
+    sizes = _cell_sizes(spark.read.parquet(f"{path}/items"))
+    centres.join(sizes, "cell").write.parquet(f"{path}/centres")
+
+
+def read_cells(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(items, centres) of a stored index."""
+    items = spark.read.parquet(f"{path}/items").withColumn("cell", F.col("cell").cast("long"))
+    return items, spark.read.parquet(f"{path}/centres")
+
+
+def _cell_sizes(items: DataFrame) -> DataFrame:
+    return items.groupBy(F.col("cell").cast("long").alias("cell")).agg(F.max("angle").alias("widest"), F.count(F.lit(1)).alias("n"))
+
+
 def top_k_in_cells(queries: DataFrame, items: DataFrame, centres: DataFrame, k: int = K,
                    max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``top_k`` over items with cells, with the same exact result.
+    """``top_k`` over items with cells, with the same exact result, by folders where the cells are folders.
 
-    A first pass over each query's nearest cell gives a score its k-th hit must reach. No item of a
-    cell can come closer than the angle to the centre minus the cell's widest angle, so the second
-    pass reads only cells that may still hold a better one.
+    A first pass over each query's nearest cells, as many as hold ``k`` items, gives a score its k-th hit must reach. No item
+    of a cell can come closer than the angle to the centre minus the cell's widest angle, nor, by its own angle, than the
+    difference of the two; so a second pass opens only cells that may still hold a better one, and there skips the
+    items whose angles rule them out. Queries go in slices, so that neither they nor their angles to all centres outgrow the
+    driver. ``centres`` are few by their parameter; without ``widest`` and ``n`` these are counted first.
     """
-    size = queries.agg(F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("numbers")).first()
-    if size.numbers * 8 > max_broadcast_bytes:
-        return top_k(queries, items, k, max_broadcast_bytes)
-    local = queries.select("query_id", "embedding").toPandas()
-    cells = centres.select("cell", "embedding").orderBy("cell").toPandas()
-    if local.empty or cells.empty:
-        return top_k(queries, items, k, max_broadcast_bytes)
+    if "widest" not in centres.columns:
+        centres = centres.join(_cell_sizes(items), "cell")
+    cells = centres.select("cell", "embedding", "widest", "n").orderBy("cell").toPandas()
+    schema = _PARTIAL.format(q=dict(queries.dtypes)["query_id"], i=dict(items.dtypes)["item_id"])
+    items, found = items.select("item_id", "embedding", "cell", "angle"), []
+    if len(cells):
+        for local in _slices(queries.select("query_id", "embedding"), max_broadcast_bytes, per_query=16 * len(cells)):
+            found += _search_cells(local, items, cells, k, schema)
+    return _ranked_hits(found, items.sparkSession, schema, k)
+
+
+def _search_cells(local: pd.DataFrame, items: DataFrame, cells: pd.DataFrame, k: int, schema: str) -> list[DataFrame]:
+    """The hits of one slice of queries, in two passes over different cells."""
     query_ids, query_matrix = local["query_id"].to_numpy(), _unit_rows(local["embedding"])
-    cell_ids = cells["cell"].to_numpy()
+    cell_ids, radius = cells["cell"].to_numpy(), cells["widest"].to_numpy()
     angles = np.arccos(np.clip(query_matrix @ _unit_rows(cells["embedding"]).T, -1, 1))
-    items = items.select("item_id", "embedding", "cell", "angle")
-    schema = _PARTIAL.format(q=dict(queries.dtypes)["query_id"], i=dict(items.dtypes)["item_id"])
 
-    def search(may_hold: np.ndarray) -> DataFrame:
-        """Hits among the items of cells that ``may_hold`` (queries x cells) allows."""
+    def search(may_hold: np.ndarray, reach: np.ndarray) -> DataFrame:
+        """Hits among the items of cells that ``may_hold`` (queries x cells) allows, within an angle ``reach`` of a query."""
         by_cell = {int(c): np.nonzero(may_hold[:, j])[0] for j, c in enumerate(cell_ids)}
         wanted = [c for c, q in by_cell.items() if len(q)]
-        partial = items.where(F.col("cell").isin(wanted)).select("item_id", "embedding", "cell").mapInPandas(
-            _search_batches(query_ids, query_matrix, k, by_cell), schema)
-        return rank_within(partial, "query_id", F.desc("score"), F.asc("item_id"), k=k)
-
-    nearest = angles == angles.min(axis=1, keepdims=True)
-    reached = search(nearest).where(F.col("rank") == k).select("query_id", "score").toPandas()
+        rows = items.where(F.col("cell").isin(wanted))
+        rings = [(c, float((angles[q, j] - reach[q]).min()), float((angles[q, j] + reach[q]).max()))
+                 for j, (c, q) in enumerate(by_cell.items()) if len(q)]
+        lowest, highest = min((r[1] for r in rings), default=0.0), max((r[2] for r in rings), default=0.0)
+        rows = rows.where((F.col("angle") >= lowest) & (F.col("angle") <= highest))  # read from the files' statistics
+        return rows.select("item_id", "embedding", "cell").mapInPandas(_search_batches(query_ids, query_matrix, k, by_cell), schema)
+
+    order = np.argsort(angles, axis=1, kind="stable")
+    before = np.cumsum(cells["n"].to_numpy()[order], axis=1) - cells["n"].to_numpy()[order]
+    nearest = np.zeros(angles.shape, bool)
+    np.put_along_axis(nearest, order, before < k, axis=1)
+    everywhere = np.full(len(query_ids), np.pi + 1)
+    first = search(nearest, everywhere)
+    ranked = rank_within(first, "query_id", F.desc("score"), F.asc("item_id"), k=k).persist()
+    reached = ranked.where(F.col("rank") == k).select("query_id", "score").toPandas()
     reached = dict(zip(reached["query_id"], reached["score"], strict=True))
     must_reach = np.array([reached.get(q, -1.0) for q in query_ids])
-    widest = {r.cell: r.widest for r in items.groupBy("cell").agg(F.max("angle").alias("widest")).collect()}
-    radius = np.array([widest.get(int(c), 0.0) for c in cell_ids])
     best_possible = np.cos(np.clip(angles - radius[None, :], 0, np.pi))
-    return search(best_possible >= must_reach[:, None] - 1e-6)
+    left = ~nearest & (best_possible >= must_reach[:, None] - 1e-6)
+    hits = [ranked.drop("rank")]
+    return hits + [search(left, np.arccos(np.clip(must_reach - 1e-6, -1, 1)))] if left.any() else hits
 
 
 # ---------------------------------------------------------------- after retrieval
