@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from wattlake.catalog import fixtures as fx
 from wattlake.catalog.registry import query
-from wattlake.operators import chunks, cleaning, index
+from wattlake.operators import chunks, cleaning, index, retrieval
+from wattlake.operators.vector_store import VectorStore
 from wattlake.session import scratch_path
+from wattlake.sources import tables
 from wattlake.sources.documents import read_documents
 
 MIN_DOCS, MIN_SHARE = 2, 0.005
@@ -182,3 +184,36 @@ def index_snapshot(spark, sf_dir):
         for i in (1, 2)
     ]
     return parts[0].unionByName(parts[1])
+
+
+# After the first indexing a third of the documents get a sentence more, a tenth go, and copies of others come.
+_LATER = """(SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN text || ' One more sentence.' ELSE text END AS text
+  FROM documents WHERE doc_id % 10 <> 4
+  UNION ALL SELECT doc_id + 1000000000, text FROM documents WHERE doc_id % 10 = 4)"""
+
+
+def _hashes_sql(rows: str) -> str:
+    return f"""(SELECT doc_id, doc_id || '-' || i AS item_id, sha256(substr(text, 1 + i * 800, 1000)) AS hash FROM (
+    SELECT doc_id, text, unnest(generate_series(0, greatest(ceil((length(text) - 200) / 800.0), 1)::BIGINT - 1)) AS i FROM {rows}))"""
+
+
+@query(f"""WITH a AS {_hashes_sql('documents')}, b AS {_hashes_sql(_LATER)}
+SELECT 1 AS step, count(*) AS n_items, count(DISTINCT hash) AS n_hashes, count(DISTINCT hash) AS n_embedded FROM a
+UNION ALL SELECT 2, count(*), count(DISTINCT hash),
+  count(DISTINCT CASE WHEN hash NOT IN (SELECT hash FROM a) THEN hash END) FROM b
+UNION ALL SELECT 3, count(*), count(DISTINCT hash), 0 FROM a""")
+def index_reembed(spark, sf_dir):
+    """A vector index of all documents, brought up to date with changed ones and then set back: how many chunks it holds
+    and how many texts were embedded at each step."""
+    docs = fx.documents(spark, sf_dir).select("doc_id", "text")
+    longer = F.when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit(" One more sentence."))).otherwise(F.col("text"))
+    tenth = F.col("doc_id") % 10 == 4
+    later = docs.where(~tenth).select("doc_id", longer.alias("text")).unionByName(
+        docs.where(tenth).withColumn("doc_id", F.col("doc_id") + 1_000_000_000))
+    store = VectorStore(spark, scratch_path(spark, "vectors"), chunks.chunk_fixed, retrieval.embed)
+    steps = [store.update(docs), store.update(later)]
+    steps.append(store.restore(steps[0]))
+    return tables.union_all([
+        store.items(n).agg(F.lit(i).alias("step"), F.count(F.lit(1)).alias("n_items"), F.count_distinct("hash").alias("n_hashes"),
+                           F.lit(store.manifest(n)["embedded"]).cast("bigint").alias("n_embedded"))
+        for i, n in enumerate(steps, 1)])
