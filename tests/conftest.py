@@ -18,8 +18,6 @@ def spark(tmp_path_factory):
         spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
-        spark__sql__streaming__stateStore__providerClass=(
-            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

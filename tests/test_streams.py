@@ -87,3 +87,28 @@ def test_late_rows_count_until_the_day_is_closed(spark, tmp_path):
     assert deliver(("FR", "2024-01-01 10:00:00", 1.0), ("FR", "2024-01-01 23:00:00", 2.0)) == set()
     assert deliver(("FR", "2024-01-02 03:00:00", 4.0), ("FR", "2024-01-01 10:30:00", 8.0)) == set()
     assert deliver(("FR", "2024-01-02 07:00:00", 16.0)) == {("2024-01-01", 11.0, 2)}
+
+
+def test_latest_rows_of_a_stream_in_any_order(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    batches = [
+        [("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-01 12:00:00", 2), ("a", "2024-01-01 09:00:00", 3), ("n", None, 9)],
+        [("a", "2024-01-01 08:00:00", 4), ("b", "2024-01-01 12:00:00", 1), ("c", "2024-01-01 11:30:00", 5), ("b", "2024-01-01 13:00:00", None)],
+        [("z", "2024-03-01 00:00:00", 7)], [("z", "2024-03-01 01:00:00", 8)]]
+    states, given = [], []
+
+    def write(batch, batch_id):
+        given.append(sorted((r.k, str(r.at), r.v) for r in batch.collect()))
+
+    for rows in batches:
+        df = spark.createDataFrame([(k, t, v) for k, t, v in rows], "k string, at string, v int")
+        df.withColumn("at", F.col("at").cast("timestamp")).write.mode("append").parquet(source)
+        latest = jobs.latest_rows(jobs.stream_files(spark, source, spark.read.parquet(source).schema), ["k"], "at", ["at", "v"], "1 hours")
+        with jobs.state_on_disk(spark):
+            query = jobs.run_available(latest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
+        states.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1])
+    rows = [r for batch in given for r in batch]
+    assert rows[:2] == [("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-01 12:00:00", 2)]
+    assert sorted(rows[2:4]) == [("b", "2024-01-01 13:00:00", None), ("c", "2024-01-01 11:30:00", 5)]
+    assert rows[4:] == [("z", "2024-03-01 00:00:00", 7), ("z", "2024-03-01 01:00:00", 8)]
+    assert max(states[:2]) > states[-1]  # the keys of January are forgotten

@@ -80,6 +80,21 @@ def missing_hours(spark, sf_dir):
         F.lit("2024-01-01 00:00:00").cast("timestamp"), F.lit("2024-01-30 23:00:00").cast("timestamp"))
 
 
+@query(f"""WITH {fx.READINGS_SQL}, zones AS (SELECT DISTINCT zone FROM readings UNION ALL SELECT 'nation ' || n_nationkey FROM nation),
+missing AS (SELECT zone, hour FROM zones, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00',
+    INTERVAL 1 HOUR)) AS hour) WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.zone = zones.zone AND r.datetime = hour)),
+islands AS (SELECT zone, hour, hour - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY zone ORDER BY hour) AS island FROM missing)
+SELECT zone, {fx.time_sql('min(hour)')} AS gap_start, {fx.time_sql('max(hour)')} AS gap_end, count(*) AS n_hours
+FROM islands GROUP BY zone, island""")
+def missing_intervals(spark, sf_dir):
+    """Stretches of hours without a reading, over zones that have readings and others that never had one."""
+    readings = fx.readings(spark, sf_dir)
+    others = fx.table(spark, sf_dir, "nation").select(F.concat(F.lit("nation "), F.col("n_nationkey")).alias("zone"))
+    return products.missing_intervals(
+        readings, readings.select("zone").distinct().unionByName(others),
+        F.lit("2024-01-01 00:00:00").cast("timestamp"), F.lit("2024-01-30 23:00:00").cast("timestamp"))
+
+
 @query(f"""WITH {fx.READINGS_SQL}
 SELECT zone, {fx.ZONE_NAME_SQL.format('zone')} AS zone_name, count(*) AS n_rows FROM readings GROUP BY 1, 2""")
 def zone_name_lookup(spark, sf_dir):

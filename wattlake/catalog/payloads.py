@@ -15,9 +15,11 @@ from wattlake.catalog import fixtures as fx
 from wattlake.catalog.registry import query
 from wattlake.operators.flatten import bad_rows, flatten_flows, flatten_mix, good_rows
 from wattlake.operators.keys import latest_by_key
-from wattlake.schemas import MIX_KEYS, SOURCES
+from wattlake.plans.jobs import Lake, ingest_bronze
+from wattlake.schemas import BRONZE, MIX_KEYS, SOURCES
 from wattlake.session import scratch_path
 from wattlake.sources import tables
+from wattlake.sources.files import list_folders, list_names, move
 from wattlake.sources.landing import envelope, read_payloads
 
 PAGE = 120
@@ -89,9 +91,9 @@ def _stamped(documents):
 # ---------------------------------------------------------------- landing
 
 def _landed(spark, sf_dir):
-    """Mix documents written as lines of text files, read back and put into envelopes."""
+    """Mix documents written as lines of text files, in a folder for the zone asked for, read back and put into envelopes."""
     path = scratch_path(spark, "landing")
-    mix_documents(spark, sf_dir).select("raw_json").write.text(path)
+    mix_documents(spark, sf_dir).select("zone", "raw_json").write.partitionBy("zone").text(path)
     start, end = (F.lit(t).cast("timestamp") for t in ("2024-01-01 00:00:00", "2024-01-31 00:00:00"))
     return envelope(
         read_payloads(spark, path, one_per_line=True), process_ts=7, ingested_at=end + F.expr("INTERVAL 90 MINUTES"),
@@ -107,18 +109,35 @@ SELECT 7::BIGINT AS process_ts, zone, 'https://api.example.org/v4/electricity-mi
 FROM page GROUP BY zone""")
 def bronze_envelope(spark, sf_dir):
     """Landed documents with lineage columns; a document that cannot be read has no records."""
-    bronze = _landed(spark, sf_dir)
-    # the zone of a cut-off document is still at its start
-    zone = F.regexp_extract("raw_json", r'^\{"zone":"([^"]+)"', 1)
-    return bronze.withColumn("zone", zone).withColumn(
-        "source_url", F.when(F.col("source_url").isNotNull(), F.col("source_url")).otherwise(
-            F.concat(F.lit("https://api.example.org/v4/electricity-mix/past-range?zone="), F.col("zone"),
-                     F.lit("&start=2024-01-01T00:00:00+00:00&end=2024-01-31T00:00:00+00:00")))
-    ).groupBy(
+    return _landed(spark, sf_dir).groupBy(
         "process_ts", "zone", "source_url", "ingestion_timestamp", "range_start", "range_end", "year", "month", "day"
     ).agg(F.count(F.lit(1)).alias("n_documents"), F.sum("record_count").alias("n_records"))
 
 
+@query(f"""WITH {fx.READINGS_SQL}, {_EVENTS_SQL}
+SELECT (1 + page % 2)::BIGINT AS process_ts, count(*) AS n_documents, sum(CASE WHEN cut_off THEN 0 ELSE n END)::BIGINT AS n_records,
+  count(DISTINCT zone) AS n_zones FROM page GROUP BY 1""")
+def landing_twice(spark, sf_dir):
+    """A landing folder with a file for each document, half of them there for the first run and half for the second, some with
+    names that look like patterns; a third run finds nothing new."""
+    lake, path = Lake(spark, scratch_path(spark, "lake")), scratch_path(spark, "files")
+    documents = mix_documents(spark, sf_dir)
+    none = spark.createDataFrame([], "raw_json string")
+    for run in (1, 2, 3):
+        if run < 3:
+            documents.where(F.col("page") % 2 == run - 1).select("zone", "page", "raw_json").write.partitionBy("zone", "page").text(
+                f"{path}/run={run}")
+            for i, zone in enumerate(list_folders(spark, f"{path}/run={run}", 2)[:4]):
+                folder = f"{path}/run={run}/{zone}"
+                name = next(n for n in list_names(spark, folder) if n[0] not in "._")
+                move(spark, f"{folder}/{name}", f"{folder}/{['a[1].json', 'b{2,3}.json', 'c*.json', 'd?x.json'][i]}")
+        ingest_bronze(lake, path, none, run)
+    rows = tables.read_table(spark, lake.path("bronze", "electricity_mix"), BRONZE)
+    zone = F.regexp_extract("raw_json", r'^\{"zone":"([^"]+)"', 1)
+    return rows.groupBy("process_ts").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum("record_count").alias("n_records"), F.count_distinct(zone).alias("n_zones"))
+
+
 # ---------------------------------------------------------------- flatten
 
 _SOURCE_COLUMNS = ", ".join(f"CASE WHEN source = '{s}' THEN {_MIX_ROWS} END AS {s}_mw" for s in SOURCES)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.catalog import fixtures as fx
-from wattlake.catalog.lake import _SILVER_MIX
-from wattlake.catalog.payloads import _EVENTS_SQL, mix_documents
+from wattlake.catalog.lake import _SILVER_FLOWS, _SILVER_MIX
+from wattlake.catalog.payloads import _EVENTS_SQL, flow_documents, mix_documents
 from wattlake.catalog.registry import query
 from wattlake.plans.jobs import Lake
-from wattlake.schemas import BRONZE, SILVER_MIX
+from wattlake.schemas import BRONZE, SILVER_FLOWS, SILVER_MIX
 from wattlake.session import scratch_path
 from wattlake.sources import tables
 from wattlake.streaming import jobs
@@ -60,6 +60,33 @@ def stream_silver_upsert(spark, sf_dir):
     return tables.read_table(spark, path, SILVER_MIX, ["zone", "datetime", "updated_at", "flow_exports_mw"])
 
 
+@query(f"""WITH {_SILVER_FLOWS}
+SELECT zone, {fx.time_sql('datetime')} AS datetime, neighbor_zone, direction, round(power_mw, 6) AS power_mw FROM good""")
+def stream_flows_upsert(spark, sf_dir):
+    """The stream of exchanges to their silver table."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    bronze = _stream_bronze(spark, flow_documents(spark, sf_dir), lake, "flows")
+    path = lake.path("silver", "electricity_flows")
+    jobs.stream_silver(
+        jobs.stream_files(spark, bronze, BRONZE, files_per_batch=2), "flows", path,
+        lake.path("silver", "silver_flows_bad_data"), f"{lake.root}/checkpoints/silver")
+    return tables.read_table(spark, path, SILVER_FLOWS, ["zone", "datetime", "neighbor_zone", "direction", "power_mw"])
+
+
+@query(f"""WITH {fx.READINGS_SQL}
+SELECT zone, {fx.time_sql('datetime')} AS datetime, {fx.time_sql('updated_at')} AS updated_at, event_id, source, round(mw, 6) AS mw
+FROM readings QUALIFY row_number() OVER (PARTITION BY zone, datetime ORDER BY updated_at DESC, event_id DESC) = 1""")
+def stream_latest(spark, sf_dir):
+    """The latest reading of every zone and hour, from a stream in which readings come in any order."""
+    source, out = scratch_path(spark, "readings"), scratch_path(spark, "latest")
+    rows = fx.readings(spark, sf_dir).select("zone", "datetime", "updated_at", "event_id", "source", "mw")
+    rows.repartition(6, F.xxhash64("event_id")).write.parquet(source)
+    stream = jobs.stream_files(spark, source, rows.schema, files_per_batch=_thirds(spark, source))
+    latest = jobs.latest_rows(stream, ["zone", "datetime"], "updated_at", ["updated_at", "event_id"], "60 days")
+    jobs.keep_current(latest, out, scratch_path(spark, "checkpoint"), ["zone", "datetime"], "datetime")
+    return spark.read.parquet(out).select(*rows.columns)
+
+
 @query(f"""WITH {fx.READINGS_SQL}
 SELECT zone, source, count(*) AS n_rows, round(sum(mw), 6) AS total_mw, max(event_id) AS last_event
 FROM readings GROUP BY 1, 2""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.energy import relative_share, row_sum, zone_name
@@ -119,3 +119,22 @@ def missing_hours(readings: DataFrame, first: Column, last: Column) -> DataFrame
     per_zone = readings.groupBy("zone").agg(F.collect_set(F.when(hour.between(first, last), hour)).alias("present"))
     expected = F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))
     return per_zone.select("zone", F.explode(F.array_except(expected, F.col("present"))).alias("datetime"))
+
+
+def missing_intervals(readings: DataFrame, zones: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Stretches of hours in ``[first, last]`` without a reading: ``zone, gap_start, gap_end, n_hours``; ``gap_end`` is the last
+    hour missing. ``zones`` are those expected, so that a zone without any reading is one whole gap.
+
+    Hours present are made distinct before they meet, at most one for each zone and hour, and each is compared with the one
+    before it; missing hours are never listed."""
+    hour = F.date_trunc("hour", "datetime")
+    present = readings.where(hour.between(first, last)).select("zone", hour.alias("at")).distinct()
+    one = F.expr("INTERVAL 1 HOUR")
+    # An hour before the window and one behind it close the gaps at both ends.
+    edges = zones.select("zone").distinct().select("zone", F.explode(F.array(first - one, last + one)).alias("at"))
+    before = F.lag("at").over(Window.partitionBy("zone").orderBy("at"))
+    known = present.join(zones.select("zone").distinct(), "zone", "left_semi")
+    gaps = known.unionByName(edges).withColumn("before", before)
+    hours = ((F.unix_seconds("at") - F.unix_seconds("before")) / 3600).cast("bigint") - 1
+    return gaps.where(hours > 0).select(
+        "zone", (F.col("before") + one).alias("gap_start"), (F.col("at") - one).alias("gap_end"), hours.alias("n_hours"))

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 # Streaming state on disk with a cache, so that it may outgrow the executors' memory.
-_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app_name: str = "wattlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,7 +23,7 @@ def build_session(app_name: str = "wattlake", master: str | None = None, **conf:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.sql.parquet.compression.codec", "zstd")
-        .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         .config("spark.ui.enabled", "false")
     )
     if master:

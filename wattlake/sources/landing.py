@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,12 @@ def read_files(spark: SparkSession, files: list) -> DataFrame:
     """``raw_json`` of the given files, a document each."""
     if not files:
         return spark.createDataFrame([], "raw_json string")
-    return spark.read.text([f.path for f in files], wholetext=True).withColumnRenamed("value", "raw_json")
+    return spark.read.text([as_literal(f.path) for f in files], wholetext=True).withColumnRenamed("value", "raw_json")
+
+
+def as_literal(path: str) -> str:
+    """A path that means itself to readers that take patterns, whatever characters are in it."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
 def remember_files(spark: SparkSession, files: list, landed: str, process_ts: int) -> None:
@@ -56,9 +63,12 @@ def source_url(base_url: str, endpoint: str, zone: Column, start: Column, end: C
 
 def envelope(payloads: DataFrame, *, process_ts: int | Column, ingested_at: Column, base_url: str,
              endpoint: str, start: Column, end: Column, zone: Column | None = None) -> DataFrame:
-    """Payloads with their ingestion metadata. The zone is the payload's own unless given."""
+    """Payloads with their ingestion metadata. The zone is that given, or the one asked for if ``payloads`` says it in a column
+    ``zone``, as a folder ``zone=...`` does, or else the payload's own."""
     stamp = process_ts if isinstance(process_ts, Column) else F.lit(process_ts)
-    zone = F.get_json_object("raw_json", "$.zone") if zone is None else zone
+    own = F.get_json_object("raw_json", "$.zone")
+    asked = F.coalesce(F.col("zone").cast("string"), own) if "zone" in payloads.columns else own
+    zone = asked if zone is None else zone
     return payloads.select(
         stamp.cast("bigint").alias("process_ts"),
         ingested_at.alias("ingestion_timestamp"),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from wattlake import schemas as S
 from wattlake.functions.timecols import day_columns
 from wattlake.plans.jobs import DEFAULT_URL, SILVER_TABLES, refine
+from wattlake.session import STATE_STORE
 from wattlake.sources import tables
 from wattlake.sources.landing import envelope
 
@@ -68,6 +71,83 @@ def drop_replays(stream: DataFrame, keys: list[str], event_time: str, delay: str
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+class _Latest(StatefulProcessor):
+    """Keeps one row per key, the one that comes last in the given order, and forgets it some time after its event time.
+    Times are numbers of microseconds here."""
+
+    def __init__(self, columns: list[str], order: list[str], event_time: str, kept_ms: int, schema: T.StructType):
+        self.columns, self.order, self.event_time = columns, order, event_time
+        self.kept_ms, self.schema = kept_ms, schema
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.latest = handle.getValueState("latest", self.schema)
+
+    def _rank(self, row: tuple) -> tuple:
+        """Its place in the order: a missing value comes first, and equal rows are told apart by their content."""
+        values = dict(zip(self.columns, row, strict=True))
+        return (*[(values[c] is not None, 0 if values[c] is None else values[c]) for c in self.order], repr(row))
+
+    def handleInputRows(self, key, rows, timerValues):
+        before = tuple(self.latest.get()) if self.latest.exists() else None
+        best = max(filter(None, [before, max((tuple(r[c] for c in self.columns) for r in rows), key=self._rank)]), key=self._rank)
+        if best != before:
+            self.latest.update(best)
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            at = best[self.columns.index(self.event_time)]
+            self.handle.registerTimer(max(at // 1000 + self.kept_ms, timerValues.getCurrentWatermarkInMs() + 1))
+            yield Row(**dict(zip(self.columns, best, strict=True)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.latest.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """The state store that ``latest_rows`` needs, for the streams started inside."""
+    key, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(key, STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def latest_rows(stream: DataFrame, keys: list[str], event_time: str, order: list[str], delay: str) -> DataFrame:
+    """The latest row of each key as it stands: a row is given when it replaces the one before, whatever order rows come in.
+
+    A key's row is forgotten when the watermark, ``delay`` behind the newest event, has passed the row's ``event_time`` by as
+    much again; a still older row that comes then counts as new. Rows without an event time are left out. One row is kept
+    for a key, however many come. Start the stream inside ``state_on_disk``."""
+    spark, times = stream.sparkSession, [f.name for f in stream.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    kept_ms = spark.sql(f"SELECT unix_millis(timestamp'1970-01-01 00:00:00Z' + INTERVAL {delay}) AS ms").first().ms
+    numbers = stream.where(F.col(event_time).isNotNull()).withColumn("__time", F.col(event_time)).withWatermark("__time", delay)
+    numbers = numbers.withColumns({c: F.unix_micros(c) for c in times})
+    schema = numbers.drop("__time").schema
+    processor = _Latest(stream.columns, order, event_time, kept_ms, schema)
+    latest = numbers.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="EventTime")
+    return latest.withColumns({c: F.timestamp_micros(c) for c in times})
+
+
+def keep_current(rows: DataFrame, path: str, checkpoint: str, keys: list[str], day: str) -> StreamingQuery:
+    """A table of the rows that ``latest_rows`` gives, by key, partitioned by the day of the key column ``day``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = batch.withColumns(day_columns(F.col(day))).persist()
+        try:
+            tables.upsert_by_keys(found, path, keys, found.schema, known_unique=True)
+        finally:
+            found.unpersist()
+
+    with state_on_disk(rows.sparkSession):
+        return run_available(rows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
 def daily_windows(stream: DataFrame, keys: list[str], event_time: str, delay: str,
                   measures: dict[str, Column]) -> DataFrame:
     """Daily tumbling aggregate. In append mode a day is published once its watermark has passed.
