@@ -50,8 +50,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int =
 
     def run(batches):
         cache = word_cache(tokenizer)
+        pa.default_memory_pool().release_unused()  # what other work of this process has left
         for batch in batches:
-            for at, texts in in_groups(batch.column(1)):
+            for at, texts in in_groups(batch.column(1), 1 << 21):
                 for row, ids, bounds in cache.encode(texts, closing):
                     yield _cut(batch.column(0), row + at, ids, bounds, capacity)
 

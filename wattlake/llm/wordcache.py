@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from wattlake.llm.words import Words
 
-CACHED_BYTES = 160 << 20  # of units and their ids, with what Python adds; then the cache starts anew
+CACHED_BYTES = 128 << 20  # of units and their ids, with what Python adds; then the cache starts anew
 _EACH = 150
 # White space other than blanks and line ends.
 _OTHER = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
