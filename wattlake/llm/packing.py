@@ -43,13 +43,14 @@ from wattlake.llm.words import in_groups
 # ---------------------------------------------------------------- pieces
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int = 0, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids): the pieces of every document; ``ids`` are little-endian 32-bit numbers."""
+           text_col: str = "text", cache_bytes: int | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids): the pieces of every document; ``ids`` are little-endian 32-bit numbers.
+    ``cache_bytes`` bounds what a worker keeps of words it has met; less takes more time."""
     rows = texts_of(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        cache = word_cache(tokenizer)
+        cache = word_cache(tokenizer, cache_bytes)
         pa.default_memory_pool().release_unused()  # what other work of this process has left
         for batch in batches:
             for at, texts in in_groups(batch.column(1), 1 << 21):

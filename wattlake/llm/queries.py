@@ -34,9 +34,9 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"))
 
 
-def packed(docs: DataFrame, capacity: int = 2048) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = 2048, cache_bytes: int | None = None) -> DataFrame:
     """Pieces with a checksum of their ids, and their places."""
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity)
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity, cache_bytes=cache_bytes)
     sums = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(sums, capacity)
 

@@ -30,7 +30,8 @@ _PARTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 class WordCache:
     """Units already tokenized: ``known`` gives a unit's number, and its ids are a stretch of ``pool``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int | None = None):
+        self.limit = limit
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core is one task's share
         from tokenizers import Tokenizer
 
@@ -110,7 +111,7 @@ class WordCache:
     def encode(self, texts: pa.LargeStringArray, closing: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(numbers of texts, their ids one after the other and each with ``closing`` behind, where each text begins and the
         end). The texts come in at most two parts."""
-        if self.size > CACHED_BYTES:
+        if self.size > (CACHED_BYTES if self.limit is None else self.limit):
             self.forget()
         strings = texts.to_pylist()
         plain = np.fromiter(map(_plain, strings), bool, len(strings))
@@ -153,8 +154,9 @@ def _plain(text: str) -> bool:
 _caches: dict[str, WordCache] = {}
 
 
-def word_cache(path: str) -> WordCache:
-    """The cache of this worker."""
+def word_cache(path: str, limit: int | None = None) -> WordCache:
+    """The cache of this worker, of at most about ``limit`` bytes."""
     if path not in _caches:
         _caches[path] = WordCache(path)
+    _caches[path].limit = limit
     return _caches[path]
