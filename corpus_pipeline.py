@@ -42,8 +42,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents, packed into sequences of 2048 tokens."""
-    return queries.packed(docs)
+    """The pieces of the documents, packed into sequences of 2048 tokens. Workers keep few words, as they still hold memory of
+    the stages before."""
+    return queries.packed(docs, cache_bytes=24 << 20)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("personal_data", personal_data),
