@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.common import stored, texts_of
 from wattlake.llm.wordcache import word_cache
-from wattlake.llm.words import in_groups
+from wattlake.llm.words import give_back, in_groups
 
 
 # ---------------------------------------------------------------- pieces
@@ -51,11 +51,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int =
 
     def run(batches):
         cache = word_cache(tokenizer, cache_bytes)
-        pa.default_memory_pool().release_unused()  # what other work of this process has left
+        give_back()  # what other work of this process has left
         for batch in batches:
             for at, texts in in_groups(batch.column(1), 1 << 21):
                 for row, ids, bounds in cache.encode(texts, closing):
                     yield _cut(batch.column(0), row + at, ids, bounds, capacity)
+        if cache_bytes is not None and cache.size > cache_bytes:
+            cache.forget()
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
 

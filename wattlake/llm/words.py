@@ -5,6 +5,7 @@ The separators are single bytes that are part of no other character, so texts ne
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,12 +73,23 @@ class Words:
                                                 pa.py_buffer(out[taken])).cast(pa.string())
 
 
-def in_groups(texts: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, pa.LargeStringArray]]:
-    """(number of the first text, texts) in groups of ``most`` bytes, or of one text if it is longer; nulls are empty."""
-    whole = texts.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:whole.offset + len(whole) + 1] if len(whole) else [0]
-    at = 0
-    while at < len(whole):
-        past = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
-        yield at, whole.slice(at, past - at)
-        at = past
+def in_groups(texts: pa.Array, most: int = 1 << 22, rows: int = 512) -> Iterator[tuple[int, pa.LargeStringArray]]:
+    """(number of the first text, texts) in groups of at most ``rows`` texts and ``most`` bytes, or of one text if it is longer;
+    nulls are empty. No more than a group is copied."""
+    for first in range(0, len(texts), rows):
+        some = texts.slice(first, rows).cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(some.buffers()[1], np.int64)[some.offset:some.offset + len(some) + 1]
+        at = 0
+        while at < len(some):
+            past = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
+            yield first + at, some.slice(at, past - at)
+            at = past
+
+
+def give_back() -> None:
+    """Return memory that this process has freed but still holds, as workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
