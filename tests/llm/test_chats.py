@@ -56,5 +56,42 @@ def test_every_message_follows_what_it_answers(spark):
         seen.add(r.turn)
 
 
+SIGNED = "\n\nKind regards from the whole team\nTel. 12 34 56"
+SHARED = [  # greeting and signature are in every message; what is quoted tells which one is meant
+    (5, 0, "a", f"Dear all,\n\nOn Monday.{SIGNED}"), (5, 1, "b", f"Dear all,\n\nYes.{SIGNED}"),
+    (5, 2, "c", "> Dear all,\n>\n> Yes.\n>\n> Kind regards from the whole team\n> Tel. 12 34 56\nquoted in full"),
+    (5, 3, "d", "> Yes.\n>\n> Kind regards from the whole\n> team Tel. 12 34 56\nwithout the greeting"),
+    (5, 4, "e", "> Dear all,\nthe greeting alone"),
+    (6, 0, "a", "ok, later\nfine"), (6, 1, "b", "fine"), (6, 2, "c", "> fine\nx"),
+    (6, 3, "d", "> Fine\n> ok, later\nlines in another order"),
+    (7, 0, "a", "same"), (7, 1, "b", "same"), (7, 2, "c", "> same\nfirst of equal messages"),
+]
+
+
+def test_shared_passages_do_not_decide(spark):
+    df, got = run(spark, SHARED)
+    parents = {(r.conv_id, r.turn): r.parent_turn for r in got.collect() if r.parent_turn is not None}
+    assert parents == {(5, 2): 1, (5, 3): 1, (5, 4): 0, (6, 2): 1, (6, 3): 0, (7, 2): 0}
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    assert difference(got, con, sql.chat_conversations()) is None
+
+
+def test_messages_without_a_key_join_nothing(spark):
+    rows = [(None, i % 3 or None, "u", f"> m\nsaid {i}") for i in range(40)] + [(8, None, "u", "> m"), (8, 0, "u", "m"), (8, 1, "u", "> m")]
+    got = run(spark, rows)[1].collect()
+    assert len(got) == len(rows)
+    assert [(r.turn, r.parent_turn) for r in got if r.parent_turn is not None] == [(1, 0)]
+    assert all(r.thread_turn == r.turn for r in got if r.parent_turn is None)
+
+
+def test_long_texts_are_parsed_whole(spark):
+    long = "\n".join(f"line {i} of a long message" for i in range(20_000))
+    quote = "\n".join("> " + x for x in long.split("\n"))
+    got = run(spark, [(1, 0, "u", "line 1 of a long message"), (1, 1, "u", long), (1, 2, "u", quote + "\nread")])[1].collect()
+    assert {r.turn: r.parent_turn for r in got} == {0: None, 1: None, 2: 1}
+    assert {r.message for r in got if r.turn == 2} == {"<|u|>\nread<|end|>"}
+
+
 def test_no_rows(spark):
     assert run(spark, [])[1].count() == 0

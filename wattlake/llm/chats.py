@@ -2,18 +2,20 @@
 
 Every line of a message has a quote level, the number of ``>`` in front of it. Lines of one level that follow each other are a
 passage, cut at blank lines. A passage is normalised (lower case, single blanks) and hashed, as a whole and line by line, so
-that a re-wrapped quote and a quote of some lines are both recognised. Quoted hashes are joined to the passages that messages of the
-same conversation wrote themselves; the first message with a passage is its origin.
+that a re-wrapped quote and a quote of some lines are both recognised; so is all that a message has of a level. Quoted hashes are
+joined to those of what messages of the same conversation wrote themselves; the first message with a hash is its origin.
 
-A message answers the origin of most of its passages of the outermost level that has any (ties: the later message). Answers form
-trees, and a message's thread is the root of its tree. Ordered by (thread, turn), a conversation reads in reply order: every message
+Of the outermost level that has any origins, a message answers the one that it quotes in full; else the one with most characters in
+quoted passages that no other message said, so that greetings and signatures do not decide; else the one with most characters in
+quoted passages and lines (ties: the later message). Answers form trees, and a message's thread is the root of its tree. Ordered by (thread, turn), a conversation reads in reply order: every message
 after the one it answers, threads together. Its text is what it says itself, without quotes and the line that introduces them.
 
 Origins are minima per (conversation, hash), partial before the shuffle, so a passage in a third of all messages costs one row per
 task; the join to them has one row per key on one side and can be split at a hot key. Messages are never collected by conversation.
 
 Defined cases: a null text is empty, a null role is written as ``unknown``. Messages whose conversation or turn is null answer nothing
-and are a thread of their own, with a null turn. Rows that repeat (conversation, turn) each stay and share what they answer. A quote
+and are a thread of their own, with a null turn; they take no part in any join. Texts of any length are parsed whole. Other columns
+are not read, whatever their names. Rows that repeat (conversation, turn) each stay and share what they answer. A quote
 of something that no earlier message said is removed and links nothing.
 """
 
@@ -26,6 +28,7 @@ from wattlake.llm.common import forget, let, stored
 
 MARKS = r"^(?:[ \t]?>)+"
 INTRODUCTION = r"^(?:On|Am|Le|El) [^\n]{1,200}:[ \t\r]*\z"
+LINE, PASSAGE, ALL = 0, 1, 2
 TEMPLATE = ("<|", "|>\n", "<|end|>")
 
 
@@ -39,12 +42,19 @@ def parsed(text: Column) -> Column:
 
 
 def passages(lines: Column, level: Column) -> Column:
-    """Hashes of the passages of one level and of their lines, each once."""
+    """What a message has of one level, each text once: (hash, chars, kind), kind ``LINE``, ``PASSAGE`` or ``ALL`` of it."""
     joined = F.array_join(F.transform(lines, lambda x: F.when(x["level"] == level, x["body"]).otherwise(F.lit(""))), "\n")
     normal = lambda x: F.trim(F.regexp_replace(F.lower(x), r"[ \t\n]+", " "))
-    of = lambda pattern: F.transform(F.split(joined, pattern), normal)
-    said = F.filter(F.array_distinct(F.concat(of(r"\n[ \t]*\n"), of(r"\n"))), lambda x: x != "")
-    return F.transform(said, lambda x: F.md5(x))
+    of = lambda pattern: F.array_distinct(F.transform(F.split(joined, pattern), normal))
+    item = lambda x, kind, mark="": F.struct(F.md5(F.concat(F.lit(mark), x)).alias("hash"),
+                                             F.length(x).cast("bigint").alias("chars"), F.lit(kind).alias("kind"))
+    said = lambda texts: F.filter(texts, lambda x: x != "")
+
+    def items(blocks: Column) -> Column:
+        return F.concat(F.transform(said(blocks), lambda x: item(x, PASSAGE)),
+                        F.transform(said(F.array_except(of(r"\n"), blocks)), lambda x: item(x, LINE)),
+                        F.transform(said(F.array(normal(joined))), lambda x: item(x, ALL, "\n")))  # no text above has a line end
+    return let(of(r"\n[ \t]*\n"), items)
 
 
 def own_text(lines: Column) -> Column:
@@ -59,14 +69,15 @@ def own_text(lines: Column) -> Column:
 def answers(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent_turn) of the messages that quote an earlier one. ``messages`` has (conv_id, turn, lines)."""
     known = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    origins = (known.select("conv_id", "turn", F.explode(passages(F.col("lines"), F.lit(0))).alias("hash"))
-               .groupBy("conv_id", "hash").agg(F.min("turn").alias("origin")))
+    origins = (known.select("conv_id", "turn", F.explode(passages(F.col("lines"), F.lit(0))["hash"]).alias("hash"))
+               .groupBy("conv_id", "hash").agg(F.min("turn").alias("origin"), (F.min("turn") == F.max("turn")).alias("alone")))
     levels = F.array_distinct(F.filter(F.col("lines")["level"], lambda x: x > 0))
     quoted = (known.select("conv_id", "turn", "lines", F.explode(levels).alias("level"))
-              .select("conv_id", "turn", "level", F.explode(passages(F.col("lines"), F.col("level"))).alias("hash")))
-    votes = (quoted.join(origins, ["conv_id", "hash"]).where("origin < turn")
-             .groupBy("conv_id", "turn", "level", "origin").agg(F.count(F.lit(1)).alias("votes")))
-    best = F.min(F.struct("level", (-F.col("votes")).alias("votes"), (-F.col("origin")).alias("origin")))
+              .select("conv_id", "turn", "level", F.inline(passages(F.col("lines"), F.col("level")))))
+    own = F.when(F.col("alone") & (F.col("kind") >= PASSAGE), F.col("chars")).otherwise(F.lit(0))
+    votes = (quoted.join(origins, ["conv_id", "hash"]).where("origin < turn").groupBy("conv_id", "turn", "level", "origin")
+             .agg(F.max((F.col("kind") == ALL).cast("int")).alias("in_full"), F.sum(own).alias("own"), F.sum("chars").alias("chars")))
+    best = F.min(F.struct("level", *((-F.col(c)).alias(c) for c in ("in_full", "own", "chars", "origin"))))
     return votes.groupBy("conv_id", "turn").agg(best.alias("best")).select("conv_id", "turn", (-F.col("best.origin")).alias("parent_turn"))
 
 
@@ -93,6 +104,9 @@ def conversations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     opening, after_role, closing = TEMPLATE
     message = F.concat(F.lit(opening), F.coalesce("role", F.lit("unknown")), F.lit(after_role), own_text(F.col("lines")), F.lit(closing))
     said = rows.select("conv_id", "turn", "role", F.array_max(F.col("lines")["level"]).alias("quote_levels"), message.alias("message"))
-    return (said.join(linked, ["conv_id", "turn"], "left")
+    placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    answering = said.where(placed).join(linked, ["conv_id", "turn"], "left")
+    others = said.where(~placed).select("*", *(F.lit(None).cast(linked.schema[c].dataType).alias(c) for c in ("parent_turn", "thread_turn")))
+    return (answering.unionByName(others)  # messages without a key are many, maybe, and would all meet in one task
             .select("conv_id", "turn", "role", "parent_turn", F.coalesce("thread_turn", "turn").alias("thread_turn"),
                     "quote_levels", "message"))

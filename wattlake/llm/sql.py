@@ -138,11 +138,16 @@ FROM canonical c LEFT JOIN known_texts t ON {whole} = t.digest LEFT JOIN named n
 def chat_conversations() -> str:
     marks = f"regexp_extract(v, '{chats.MARKS}')"
 
-    def hashes(level: str) -> str:
+    def items(level: str) -> str:
         joined = f"array_to_string(list_transform(lines, lambda x: CASE WHEN x.level = {level} THEN x.body ELSE '' END), chr(10))"
-        parts = " || ".join(f"string_split_regex({joined}, '{p}')" for p in (r"\n[ \t]*\n", r"\n"))
-        normal = f"list_transform({parts}, lambda y: trim(regexp_replace(lower(y), '[ \\t\\n]+', ' ', 'g')))"
-        return f"list_transform(list_distinct(list_filter({normal}, lambda y: y <> '')), lambda y: md5(y))"
+        normal = lambda x: f"trim(regexp_replace(lower({x}), '[ \\t\\n]+', ' ', 'g'))"
+        of = lambda p: f"list_distinct(list_transform(string_split_regex({joined}, '{p}'), lambda y: {normal('y')}))"
+        blocks, every = of(r"\n[ \t]*\n"), of(r"\n")
+        parts = [(f"list_filter({blocks}, lambda y: y <> '')", chats.PASSAGE, "''"),
+                 (f"list_filter({every}, lambda y: y <> '' AND NOT list_contains({blocks}, y))", chats.LINE, "''"),
+                 (f"list_filter([{normal(joined)}], lambda y: y <> '')", chats.ALL, "chr(10)")]
+        return " || ".join(f"list_transform({texts}, lambda y: {{'hash': md5({mark} || y), 'chars': length(y), 'kind': {kind}}})"
+                           for texts, kind, mark in parts)
 
     kept = (f"lines[i].level = 0 AND NOT (coalesce(lines[i + 1].level, 0) > 0 "
             f"AND regexp_matches(lines[i].body, '{chats.INTRODUCTION}'))")
@@ -153,15 +158,17 @@ WITH RECURSIVE parsed AS (
   SELECT conv_id, turn, role, list_transform(string_split_regex(coalesce(text, ''), '\\r?\\n'), lambda v: {{
     'level': length(regexp_replace({marks}, '[^>]', '', 'g')), 'body': substr(v, length({marks}) + 1)}}) AS lines
   FROM conversations),
-origins AS (SELECT conv_id, hash, min(turn) AS origin FROM (
-  SELECT conv_id, turn, unnest({hashes('0')}) AS hash FROM parsed) GROUP BY ALL),
-quoted AS (SELECT conv_id, turn, level, unnest({hashes('level')}) AS hash FROM (
+origins AS (SELECT conv_id, item.hash AS hash, min(turn) AS origin, min(turn) = max(turn) AS alone FROM (
+  SELECT conv_id, turn, unnest({items('0')}) AS item FROM parsed) GROUP BY 1, 2),
+quoted AS (SELECT conv_id, turn, level, unnest({items('level')}, recursive := true) FROM (
   SELECT conv_id, turn, lines, unnest(list_distinct(list_filter(list_transform(lines, lambda x: x.level), lambda l: l > 0))) AS level
   FROM parsed)),
-votes AS (SELECT conv_id, turn, level, origin, count(*) AS votes FROM quoted JOIN origins USING (conv_id, hash)
-          WHERE origin < turn GROUP BY ALL),
+votes AS (SELECT conv_id, turn, level, origin, max(kind = {chats.ALL}) AS in_full, sum(chars) AS chars,
+            sum(CASE WHEN alone AND kind >= {chats.PASSAGE} THEN chars ELSE 0 END) AS own
+          FROM quoted JOIN origins USING (conv_id, hash) WHERE origin < turn GROUP BY 1, 2, 3, 4),
 links AS (SELECT conv_id, turn, origin AS parent_turn FROM (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, votes DESC, origin DESC) AS n FROM votes) WHERE n = 1),
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, in_full DESC, own DESC, chars DESC, origin DESC) AS n
+  FROM votes) WHERE n = 1),
 climb AS (SELECT conv_id, turn, parent_turn, parent_turn AS root FROM links
           UNION ALL SELECT c.conv_id, c.turn, c.parent_turn, l.parent_turn FROM climb c
           JOIN links l ON l.conv_id = c.conv_id AND l.turn = c.root),
