@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattlake.functions.memory import give_back
+
 DIMENSIONS = 256
 K, RERANKED = 5, 3
 # Queries of this size go to every task at once; more go in slices.
@@ -29,22 +31,38 @@ MAX_BROADCAST_HITS = 1_000_000
 _SCORE_DIGITS = 9  # scores are rounded before ranking, so that equal vectors tie exactly
 
 _WORD = re.compile(r"[^\W_]+")
+# Bounds of what a worker holds at a time, whatever the size of Spark's batches.
+_CACHED_WORDS, _CACHED_LENGTH = 1 << 16, 64
+ROWS_AT_ONCE = 512  # texts that are embedded, or items that meet a slice of queries
 
 
 # ---------------------------------------------------------------- embedding
 
-def hashed_vectors(texts: pd.Series, dimensions: int = DIMENSIONS) -> list[np.ndarray]:
-    """Word counts by hash bucket, scaled to unit length. Needs no model and no vocabulary."""
-    buckets: dict[str, int] = {}
+class _Buckets(dict):
+    """The buckets of words met before. It starts anew when full, and long words are not kept, so its size is bounded."""
+
+    def __init__(self, dimensions: int):
+        self.dimensions = dimensions
+
+    def __missing__(self, word: str) -> int:
+        found = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % self.dimensions
+        if len(word) <= _CACHED_LENGTH:
+            if len(self) >= _CACHED_WORDS:
+                self.clear()
+            self[word] = found
+        return found
 
-    def bucket(word: str) -> int:
-        if word not in buckets:
-            buckets[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dimensions
-        return buckets[word]
 
+_buckets: dict[int, _Buckets] = {}  # of this worker
+
+
+def hashed_vectors(texts: pd.Series, dimensions: int = DIMENSIONS) -> list[np.ndarray]:
+    """Word counts by hash bucket, scaled to unit length. Needs no model and no vocabulary."""
+    buckets = _buckets.setdefault(dimensions, _Buckets(dimensions))
     vectors = []
     for text in texts:
-        counts = np.bincount([bucket(w) for w in _WORD.findall((text or "").lower())], minlength=dimensions)
+        words = _WORD.findall((text or "").lower())
+        counts = np.bincount(np.fromiter(map(buckets.__getitem__, words), np.int64, len(words)), minlength=dimensions)
         norm = np.sqrt(float((counts * counts).sum()))
         vectors.append(counts / norm if norm else counts.astype(np.float64))
     return vectors
@@ -52,10 +70,14 @@ def hashed_vectors(texts: pd.Series, dimensions: int = DIMENSIONS) -> list[np.nd
 
 def embed(df: DataFrame, text: str = "text", output: str = "embedding",
           model: Callable[[pd.Series], list[np.ndarray]] = hashed_vectors) -> DataFrame:
-    """Adds the embedding of a text column; ``model`` turns a series of texts into vectors."""
+    """Adds the embedding of a text column; ``model`` turns a series of texts into vectors, of some rows at a time."""
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def vectors(texts: pd.Series) -> pd.Series:
-        return pd.Series(model(texts), index=texts.index, dtype=object)
+    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            for at in range(0, len(texts), ROWS_AT_ONCE):
+                some = texts.iloc[at:at + ROWS_AT_ONCE]
+                yield pd.Series(model(some), index=some.index, dtype=object)
+        give_back()
 
     # Marked so that the optimizer does not evaluate it a second time for a filter on its result.
     return df.withColumn(output, vectors.asNondeterministic()(text))
