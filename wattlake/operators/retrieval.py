@@ -144,10 +144,12 @@ def _search_batches(query_ids: np.ndarray, query_matrix: np.ndarray, k: int,
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
         for batch in batches:
-            for found in scored(batch) if len(batch) else ():
-                kept = _first_k(found if kept is None else pd.concat([kept, found]), k)
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                for found in scored(batch.iloc[at:at + ROWS_AT_ONCE]):
+                    kept = _first_k(found if kept is None else pd.concat([kept, found]), k)
         if kept is not None:
             yield kept
+        give_back()
     return search
 
 
