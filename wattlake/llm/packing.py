@@ -112,11 +112,20 @@ def price_table(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarr
     worth = np.where(prices > 0, prices, -1.0)
     best = np.zeros(capacity + 1)
     taken = np.zeros(capacity + 1, np.int64)
+    sizes = np.flatnonzero(prices > 0)
+    few = len(sizes) * 4 < capacity  # then only lengths that have a price are looked at
+    priced, fitting = prices[sizes], np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        total = best[room - 1::-1] + worth[1:room + 1]
+        if few:
+            n = fitting[room]
+            if not n:
+                continue
+            total = best[room - sizes[:n]] + priced[:n]
+        else:
+            total = best[room - 1::-1] + worth[1:room + 1]
         pick = int(total.argmax())
         if total[pick] > best[room - 1]:
-            best[room], taken[room] = total[pick], pick + 1
+            best[room], taken[room] = total[pick], sizes[pick] if few else pick + 1
         else:
             best[room] = best[room - 1]
     return best, taken
@@ -133,6 +142,14 @@ def dearest(taken: np.ndarray, room: int) -> list[int]:
     return found
 
 
+def dearest_of_all(taken: np.ndarray) -> list[list[int]]:
+    """``dearest`` of every room, each made of that of a smaller one."""
+    found: list[list[int]] = [[]]
+    for room, length in enumerate(taken.tolist()[1:], 1):
+        found.append([length, *found[room - length]] if length else found[room - 1])
+    return found
+
+
 _NONE = 1e-7  # of an item; less is rounding
 
 
@@ -161,12 +178,15 @@ def fractional(counts: np.ndarray, capacity: int, rounds: int = 48) -> tuple[dic
         best, taken = price_table(prices, capacity)
         if round_ <= rounds:
             bound = max(bound, float((counts[sizes] * prices[sizes]).sum()) / best[capacity])
+        fillings, room, covered = dearest_of_all(taken), room.tolist(), covered.tolist()  # read one by one from here
         for length in sizes[np.argsort(part, kind="stable")]:
             length = int(length)
             if room[length] <= _NONE:
                 continue
-            filling = [length, *dearest(taken, capacity - length)]
-            many = {x: filling.count(x) for x in filling}
+            filling = [length, *fillings[capacity - length]]
+            many: dict[int, int] = {}
+            for x in filling:
+                many[x] = many.get(x, 0) + 1
             times = min(room[x] / n for x, n in many.items())
             if times > 0:
                 for x, n in many.items():
@@ -174,6 +194,7 @@ def fractional(counts: np.ndarray, capacity: int, rounds: int = 48) -> tuple[dic
                     covered[x] += times * n
                 key = tuple(sorted(filling, reverse=True))
                 used[key] = used.get(key, 0.0) + times
+        covered = np.array(covered)
 
 
 def plan(counts: np.ndarray, capacity: int, rounds: int = 48) -> Packing:
