@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from wattlake import schemas as S
 from wattlake.functions.timecols import day_columns
-from wattlake.plans.jobs import DEFAULT_URL, SILVER_TABLES, refine
+from wattlake.operators.keys import latest_by_key
+from wattlake.plans.jobs import DEFAULT_URL, SILVER_TABLES, clean_rows
 from wattlake.session import STATE_STORE
 from wattlake.sources import tables
 from wattlake.sources.landing import envelope
@@ -49,21 +50,42 @@ def stream_silver(bronze: DataFrame, name: str, path: str, bad_path: str, checkp
                   keep: str = "latest", then: Callable[[list[tables.Day]], None] | None = None) -> StreamingQuery:
     """Bronze stream to a silver table by upsert; ``name`` is ``mix`` or ``flows``.
 
-    ``then`` is called with the days each micro-batch changed, for example to publish them.
+    Every micro-batch stages its clean rows beside the checkpoint. When all are done, the staged rows are upserted as one, later
+    micro-batches over earlier ones, so each touched day is written once, however many micro-batches there are. What a run
+    that stopped has staged is upserted by the next one. ``then`` is called with the days changed, for example to publish them.
 
-    Repeating a micro-batch after a failure replaces the same keys by the same rows. Quarantined
+    Repeating a micro-batch after a failure replaces its staged rows by the same rows. Quarantined
     rows go to a folder per micro-batch, which a repeated batch overwrites.
     """
-    table = SILVER_TABLES[name]
+    table, staged = SILVER_TABLES[name], f"{checkpoint}-staged"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        per_day, _ = refine(
-            batch, table, path, keep,
-            lambda bad: bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}"))
-        if then is not None:
-            then(sorted(per_day))
+        with tables.persisted(table.flatten(batch)) as (flat,):
+            good, bad = clean_rows(flat, table)
+            good.write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
+            with tables.persisted(bad) as (bad,):
+                if not bad.isEmpty():
+                    bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
+
+    query = run_available(bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    days = upsert_staged(bronze.sparkSession, staged, table, path, keep)
+    if then is not None and days is not None:
+        then(days)
+    if days is not None:
+        tables.remove_files(bronze.sparkSession, [staged])
+    return query
+
 
-    return run_available(bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+def upsert_staged(spark: SparkSession, staged: str, table, path: str, keep: str) -> list[tables.Day] | None:
+    """Upsert the rows that micro-batches have staged, the last one of each key; returns the days changed, or none if no
+    micro-batch has staged anything."""
+    if not tables.table_exists(spark, staged):
+        return None
+    schema = T.StructType([*table.schema.fields, T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(schema).parquet(staged)
+    order = ["updated_at", "batch"] if keep == "latest" else ["batch"]
+    rows = latest_by_key(rows, table.keys, order).select(*table.schema.fieldNames())
+    return tables.upsert_by_keys(rows, path, table.keys, table.schema, keep, known_unique=True)
 
 
 def drop_replays(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
