@@ -12,6 +12,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -72,9 +73,11 @@ class WordCache:
     def _numbers(self, units: list[bytes]) -> np.ndarray:
         """The numbers of units; new ones are tokenized."""
         known = self.known
-        new = [u for u in units if u not in known]
-        if new:
-            new = list(dict.fromkeys(new))
+        numbers = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            missing = [units[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(missing))
             ids: dict[bytes, bytes] = {}
             others, marks = [], self.marks
             for unit in new:
@@ -95,7 +98,10 @@ class WordCache:
             self.pool = np.concatenate([self.pool, np.frombuffer(found, np.uint32)])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
             self.size += sum(map(len, new)) + len(found) + _EACH * len(new)
-        return np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+            first = len(known) - len(new)
+            numbers[unknown] = (np.arange(first, len(known)) if len(new) == len(missing) else
+                                np.fromiter(map(known.__getitem__, missing), np.int64, len(missing)))
+        return numbers
 
     def _joined(self, units: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the units one after the other, where each one's end); an id of ``behind`` that is not -1 follows its unit."""
