@@ -187,3 +187,18 @@ def test_common_length_and_clashing_columns(spark):
     assert got.columns == ["id", "length", "task", "rank", "sequence_id", "offset"]
     check_places(got.toPandas(), 16)
     assert got.count() == 1010
+
+
+def test_no_task_holds_two_workers(spark, monkeypatch):
+    plans, write = [], packing.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(packing, "stored", stored)
+    packed = queries.packed(docs(spark, ODD))
+    plans.append(packed._jdf.queryExecution().executedPlan().toString())
+    assert packed.count() >= len(ODD)
+    workers = [plan.count("MapInArrow") for plan in plans]
+    assert max(workers) == 1 and sum(workers) == 3

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import texts_of
+from wattlake.llm.words import give_back
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -259,6 +260,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
         for batch in batches:
             kept = [not model.predict(t.as_py())[2] for t in batch.column(place)]
             yield batch.filter(pa.array(kept, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -286,12 +286,13 @@ def ranges(fillings: list[Filling]) -> list[tuple[int, int, int, int, int]]:
 def pack(items: DataFrame, capacity: int = 2048, rounds: int = 48) -> DataFrame:
     """``items`` (any columns, among them ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
-    Columns of these two names are replaced. The items are stored once. Tasks get the plan, whose size is bounded by ``capacity``
-    and ``rounds`` alone; the counts of all tasks are joined by a shuffle, as they grow with the tasks.
+    Columns of these two names are replaced. The items are stored as they come and with their ranks: a task that made items and
+    ranked them would hold two workers. Tasks get the plan, whose size is bounded by ``capacity`` and ``rounds`` alone; the counts
+    of all tasks are joined by a shuffle, as they grow with the tasks.
     """
     kept = [c for c in items.columns if c not in ("sequence_id", "offset")]
-    rows = _ranked(items.select(F.struct(*kept).alias("row"), F.col("length").cast("bigint").alias("length")), capacity)
-    rows = stored(rows, "pieces")
+    rows = stored(items.select(F.struct(*kept).alias("row"), F.col("length").cast("bigint").alias("length")), "items")
+    rows = stored(_ranked(rows, capacity), "pieces")
     per_task = rows.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(per_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "ranks")

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import components, stored, texts_of
+from wattlake.llm.words import give_back
 
 SEED = 42
 PIECE_BYTES = 1 << 20
@@ -86,6 +87,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
             texts = batch.column(1).cast(pa.large_binary())
             values = np.array([fingerprint(t.as_py(), words) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, fp bigint")
 
