@@ -11,8 +11,9 @@ def with_version(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("version", F.sha2(F.col(text), 256))
 
 
-def index_delta(indexed: DataFrame, current: DataFrame) -> DataFrame:
-    """``doc_id, change`` for all documents of both sides: new, changed, deleted or same.
+def index_delta(indexed: DataFrame, current: DataFrame, versions: bool = False) -> DataFrame:
+    """``doc_id, change`` for all documents of both sides: new, changed, deleted or same. ``versions`` adds ``version``, the
+    current one.
 
     Only ids and hashes are joined, never texts. Whether a side has a document does not depend on its version,
     which is null for a null text.
@@ -23,6 +24,7 @@ def index_delta(indexed: DataFrame, current: DataFrame) -> DataFrame:
         "doc_id",
         F.when(F.col("old").isNull(), "new").when(F.col("new").isNull(), "deleted")
         .when(F.col("old.version").eqNullSafe(F.col("new.version")), "same").otherwise("changed").alias("change"),
+        *[F.col("new.version")] * versions,
     )
 
 

@@ -6,7 +6,8 @@ snapshot, and going back is a commit with an old manifest; no row is copied for
 
 An update compares documents by content hash, cuts only new and changed ones, and compares their chunks by hash. Only
 texts whose hash the index has no vector for are embedded, once each; a chunk that moved, or that another document holds too,
-takes the vector that is there. Ids and hashes are joined, never texts of unchanged documents.
+takes the vector that is there. Ids and hashes are joined, never texts of unchanged documents; a new text is shuffled once, to find
+its copies, and its vector stays where it is made unless several chunks hold the text.
 """
 
 from __future__ import annotations
@@ -22,10 +23,25 @@ from wattlake.sources.commits import CommitLog
 from wattlake.sources.tables import union_all
 
 COMPACT_AFTER = 32  # folders of chunks
+# Keys up to this number (some 60 bytes each) go to texts and vectors instead of shuffling these to the keys.
+MAX_BROADCAST_KEYS = 1 << 22
 
 _EMPTY: dict = {"chunks": [], "gone": [], "docs": [], "embedded": 0}
 
 
+def _few(keys: DataFrame) -> bool:
+    return keys.count() <= MAX_BROADCAST_KEYS
+
+
+def _reduced(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """``rows`` for an exact join with ``keys`` that follows, without most of those it drops while the keys are few: by 64-bit
+    hashes, which take less than the keys."""
+    if not _few(keys):
+        return rows
+    short = keys.select(F.xxhash64(column).alias("__short"))
+    return rows.join(F.broadcast(short), F.xxhash64(rows[column]) == F.col("__short"), "left_semi")
+
+
 class StoreConflict(RuntimeError):
     """Another writer committed to the index in between."""
 
@@ -53,6 +69,7 @@ class VectorStore:
     def _chunks(self, manifest: dict) -> DataFrame:
         """``item_id, doc_id, pos, hash, embedding`` of the chunks that are there: the last of each id, unless gone since."""
         rows = self._read(manifest["chunks"], "item_id string, doc_id bigint, pos int, hash string, embedding array<double>")
+        rows = rows.where("item_id IS NOT NULL")  # else the vector of a text that several chunks hold
         gone = self._read(manifest["gone"], "item_id string").groupBy("item_id").agg(F.max("born").alias("until"))
         g = gone.withColumnRenamed("item_id", "gone_id")
         return rows.join(g, (F.col("item_id") == F.col("gone_id")) & (F.col("born") < F.col("until")), "left_anti")
@@ -86,35 +103,54 @@ class VectorStore:
         the last one if nothing changed."""
         base = self.log.last()
         manifest, number = self.manifest(base), base + 1
-        docs = with_version(current.select("doc_id", "text"))
-        delta = self._read_back(index_delta(self.documents(base), docs).where("change <> 'same'"), "delta")
-        if delta.isEmpty():
+        docs = current.select("doc_id", "text")
+        delta = self._read_back(index_delta(self.documents(base), with_version(docs), versions=True), "delta")
+        if delta.where("change <> 'same'").isEmpty():
             return base
         renewed = delta.where("change IN ('new', 'changed')").select("doc_id")
-        versions = docs.join(renewed, "doc_id", "left_semi").select("doc_id", "version", F.lit(True).alias("there"))
+        versions = delta.where("change <> 'deleted'").join(renewed, "doc_id", "left_semi").select("doc_id", "version", F.lit(True).alias("there"))
         lost = delta.where("change = 'deleted'").select("doc_id", F.lit(None).cast("string").alias("version"), F.lit(False).alias("there"))
-        live = self._chunks(manifest)
-        cut = self.cut(current.select("doc_id", "text").join(renewed, "doc_id", "left_semi"))
-        cut = self._read_back(cut.select(
+        if delta.where("change = 'same'").isEmpty():
+            docs = docs.where("doc_id IS NOT NULL")
+        else:
+            docs = docs.join(F.broadcast(renewed) if _few(renewed) else renewed, "doc_id", "left_semi")
+        cut = self._read_back(self.cut(docs).select(
             F.concat_ws("-", "doc_id", "pos").alias("item_id"), "doc_id", F.col("pos").cast("int").alias("pos"),
             F.sha2("text", 256).alias("hash"), "text"), "cut")
-        touched = live.join(delta.select("doc_id"), "doc_id", "left_semi").select("item_id", F.col("hash").alias("old_hash"))
-        both = self._read_back(cut.select("item_id", "hash").join(touched, "item_id", "full_outer"), "both")
-        changed = both.where("hash IS NOT NULL AND NOT hash <=> old_hash").select("item_id")
-        wanted = cut.join(changed, "item_id", "left_semi")
-        # the few hashes wanted go to the vectors, which stay where they are
-        known = self._read_back(live.select("hash", "embedding").join(wanted.select("hash").distinct(), "hash", "left_semi")
-                                .dropDuplicates(["hash"]), "known")
-        texts = wanted.groupBy("hash").agg(F.first("text").alias("text")).join(known.select("hash"), "hash", "left_anti")
-        fresh = self._read_back(self.embed(texts).select("hash", "embedding"), "vectors")
-        rows = wanted.drop("text").join(known.unionByName(fresh), "hash").select("item_id", "doc_id", "pos", "hash", "embedding")
-        # A chunk that changed is gone as well: what came before this commit does not count any more.
-        gone = both.where("old_hash IS NOT NULL AND NOT hash <=> old_hash").select("item_id")
+        ids, texts, held, gone = cut.select("item_id", "doc_id", "pos", "hash"), cut, None, []
+        if manifest["chunks"]:
+            live = self._chunks(manifest)
+            touched = live.join(delta.where("change <> 'same'").select("doc_id"), "doc_id", "left_semi").select(
+                "item_id", F.col("hash").alias("old_hash"))
+            both = self._read_back(cut.select("item_id", "hash").join(touched, "item_id", "full_outer"), "both")
+            # A chunk that changed is gone as well: what came before this commit does not count any more.
+            gone = [[number, self._write(both.where("old_hash IS NOT NULL AND NOT hash <=> old_hash").select("item_id"), "gone")]]
+            changed = both.where("hash IS NOT NULL AND NOT hash <=> old_hash").select("item_id")
+            ids = self._read_back(ids.join(changed, "item_id", "left_semi"), "wanted")
+            hashes = ids.select("hash").distinct()
+            known = self._read_back(hashes.join(live.select("hash"), "hash", "left_semi"), "known")
+            new = self._read_back(hashes.join(known, "hash", "left_anti"), "new")
+            # A chunk with a new hash has changed, so all that hold the text are wanted.
+            texts = _reduced(cut, new, "hash").join(new, "hash", "left_semi")
+            held = _reduced(live.select("hash", "embedding"), known, "hash").dropDuplicates(["hash"])
+        # A text that one chunk holds becomes that chunk's row where it is embedded. Only vectors of other texts move to their
+        # chunks; their own rows have no item.
+        once = texts.where("hash IS NOT NULL").groupBy("hash").agg(
+            F.count(F.lit(1)).alias("n"), F.first(F.struct("item_id", "doc_id", "pos", "text")).alias("c"))
+        only = [F.when(F.col("n") == 1, F.col(f"c.{name}")).alias(name) for name in ("item_id", "doc_id", "pos")]
+        row = ["item_id", "doc_id", "pos", "hash", "embedding"]
+        folder = self._write(self.embed(once.select("hash", *only, "c.text")).select(*row), "chunks")
+        fresh = self.spark.read.parquet(f"{self.path}/{folder}")
+        embedded = fresh.count()
+        shared = ids.join(fresh.where("item_id IS NULL").select("hash", "embedding"), "hash").select(*row)
+        if held is not None:
+            shared = shared.unionByName(ids.join(held, "hash").select(*row))
+        shared.write.mode("append").parquet(f"{self.path}/{folder}")
         return self._commit(base, {
-            "chunks": [*manifest["chunks"], [number, self._write(rows, "chunks")]],
-            "gone": [*manifest["gone"], [number, self._write(gone, "gone")]],
+            "chunks": [*manifest["chunks"], [number, folder]],
+            "gone": [*manifest["gone"], *gone],
             "docs": [*manifest["docs"], [number, self._write(versions.unionByName(lost), "docs")]],
-            "embedded": fresh.count()})
+            "embedded": embedded})
 
     def _read_back(self, df: DataFrame, kind: str) -> DataFrame:
         """A step of an update, written once and read as often as needed."""
