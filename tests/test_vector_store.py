@@ -101,3 +101,22 @@ def test_compaction_and_search(spark, tmp_path, monkeypatch):
     assert retrieval.top_k(queries, store.items(), 1).first().item_id == "3-0"
     store.update(documents(spark, {9: "other"}))
     assert store.items().select(F.max("doc_id")).first()[0] == 9 and store.items().count() == 1
+
+
+def test_only_vectors_of_shared_texts_move(spark, tmp_path):
+    store = store_of(spark, tmp_path / "store")
+    first = store.update(documents(spark, {1: "one", 2: "two", 3: "both", 4: "both", 5: "two more"}))
+    raw = spark.read.parquet(f"{store.path}/{store.manifest()['chunks'][0][1]}")
+    assert raw.where("item_id IS NULL").count() == 1 and store.items().count() == 5  # one text is held by two chunks
+    assert store.manifest()["gone"] == [] and store.manifest()["embedded"] == 4
+    store.update(documents(spark, {1: "two", 3: "both", 4: "new", 6: "new", 7: "one"}))
+    assert store.manifest()["embedded"] == 1
+    assert sorted((r.item_id, r.hash) for r in store.items().collect()) == sorted(
+        (r.item_id, r.hash) for r in made_anew_items(spark, tmp_path / "anew", {1: "two", 3: "both", 4: "new", 6: "new", 7: "one"}))
+    assert store.items(first).count() == 5
+
+
+def made_anew_items(spark, path, texts):
+    store = store_of(spark, path)
+    store.update(documents(spark, texts))
+    return store.items().collect()

@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,7 @@ _SCORE_DIGITS = 9  # scores are rounded before ranking, so that equal vectors ti
 _WORD = re.compile(r"[^\W_]+")
 # Bounds of what a worker holds at a time, whatever the size of Spark's batches.
 _CACHED_WORDS, _CACHED_LENGTH = 1 << 16, 64
+_CHARS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 512  # texts that are embedded, or items that meet a slice of queries
 
 
@@ -44,8 +46,8 @@ class _Buckets(dict):
     def __init__(self, dimensions: int):
         self.dimensions = dimensions
 
-    def __missing__(self, word: str) -> int:
-        found = int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % self.dimensions
+    def __missing__(self, word: bytes) -> int:
+        found = int.from_bytes(hashlib.md5(word).digest()[:4], "big") % self.dimensions
         if len(word) <= _CACHED_LENGTH:
             if len(self) >= _CACHED_WORDS:
                 self.clear()
@@ -56,16 +58,63 @@ class _Buckets(dict):
 _buckets: dict[int, _Buckets] = {}  # of this worker
 
 
+_in_word: np.ndarray | None = None
+
+
+def _word_characters() -> np.ndarray:
+    """Whether each code point is part of a word; made once in a process."""
+    global _in_word
+    if _in_word is None:
+        _in_word = np.array([_WORD.match(chr(i)) is not None for i in range(0x110000)])
+    return _in_word
+
+
 def hashed_vectors(texts: pd.Series, dimensions: int = DIMENSIONS) -> list[np.ndarray]:
     """Word counts by hash bucket, scaled to unit length. Needs no model and no vocabulary."""
-    buckets = _buckets.setdefault(dimensions, _Buckets(dimensions))
-    vectors = []
+    vectors, some, size = [], [], 0
     for text in texts:
-        words = _WORD.findall((text or "").lower())
-        counts = np.bincount(np.fromiter(map(buckets.__getitem__, words), np.int64, len(words)), minlength=dimensions)
-        norm = np.sqrt(float((counts * counts).sum()))
-        vectors.append(counts / norm if norm else counts.astype(np.float64))
-    return vectors
+        text = (text or "").lower()
+        if some and (size + len(text) > _CHARS_AT_ONCE or len(some) >= ROWS_AT_ONCE):
+            vectors += _hashed(some, dimensions)
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    return vectors + _hashed(some, dimensions)
+
+
+def _utf8_size(codes: np.ndarray) -> np.ndarray:
+    """How many bytes each code point takes."""
+    return 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+
+
+def _hashed(texts: list[str], dimensions: int) -> list[np.ndarray]:
+    """The words of some texts are found in their characters at once, and each different one is hashed once."""
+    joined = "\n".join([*texts, ""])
+    data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+    codes = data if joined.isascii() else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = _word_characters()[codes]
+    letters = data[inside if codes is data else np.repeat(inside, _utf8_size(codes))]
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        turns = np.concatenate([[0], turns])
+    first, past = turns[::2], turns[1::2]  # the last character is a line end
+    if codes is data:
+        places = np.cumsum(past - first)
+    else:
+        sizes = np.cumsum(np.where(inside, _utf8_size(codes), 0))
+        places = sizes[past - 1]
+    places = np.concatenate([[0], places]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(places), pa.py_buffer(letters)])
+    words = words.dictionary_encode()
+    buckets = _buckets.setdefault(dimensions, _Buckets(dimensions))
+    different = words.dictionary.to_numpy(zero_copy_only=False)
+    found = np.fromiter(map(buckets.__getitem__, different), np.int64, len(different))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    owner = np.searchsorted(ends, first, side="right")
+    counts = np.bincount(owner * dimensions + found[words.indices.to_numpy(zero_copy_only=False)], minlength=len(texts) * dimensions)
+    counts = counts.reshape(len(texts), dimensions)
+    norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True).astype(np.float64))
+    return list(np.divide(counts, norms, out=np.zeros(counts.shape), where=norms > 0))
 
 
 def embed(df: DataFrame, text: str = "text", output: str = "embedding",
